@@ -29,7 +29,8 @@ def pickup_hour(start: Column) -> Column:
 
 def payment_label(code: Column) -> Column:
     """Label of a numeric payment code. Fractions truncate; anything unlisted is unknown."""
-    labels = F.create_map(*[F.lit(part) for pair in PAYMENT_LABELS.items() for part in pair])
+    pairs = ", ".join(f"{number}, '{label}'" for number, label in PAYMENT_LABELS.items())
+    labels = F.expr(f"map({pairs})")
     return F.coalesce(labels[code.try_cast("int")], F.lit(UNKNOWN))
 
 

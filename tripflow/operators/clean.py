@@ -2,6 +2,10 @@
 
 The cheap comparisons come first and on bare columns, so that they reach the Parquet scan; the
 rules on parsed times follow. Zone names are left to ``enrich``: most reports do not need them.
+
+Times are parsed through ``inline``. Catalyst would otherwise push the filters on parsed times
+below the projection that parses them, and parse both texts again in every filter; it does not
+push filters through a generator.
 """
 
 from __future__ import annotations
@@ -29,9 +33,12 @@ def positive_distance(feed: DataFrame) -> DataFrame:
 
 
 def parse_times(feed: DataFrame) -> DataFrame:
-    """Parses both times and drops rows where either does not parse."""
-    parsed = feed.withColumns({name: parse_time(F.col(name)) for name in TIMES})
-    return parsed.dropna(subset=TIMES)
+    """Parses both times and drops rows where either is missing or does not parse."""
+    once = F.struct(*[parse_time(F.col(name)).alias(f"_{name}") for name in TIMES])
+    parsed = feed.select("*", F.inline(F.array(once))).dropna(subset=[f"_{n}" for n in TIMES])
+    return parsed.select(
+        *[F.col(f"_{name}").alias(name) if name in TIMES else name for name in feed.columns]
+    )
 
 
 def with_duration(rides: DataFrame) -> DataFrame:
@@ -45,22 +52,33 @@ def with_pickup_hour(rides: DataFrame) -> DataFrame:
 
 
 def clean(feed: DataFrame) -> DataFrame:
-    """Valid rides with duration and hour, still keyed by zone id."""
-    valid = positive_distance(positive_fare(drop_missing(feed)))
+    """Valid rides with duration and hour, still keyed by zone id.
+
+    A missing time needs no check of its own: it does not parse.
+    """
+    priced = feed.dropna(subset=["fare_amount", "trip_distance"])
+    valid = positive_distance(positive_fare(priced))
     return with_pickup_hour(with_duration(parse_times(valid)))
 
 
 def reject_reasons(feed: DataFrame) -> DataFrame:
     """How many rows ``clean`` drops, by the first rule each one fails."""
-    core = [F.col(name).isNull() for name in TIMES]
-    core += [F.col(name).isNull() | F.isnan(name) for name in ("fare_amount", "trip_distance")]
-    pickup, dropoff = (parse_time(F.col(name)) for name in TIMES)
+    times = F.struct(
+        F.col(TIMES[0]).isNull().alias("no_pickup"),
+        F.col(TIMES[1]).isNull().alias("no_dropoff"),
+        *[parse_time(F.col(name)).alias(f"_{name}") for name in TIMES],
+    )
+    rows = feed.select("fare_amount", "trip_distance", F.inline(F.array(times)))
+    pickup, dropoff = (F.col(f"_{name}") for name in TIMES)
+    missing = F.col("no_pickup") | F.col("no_dropoff")
+    for name in ("fare_amount", "trip_distance"):
+        missing = missing | F.col(name).isNull() | F.isnan(name)
     reason = (
-        F.when(core[0] | core[1] | core[2] | core[3], "missing value")
+        F.when(missing, "missing value")
         .when(F.col("fare_amount") <= 0, "fare not positive")
         .when(F.col("trip_distance") <= 0, "distance not positive")
         .when(pickup.isNull() | dropoff.isNull(), "time not readable")
         .when(duration_minutes(pickup, dropoff) <= 0, "duration not positive")
     )
-    rejected = feed.select(reason.alias("reason")).filter("reason is not null")
+    rejected = rows.select(reason.alias("reason")).filter("reason is not null")
     return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("trips"))

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.functions.trips import payment_label
 from tripflow.schemas import DEFAULT_PASSENGERS, DEFAULT_TIP, FEED, TRIP_RENAMES, UNKNOWN
 
-OPTIONAL = ("tip_amount", "passenger_count", "payment_type")
+NUMBERS = ("trip_distance", "pickup_location_id", "dropoff_location_id", "fare_amount")
+DEFAULTS = {"tip_amount": DEFAULT_TIP, "passenger_count": DEFAULT_PASSENGERS}
+OPTIONAL = (*DEFAULTS, "payment_type")
 
 
 def rename_trips(trips: DataFrame) -> DataFrame:
@@ -24,73 +23,58 @@ def keep_feed_columns(trips: DataFrame, key: tuple[str, ...] = ()) -> DataFrame:
     return trips.select(*key, *[name for name in FEED if name in trips.columns])
 
 
-def _missing(trips: DataFrame, name: str) -> Column:
+def _renamed(trips: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    renamed = keep_feed_columns(rename_trips(trips), key)
+    required = [name for name in FEED if name not in OPTIONAL and name not in renamed.columns]
+    if required:
+        raise ValueError(f"trips lack required columns: {', '.join(required)}")
+    return renamed
+
+
+def _missing(trips: DataFrame, name: str) -> str:
     """Null, or NaN in a floating-point column."""
-    absent = F.col(name).isNull()
     if trips.schema[name].dataType.typeName() in ("float", "double"):
-        absent = absent | F.isnan(name)
-    return absent
+        return f"{name} is null or isnan({name})"
+    return f"{name} is null"
 
 
-def _well_formed(trips: DataFrame) -> Column:
-    """True for rows whose numbers can all be coerced.
+def _well_formed(trips: DataFrame) -> str:
+    """True for rows whose numbers can all be coerced, false for the others.
 
     Ids, fare and distance must be there; a missing optional value takes its default, but one
     that is there and cannot be coerced spoils the row.
     """
-    rules = [
-        F.col(name).try_cast(FEED[name]).isNotNull()
-        for name in ("trip_distance", "pickup_location_id", "dropoff_location_id", "fare_amount")
-    ]
-    targets = {**FEED, "payment_type": "bigint"}
+    rules = [f"try_cast({name} as {FEED[name]}) is not null" for name in NUMBERS]
+    coerced = {**FEED, "payment_type": "bigint"}
     rules += [
-        _missing(trips, name) | F.col(name).try_cast(targets[name]).isNotNull()
+        f"({_missing(trips, name)} or try_cast({name} as {coerced[name]}) is not null)"
         for name in OPTIONAL
         if name in trips.columns
     ]
-    return reduce(and_, rules)
-
-
-def _renamed(trips: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    renamed = keep_feed_columns(rename_trips(trips), key)
-    required = [name for name in FEED if name not in OPTIONAL and name not in renamed.columns]
-    if required:
-        raise ValueError(f"trips lack required columns: {', '.join(required)}")
-    return renamed
+    return " and ".join(rules)
 
 
 def normalize_feed(trips: DataFrame, key: tuple[str, ...] = ()) -> DataFrame:
     """Feed rows of raw trips: renamed, coerced, defaulted, malformed rows left out."""
     raw = _renamed(trips, key)
-
-    def value(name: str, default) -> Column:
-        if name not in raw.columns:
-            return F.lit(default).cast(FEED[name])
-        cast = F.col(name).try_cast(FEED[name])
-        return F.when(_missing(raw, name), F.lit(default)).otherwise(cast).cast(FEED[name])
-
-    optional = {
-        "tip_amount": value("tip_amount", DEFAULT_TIP),
-        "passenger_count": value("passenger_count", DEFAULT_PASSENGERS),
-        "payment_type": (
-            payment_label(F.col("payment_type"))
-            if "payment_type" in raw.columns
-            else F.lit(UNKNOWN)
-        ),
-    }
-    return raw.filter(_well_formed(raw)).select(
-        *key,
-        *[
-            optional.get(name, F.col(name).try_cast(kind)).alias(name)
-            for name, kind in FEED.items()
-        ],
-    )
+    values = {name: f"try_cast({name} as {kind})" for name, kind in FEED.items()}
+    for name, default in DEFAULTS.items():
+        if name in raw.columns:
+            values[name] = f"if({_missing(raw, name)}, {FEED[name]}({default}), {values[name]})"
+        else:
+            values[name] = f"{FEED[name]}({default})"
+    columns = {name: F.expr(value).alias(name) for name, value in values.items()}
+    if "payment_type" in raw.columns:
+        columns["payment_type"] = payment_label(F.col("payment_type")).alias("payment_type")
+    else:
+        columns["payment_type"] = F.lit(UNKNOWN).alias("payment_type")
+    return raw.filter(_well_formed(raw)).select(*key, *columns.values())
 
 
 def malformed_rows(trips: DataFrame, key: tuple[str, ...] = ()) -> DataFrame:
     """The raw rows that ``normalize_feed`` leaves out, with their values as they were."""
     raw = _renamed(trips, key)
-    return raw.filter(~_well_formed(raw))
+    return raw.filter(f"not ({_well_formed(raw)})")
 
 
 def label_payments(trips: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ payment codes, null tips and passengers, and time text that does not parse.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.operators.clean import clean
@@ -17,37 +17,46 @@ from tripflow.sources.files import read_trips
 
 KEY = ("trip_id",)
 
-
-def _every(n: int) -> Column:
-    return F.col("event_id") % n == 0
+EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string"
+)
+NATION = "n_nationkey int, n_name string, n_regionkey int"
+REGION = "r_regionkey int, r_name string"
+
+TRIP_OF_EVENT = [
+    "event_id as trip_id",
+    "ts as tpep_pickup_datetime",
+    "ts + make_dt_interval(0, 0, cast(event_id % 60 - 5 as int), 0) as tpep_dropoff_datetime",
+    "cast((event_id * 7) % 200 as double) / 10 as trip_distance",
+    "if(event_id % 89 = 0, null, user_id % 27) as PULocationID",
+    "(event_id * 13) % 27 as DOLocationID",
+    """case when event_id % 50 = 0 then -value
+            when event_id % 53 = 0 then null
+            when event_id % 101 = 0 then double('NaN')
+            else value end as fare_amount""",
+    "if(event_id % 11 = 0, null, value * double(0.125)) as tip_amount",
+    "if(event_id % 17 = 0, null, event_id % 6 + 1) as passenger_count",
+    "if(event_id % 19 = 0, null, event_id % 8) as payment_type",
+]
+
+REQUEST_OF_EVENT = [
+    "event_id as request_id",
+    "cast((event_id * 7) % 1100 as double) / 10 as trip_distance",
+    "event_id % 8 as passenger_count",
+    "int(event_id % 26) as pickup_hour",
+    "user_id % 27 as pickup_location_id",
+    "(event_id * 13) % 27 as dropoff_location_id",
+]
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
-    return read_trips(spark, folder, glob="events.parquet")
+    return read_trips(spark, folder, glob="events.parquet", schema=EVENTS)
 
 
 def trips_of(events: DataFrame) -> DataFrame:
     """Raw trips of a batch or a stream of events."""
-    number = F.col("event_id")
-    dropoff_shift = F.make_dt_interval(mins=(number % 60 - 5).cast("int"))
-    fare = (
-        F.when(_every(50), -F.col("value"))
-        .when(_every(53), F.lit(None))
-        .when(_every(101), F.lit(float("nan")))
-        .otherwise(F.col("value"))
-    )
-    return events.select(
-        number.alias("trip_id"),
-        F.col("ts").alias("tpep_pickup_datetime"),
-        (F.col("ts") + dropoff_shift).alias("tpep_dropoff_datetime"),
-        ((number * 7) % 200 / F.lit(10.0)).alias("trip_distance"),
-        F.when(~_every(89), F.col("user_id") % 27).alias("PULocationID"),
-        ((number * 13) % 27).alias("DOLocationID"),
-        fare.alias("fare_amount"),
-        F.when(~_every(11), F.col("value") * 0.125).alias("tip_amount"),
-        F.when(~_every(17), number % 6 + 1).alias("passenger_count"),
-        F.when(~_every(19), number % 8).alias("payment_type"),
-    )
+    return events.selectExpr(*TRIP_OF_EVENT)
 
 
 def trips(spark: SparkSession, folder: str) -> DataFrame:
@@ -56,22 +65,21 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
 
 def zones(spark: SparkSession, folder: str) -> DataFrame:
     """Nations as zones, regions as boroughs."""
-    nation = spark.read.parquet(f"{folder}/nation.parquet")
-    region = spark.read.parquet(f"{folder}/region.parquet")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.col("n_nationkey").alias("LocationID"),
-        F.col("r_name").alias("Borough"),
-        F.col("n_name").alias("Zone"),
-        F.concat(F.col("r_name"), F.lit(" Zone")).alias("service_zone"),
+    nation = spark.read.schema(NATION).parquet(f"{folder}/nation.parquet")
+    region = spark.read.schema(REGION).parquet(f"{folder}/region.parquet")
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
+        "n_nationkey as LocationID",
+        "r_name as Borough",
+        "n_name as Zone",
+        "concat(r_name, ' Zone') as service_zone",
     )
 
 
 def feed(spark: SparkSession, folder: str) -> DataFrame:
     """Feed rows, keyed by trip, with some pickup times unreadable."""
     rows = normalize_feed(trips(spark, folder), key=KEY)
-    unreadable = F.col("trip_id") % 97 == 0
     return rows.withColumn(
-        "pickup_datetime", F.when(unreadable, "NaT").otherwise(F.col("pickup_datetime"))
+        "pickup_datetime", F.expr("if(trip_id % 97 = 0, 'NaT', pickup_datetime)")
     )
 
 
@@ -87,13 +95,5 @@ def named_rides(spark: SparkSession, folder: str) -> DataFrame:
 
 def requests(spark: SparkSession, folder: str) -> DataFrame:
     """A fare request per event; some distances, passenger counts and hours are out of range."""
-    number = F.col("event_id")
-    asked = events(spark, folder).select(
-        number.alias("request_id"),
-        ((number * 7) % 1100 / F.lit(10.0)).alias("trip_distance"),
-        (number % 8).alias("passenger_count"),
-        (number % 26).cast("int").alias("pickup_hour"),
-        (F.col("user_id") % 27).alias("pickup_location_id"),
-        ((number * 13) % 27).alias("dropoff_location_id"),
-    )
+    asked = events(spark, folder).selectExpr(*REQUEST_OF_EVENT)
     return enrich(asked, zones(spark, folder)).drop("pickup_location_id", "dropoff_location_id")

@@ -8,6 +8,7 @@ of requests.
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 from operator import and_
 from typing import NamedTuple
 
@@ -39,6 +40,7 @@ from tripflow.schemas import (
 
 INDEXES = [f"{name}_idx" for name in ZONE_FEATURES]
 FEATURES = [*NUMERIC_FEATURES, *INDEXES]
+ROWS_PER_PART = 10_000
 
 
 class FareTraining(NamedTuple):
@@ -104,16 +106,18 @@ def train_fare_model(
 ) -> FareTraining:
     """Samples, splits, fits and evaluates (runs jobs).
 
-    Zones are joined to the sample, not to all trips. The sample is written to ``work_folder``
-    and read back: the fit goes over it many times, and a lost executor then costs a re-read of
-    a small file instead of another scan of the trips. ``key`` names the columns that identify
+    Zones are joined to the sample, not to all trips. The sample is spread over parts of about
+    ``ROWS_PER_PART`` rows, written to ``work_folder`` and read back: the fit goes over it many
+    times, and a lost executor then costs a re-read of a small file instead of another scan of
+    the trips. ``key`` names the columns that identify
     a trip; without one the sample and the split go by the whole row.
     """
     rides = training_rides(trips)
     needed = [LABEL, *NUMERIC_FEATURES, "pickup_location_id", "dropoff_location_id"]
     key = key or [*needed, "pickup_datetime", "dropoff_datetime"]
     chosen = training_sample(rides.select(*dict.fromkeys([*key, *needed])), key, sample_rows)
-    enrich(chosen, zones).write.parquet(work_folder)
+    parts = ceil(sample_rows / ROWS_PER_PART)
+    enrich(chosen, zones).repartition(parts).write.parquet(work_folder)
 
     sample = trips.sparkSession.read.parquet(work_folder)
     train, test = train_test_split(sample, key)
