@@ -1,0 +1,164 @@
+from collections import Counter
+
+import pytest
+from pyspark.errors import StreamingQueryException
+
+from tests.builders import feed, zones
+from tripflow.operators.clean import clean
+from tripflow.operators.enrich import enrich
+from tripflow.schemas import FEED, RIDES, ddl
+from tripflow.sources.files import read_rides, write_feed
+from tripflow.streaming import feeds, sinks
+
+
+def rows_of(frame):
+    return Counter(tuple(row) for row in frame.select(*RIDES).collect())
+
+# Of the 42 rows below, those with a positive fare and readable times.
+KEPT = 37
+
+
+@pytest.fixture
+def place(tmp_path):
+    """Folder names of one stream."""
+    return lambda name: str(tmp_path / name)
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    changes = [{"fare_amount": float(n - 2), "pickup_location_id": n % 4} for n in range(40)]
+    return feed(spark, *changes, {"pickup_datetime": "NaT"}, {"dropoff_datetime": None}).coalesce(1)
+
+
+@pytest.fixture(scope="module")
+def batch_rides(spark, rows):
+    return rows_of(enrich(clean(rows), zones(spark)))
+
+
+def drain(stream, place):
+    query = sinks.append_stream(stream, place("rides"), place("checkpoint"), sinks.AVAILABLE_NOW)
+    return sinks.run_available(query)
+
+
+def in_batches(stream, place, write=None):
+    return sinks.run_available(
+        sinks.append_batches(
+            stream, place("rides"), place("checkpoint"), sinks.AVAILABLE_NOW, write
+        )
+    )
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_stream_equals_batch(spark, place, rows, batch_rides, fmt):
+    write_feed(rows, place("feed"), 10, fmt)
+    drain(feeds.ride_stream(feeds.feed_stream(spark, place("feed"), fmt), zones(spark)), place)
+    assert rows_of(read_rides(spark, place("rides"))) == batch_rides
+
+
+def test_both_formats_end_in_one_table(spark, place, rows, batch_rides):
+    write_feed(rows, place("feed"), 10, "csv")
+    write_feed(rows, place("feed"), 10, "parquet")
+    stream = feeds.all_feeds(spark, place("feed"), files_per_trigger=2)
+    drain(feeds.ride_stream(stream, zones(spark)), place)
+    expected = Counter({row: 2 * n for row, n in batch_rides.items()})
+    assert rows_of(read_rides(spark, place("rides"))) == expected
+
+
+def test_empty_folder_is_made_and_waited_on(spark, place, tmp_path, rows, batch_rides):
+    stream = feeds.ride_stream(feeds.all_feeds(spark, place("feed")), zones(spark))
+    drain(stream, place)
+    assert (tmp_path / "feed").is_dir()
+    assert read_rides(spark, place("rides")).count() == 0
+    write_feed(rows, place("feed"), 100)
+    drain(stream, place)
+    assert rows_of(read_rides(spark, place("rides"))) == batch_rides
+
+
+def test_half_written_files_wait(spark, place, tmp_path, rows, batch_rides):
+    write_feed(rows, place("feed"), 100)
+    (tmp_path / "feed" / "next.parquet.tmp").write_text("half written")
+    drain(feeds.ride_stream(feeds.feed_stream(spark, place("feed"), "parquet"), zones(spark)), place)
+    assert rows_of(read_rides(spark, place("rides"))) == batch_rides
+
+
+def test_csv_with_other_column_order_fails_rather_than_shifts(spark, place, rows):
+    rows.select(*reversed(FEED)).write.option("header", True).csv(place("feed"))
+    with pytest.raises(StreamingQueryException, match="FAILED_READ_FILE"):
+        drain(feeds.feed_stream(spark, place("feed"), "csv"), place)
+
+
+def test_restart_takes_only_new_files(spark, place, rows):
+    stream = feeds.ride_stream(feeds.feed_stream(spark, place("feed"), "parquet"), zones(spark))
+    for runs in (1, 2):
+        write_feed(rows, place("feed"), 100)
+        drain(stream, place)
+        assert read_rides(spark, place("rides")).count() == runs * KEPT
+
+
+def test_one_file_per_batch(spark, place, rows):
+    write_feed(rows, place("feed"), 10)
+    stream = feeds.feed_stream(spark, place("feed"), "parquet", files_per_trigger=1)
+    query = in_batches(stream, place)
+    stored = sinks.read_batches(spark, place("rides"), ddl(FEED))
+    arrivals = sorted(tuple(row) for row in sinks.arrivals(stored).collect())
+    assert [batch for batch, _ in arrivals] == [0, 1, 2, 3, 4]
+    assert sorted(count for _, count in arrivals) == [2, 10, 10, 10, 10]
+    assert sum(progress["numInputRows"] for progress in query.recentProgress) == 42
+
+
+def test_bytes_limit_batches_too(spark, place, rows):
+    write_feed(rows, place("feed"), 10)
+    stream = feeds.feed_stream(spark, place("feed"), "parquet", bytes_per_trigger=1)
+    in_batches(stream, place)
+    stored = sinks.read_batches(spark, place("rides"), ddl(FEED))
+    assert stored.select("batch_id").distinct().count() == 5
+
+
+def test_empty_batches_write_nothing(spark, place, tmp_path):
+    write_feed(feed(spark, {"fare_amount": -1.0}), place("feed"), 10)
+    stream = feeds.ride_stream(feeds.feed_stream(spark, place("feed"), "parquet"), zones(spark))
+    in_batches(stream, place)
+    assert not list((tmp_path).glob("rides/batch_id=*"))
+
+
+def test_crash_between_write_and_commit_leaves_no_duplicates(spark, place, rows, batch_rides):
+    write_feed(rows, place("feed"), 10)
+    write = sinks.batch_writer(place("rides"))
+    crashed = []
+
+    def write_then_crash(batch, batch_id):
+        write(batch, batch_id)
+        if batch_id == 1 and not crashed:
+            crashed.append(batch_id)
+            raise RuntimeError("lost before the commit")
+
+    def stream():
+        source = feeds.feed_stream(spark, place("feed"), "parquet", files_per_trigger=1)
+        return feeds.ride_stream(source, zones(spark))
+
+    with pytest.raises(StreamingQueryException, match="lost before the commit"):
+        in_batches(stream(), place, write_then_crash)
+    assert crashed
+    in_batches(stream(), place, write_then_crash)
+    assert rows_of(sinks.read_batches(spark, place("rides"), ddl(RIDES))) == batch_rides
+
+
+def test_default_trigger_runs_until_stopped(spark, place, rows, batch_rides):
+    write_feed(rows, place("feed"), 10)
+    stream = feeds.ride_stream(feeds.feed_stream(spark, place("feed"), "parquet"), zones(spark))
+    query = sinks.append_stream(stream, place("rides"), place("checkpoint"))
+    try:
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    assert rows_of(read_rides(spark, place("rides"))) == batch_rides
+
+
+def test_large_zone_dimension_does_not_change_the_stream(spark, place, rows, batch_rides, monkeypatch):
+    from tripflow.operators import enrich as joins
+
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
+    write_feed(rows, place("feed"), 10)
+    drain(feeds.ride_stream(feeds.feed_stream(spark, place("feed"), "parquet"), zones(spark)), place)
+    assert rows_of(read_rides(spark, place("rides"))) == batch_rides

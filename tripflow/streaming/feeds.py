@@ -18,7 +18,7 @@ def feed_stream(
     fmt: str,
     *,
     files_per_trigger: int | None = None,
-    bytes_per_trigger: str | None = None,
+    bytes_per_trigger: int | None = None,
     glob: str | None = None,
     schema: str | None = None,
 ) -> DataFrame:

@@ -2,8 +2,8 @@
 
 ``append_stream`` is the default: the file sink's log decides which files count. Where rows must
 show which micro-batch brought them, ``append_batches`` writes each batch to its own
-``batch_id`` folder and overwrites that folder when the batch is run again, so a crash between
-write and commit leaves no duplicates. Do not point both at one table.
+``batch_id`` partition and overwrites that partition when the batch is run again, so a crash
+between write and commit leaves no duplicates. Do not point both at one table.
 """
 
 from __future__ import annotations
@@ -36,14 +36,20 @@ def append_stream(
 
 
 def batch_writer(table: str) -> Callable[[DataFrame, int], None]:
-    """Writes a micro-batch to its folder of the table; empty ones are skipped.
+    """Writes a micro-batch over its own partition of the table, in one job.
 
-    ``isEmpty`` stops at the first row, so it costs far less than the persist it saves.
+    An empty batch has no rows for any partition and so writes no file; asking ``isEmpty`` first
+    would read the batch's files a second time.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            batch.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        (
+            batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(table)
+        )
 
     return write
 
@@ -55,7 +61,7 @@ def append_batches(
     trigger: dict | None = None,
     write: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
-    """Starts a query that writes each micro-batch to its own ``batch_id`` folder."""
+    """Starts a query that writes each micro-batch to its own ``batch_id`` partition."""
     writer = (
         rows.writeStream.foreachBatch(write or batch_writer(table))
         .option("checkpointLocation", checkpoint)
