@@ -4,11 +4,13 @@ import pytest
 from pyspark.errors import StreamingQueryException
 
 from tests.builders import feed, zones
+from tripflow.operators import enrich as joins
 from tripflow.operators.clean import clean
 from tripflow.operators.enrich import enrich
 from tripflow.schemas import FEED, RIDES, ddl
 from tripflow.sources.files import read_rides, write_feed
 from tripflow.streaming import feeds, sinks
+from tripflow.streaming.rides import ride_stream, start_rides
 
 
 def rows_of(frame):
@@ -51,7 +53,7 @@ def in_batches(stream, place, write=None):
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
 def test_stream_equals_batch(spark, place, rows, batch_rides, fmt):
     write_feed(rows, place("feed"), 10, fmt)
-    drain(feeds.ride_stream(feeds.feed_stream(spark, place("feed"), fmt), zones(spark)), place)
+    drain(ride_stream(feeds.feed_stream(spark, place("feed"), fmt), zones(spark)), place)
     assert rows_of(read_rides(spark, place("rides"))) == batch_rides
 
 
@@ -59,13 +61,13 @@ def test_both_formats_end_in_one_table(spark, place, rows, batch_rides):
     write_feed(rows, place("feed"), 10, "csv")
     write_feed(rows, place("feed"), 10, "parquet")
     stream = feeds.all_feeds(spark, place("feed"), files_per_trigger=2)
-    drain(feeds.ride_stream(stream, zones(spark)), place)
+    drain(ride_stream(stream, zones(spark)), place)
     expected = Counter({row: 2 * n for row, n in batch_rides.items()})
     assert rows_of(read_rides(spark, place("rides"))) == expected
 
 
 def test_empty_folder_is_made_and_waited_on(spark, place, tmp_path, rows, batch_rides):
-    stream = feeds.ride_stream(feeds.all_feeds(spark, place("feed")), zones(spark))
+    stream = ride_stream(feeds.all_feeds(spark, place("feed")), zones(spark))
     drain(stream, place)
     assert (tmp_path / "feed").is_dir()
     assert read_rides(spark, place("rides")).count() == 0
@@ -77,7 +79,7 @@ def test_empty_folder_is_made_and_waited_on(spark, place, tmp_path, rows, batch_
 def test_half_written_files_wait(spark, place, tmp_path, rows, batch_rides):
     write_feed(rows, place("feed"), 100)
     (tmp_path / "feed" / "next.parquet.tmp").write_text("half written")
-    drain(feeds.ride_stream(feeds.feed_stream(spark, place("feed"), "parquet"), zones(spark)), place)
+    drain(ride_stream(feeds.feed_stream(spark, place("feed"), "parquet"), zones(spark)), place)
     assert rows_of(read_rides(spark, place("rides"))) == batch_rides
 
 
@@ -88,7 +90,7 @@ def test_csv_with_other_column_order_fails_rather_than_shifts(spark, place, rows
 
 
 def test_restart_takes_only_new_files(spark, place, rows):
-    stream = feeds.ride_stream(feeds.feed_stream(spark, place("feed"), "parquet"), zones(spark))
+    stream = ride_stream(feeds.feed_stream(spark, place("feed"), "parquet"), zones(spark))
     for runs in (1, 2):
         write_feed(rows, place("feed"), 100)
         drain(stream, place)
@@ -116,7 +118,7 @@ def test_bytes_limit_batches_too(spark, place, rows):
 
 def test_empty_batches_write_nothing(spark, place, tmp_path):
     write_feed(feed(spark, {"fare_amount": -1.0}), place("feed"), 10)
-    stream = feeds.ride_stream(feeds.feed_stream(spark, place("feed"), "parquet"), zones(spark))
+    stream = ride_stream(feeds.feed_stream(spark, place("feed"), "parquet"), zones(spark))
     in_batches(stream, place)
     assert not list((tmp_path).glob("rides/batch_id=*"))
 
@@ -134,7 +136,7 @@ def test_crash_between_write_and_commit_leaves_no_duplicates(spark, place, rows,
 
     def stream():
         source = feeds.feed_stream(spark, place("feed"), "parquet", files_per_trigger=1)
-        return feeds.ride_stream(source, zones(spark))
+        return ride_stream(source, zones(spark))
 
     with pytest.raises(StreamingQueryException, match="lost before the commit"):
         in_batches(stream(), place, write_then_crash)
@@ -145,7 +147,7 @@ def test_crash_between_write_and_commit_leaves_no_duplicates(spark, place, rows,
 
 def test_default_trigger_runs_until_stopped(spark, place, rows, batch_rides):
     write_feed(rows, place("feed"), 10)
-    stream = feeds.ride_stream(feeds.feed_stream(spark, place("feed"), "parquet"), zones(spark))
+    stream = ride_stream(feeds.feed_stream(spark, place("feed"), "parquet"), zones(spark))
     query = sinks.append_stream(stream, place("rides"), place("checkpoint"))
     try:
         query.processAllAvailable()
@@ -155,10 +157,21 @@ def test_default_trigger_runs_until_stopped(spark, place, rows, batch_rides):
     assert rows_of(read_rides(spark, place("rides"))) == batch_rides
 
 
-def test_large_zone_dimension_does_not_change_the_stream(spark, place, rows, batch_rides, monkeypatch):
-    from tripflow.operators import enrich as joins
+@pytest.mark.parametrize("by_batch", [False, True])
+def test_started_job_equals_batch(spark, place, rows, batch_rides, by_batch):
+    write_feed(rows, place("feed"), 10)
+    feed = feeds.feed_stream(spark, place("feed"), "parquet")
+    start = (feed, zones(spark), place("rides"), place("checkpoint"), sinks.AVAILABLE_NOW, by_batch)
+    sinks.run_available(start_rides(*start))
+    assert rows_of(read_rides(spark, place("rides"))) == batch_rides
+
 
+def test_large_zone_dimension_is_joined_per_batch(spark, place, rows, batch_rides, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
     write_feed(rows, place("feed"), 10)
-    drain(feeds.ride_stream(feeds.feed_stream(spark, place("feed"), "parquet"), zones(spark)), place)
+    feed = feeds.feed_stream(spark, place("feed"), "parquet", files_per_trigger=2)
+    with pytest.raises(ValueError, match="micro-batch"):
+        ride_stream(feed, zones(spark))
+    start = (feed, zones(spark), place("rides"), place("checkpoint"), sinks.AVAILABLE_NOW)
+    sinks.run_available(start_rides(*start))
     assert rows_of(read_rides(spark, place("rides"))) == batch_rides

@@ -3,6 +3,9 @@
 A dimension is broadcast only after its rows and bytes were measured. Beyond the bound the join
 shuffles, and then the ids that carry most rows (one zone may hold a third of them) and the rows
 without an id are kept out of the shuffle, so no task receives a hot group whole.
+
+Measuring, and finding the hot ids of a large dimension's rides, are jobs that run when the join
+is built.
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 * 1024 * 1024
-HOT_KEYS = 1_000
+HOT_KEYS = 20_000
 
 
 def fits_broadcast(
@@ -35,8 +38,9 @@ def fits_broadcast(
 def _join_spreading_hot_keys(facts: DataFrame, names: DataFrame, key: str) -> DataFrame:
     """Left join to a dimension too large to broadcast.
 
-    Any id outside the ``HOT_KEYS`` most frequent ones holds less than 1/``HOT_KEYS`` of the
-    rows, so it can be shuffled; the frequent ids need so few dimension rows that those fit.
+    The most frequent ids, at most ``HOT_KEYS`` of them, are collected: any other id holds less
+    than 1/``HOT_KEYS`` of the rows and can be shuffled. Rows with a frequent id or none stay
+    where they are, as the few dimension rows they need fit a broadcast.
     """
     frequent = (
         facts.filter(F.col(key).isNotNull())
@@ -46,8 +50,9 @@ def _join_spreading_hot_keys(facts: DataFrame, names: DataFrame, key: str) -> Da
         .limit(HOT_KEYS)
         .select(key, F.lit(True).alias("_hot"))
     )
-    marked = facts.join(F.broadcast(frequent), key, "left")
-    hot_names = names.join(F.broadcast(frequent.drop("_hot")), key, "left_semi")
+    hot = facts.sparkSession.createDataFrame(frequent.collect(), frequent.schema)
+    marked = facts.join(F.broadcast(hot), key, "left")
+    hot_names = names.join(F.broadcast(hot), key, "left_semi")
     if fits_broadcast(hot_names):
         hot_names = F.broadcast(hot_names)
     in_place = marked.filter(F.col("_hot") | F.col(key).isNull()).join(hot_names, key, "left")
@@ -61,8 +66,7 @@ def _join_names(facts: DataFrame, names: DataFrame, key: str, small: bool) -> Da
     if small:
         return facts.join(F.broadcast(names), key, "left")
     if facts.isStreaming:
-        # A micro-batch is bounded by the feed's files or bytes per trigger.
-        return facts.join(names, key, "left")
+        raise ValueError("zones exceed the broadcast bound: join them per micro-batch")
     return _join_spreading_hot_keys(facts, names, key)
 
 
@@ -73,6 +77,11 @@ def _zone_names(zones: DataFrame, side: str) -> DataFrame:
     )
 
 
+def zones_fit_broadcast(zones: DataFrame) -> bool:
+    """Whether the part of the zone dimension that rides need may be broadcast."""
+    return fits_broadcast(_zone_names(zones, "pickup"))
+
+
 def join_zone(
     rides: DataFrame, zones: DataFrame, side: str, *, small: bool | None = None
 ) -> DataFrame:
@@ -82,12 +91,12 @@ def join_zone(
     """
     names = _zone_names(zones, side)
     if small is None:
-        small = fits_broadcast(names)
+        small = zones_fit_broadcast(zones)
     return _join_names(rides, names, f"{side}_location_id", small)
 
 
 def enrich(rides: DataFrame, zones: DataFrame, *, small: bool | None = None) -> DataFrame:
     """Adds ``pickup_zone`` and ``dropoff_zone``, measuring the dimension once for both."""
     if small is None:
-        small = fits_broadcast(_zone_names(zones, "pickup"))
+        small = zones_fit_broadcast(zones)
     return join_zone(join_zone(rides, zones, "pickup", small=small), zones, "dropoff", small=small)

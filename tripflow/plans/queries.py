@@ -20,6 +20,7 @@ from tripflow.schemas import FEED, LABEL, PREDICTION, RIDES, ddl
 from tripflow.sources import files
 from tripflow.sources.folders import run_folder
 from tripflow.streaming import feeds, sinks
+from tripflow.streaming.rides import start_rides
 
 KEY = events.KEY
 SAMPLE_ROWS = 5_000
@@ -267,11 +268,17 @@ def stream_union_feeds(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_clean_rides(spark: SparkSession, folder: str) -> DataFrame:
-    path = _feed_folder(spark, folder, "parquet")
-    rides = feeds.ride_stream(
-        feeds.feed_stream(spark, path, "parquet"), events.zones(spark, folder)
+    feed = feeds.feed_stream(spark, _feed_folder(spark, folder, "parquet"), "parquet")
+    table = run_folder(spark, "rides")
+    query = start_rides(
+        feed,
+        events.zones(spark, folder),
+        table,
+        run_folder(spark, "checkpoint"),
+        sinks.AVAILABLE_NOW,
     )
-    return _drain(rides, ddl(RIDES))
+    sinks.run_available(query)
+    return files.read_rides(spark, table)
 
 
 def _trip_batches(spark: SparkSession, folder: str) -> DataFrame:

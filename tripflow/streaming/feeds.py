@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.operators.clean import clean
-from tripflow.operators.enrich import enrich
 from tripflow.schemas import FEED, ddl
 from tripflow.sources.folders import ensure_folder
 
@@ -50,8 +48,3 @@ def all_feeds(spark: SparkSession, path: str, **limits) -> DataFrame:
     return feed_stream(spark, path, "csv", **limits).unionByName(
         feed_stream(spark, path, "parquet", **limits)
     )
-
-
-def ride_stream(feed: DataFrame, zones: DataFrame) -> DataFrame:
-    """Rides of a feed stream: the batch rules, and stream-static joins to the zones."""
-    return enrich(clean(feed), zones)

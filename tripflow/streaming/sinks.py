@@ -61,7 +61,10 @@ def append_batches(
     trigger: dict | None = None,
     write: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
-    """Starts a query that writes each micro-batch to its own ``batch_id`` partition."""
+    """Starts a query that writes each micro-batch to its own ``batch_id`` partition.
+
+    ``write`` may stand in for the writer of ``batch_writer``.
+    """
     writer = (
         rows.writeStream.foreachBatch(write or batch_writer(table))
         .option("checkpointLocation", checkpoint)
