@@ -20,7 +20,7 @@ def duck(folder: str) -> duckdb.DuckDBPyConnection:
 
 def _value(value):
     if isinstance(value, float):
-        return "NaN" if math.isnan(value) else float(f"{value:.12g}")
+        return "NaN" if math.isnan(value) else value
     return value
 
 

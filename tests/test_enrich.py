@@ -40,27 +40,33 @@ def expected(rows, copies=1):
 @pytest.mark.parametrize("hot_keys", [1, 50, 1_000])
 def test_shuffled_join_equals_the_definition(skewed, dimension, monkeypatch, hot_keys):
     monkeypatch.setattr(joins, "HOT_KEYS", hot_keys)
-    joined = joins.join_zone(skewed, dimension, "pickup", small=False)
+    joined = joins.enrich(skewed, dimension, ("pickup",), small=False)
     assert as_counter(joined) == expected(skewed)
 
 
 def test_broadcast_join_equals_the_definition(skewed, dimension):
-    assert as_counter(joins.join_zone(skewed, dimension, "pickup", small=True)) == expected(skewed)
+    assert as_counter(joins.enrich(skewed, dimension, ("pickup",), small=True)) == expected(skewed)
 
 
 @pytest.mark.parametrize("small", [True, False])
 def test_repeated_dimension_keys_fan_out_as_in_any_left_join(skewed, dimension, small):
     twice = dimension.union(dimension)
-    joined = joins.join_zone(skewed, twice, "pickup", small=small)
+    joined = joins.enrich(skewed, twice, ("pickup",), small=small)
     assert as_counter(joined) == expected(skewed, copies=2)
 
 
 def test_hot_and_missing_keys_stay_out_of_the_shuffle(spark, skewed, dimension):
-    shuffled = joins.join_zone(skewed, dimension, "pickup", small=False)
+    shuffled = joins.enrich(skewed, dimension, ("pickup",), small=False)
     plan = shuffled._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" in plan and "Cross" not in plan
 
 
+def test_hot_ids_are_those_above_their_share(skewed, monkeypatch):
+    for share, ids in ((2, set()), (4, {1})):
+        monkeypatch.setattr(joins, "HOT_KEYS", share)
+        assert {row[0] for row in joins.hot_ids(skewed, "pickup_location_id").collect()} == ids
+
+
 def test_bounds_decide(dimension):
     names = dimension.select("LocationID", "Zone")
     assert joins.fits_broadcast(names)

@@ -23,34 +23,36 @@ def fits_broadcast(
     max_rows: int | None = None,
     max_bytes: int | None = None,
 ) -> bool:
-    """Measures a dimension (one small job that stops at ``max_rows + 1`` rows)."""
+    """Measures a dimension's rows and the bytes of its values as text (runs a job)."""
     max_rows = BROADCAST_ROWS if max_rows is None else max_rows
     max_bytes = BROADCAST_BYTES if max_bytes is None else max_bytes
     text = F.concat_ws("", *[F.col(name).cast("string") for name in dimension.columns])
-    size = (
-        dimension.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(text)).alias("bytes"))
-        .first()
-    )
+    size = dimension.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(text)).alias("bytes")
+    ).first()
     return size.rows <= max_rows and (size.bytes or 0) <= max_bytes
 
 
-def _join_spreading_hot_keys(facts: DataFrame, names: DataFrame, key: str) -> DataFrame:
+def hot_ids(facts: DataFrame, key: str) -> DataFrame:
+    """The ids that each hold more than 1/``HOT_KEYS`` of the rows (runs a job).
+
+    There are fewer than ``HOT_KEYS`` of them by that definition, so they can be collected.
+    """
+    per_id = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    total = per_id.agg(F.sum("_rows")).scalar()
+    hot = per_id.filter(F.col(key).isNotNull() & (F.col("_rows") * HOT_KEYS > total))
+    ids = hot.select(key, F.lit(True).alias("_hot"))
+    return facts.sparkSession.createDataFrame(ids.collect(), ids.schema)
+
+
+def _join_spreading_hot_ids(
+    facts: DataFrame, names: DataFrame, key: str, hot: DataFrame
+) -> DataFrame:
     """Left join to a dimension too large to broadcast.
 
-    The most frequent ids, at most ``HOT_KEYS`` of them, are collected: any other id holds less
-    than 1/``HOT_KEYS`` of the rows and can be shuffled. Rows with a frequent id or none stay
-    where they are, as the few dimension rows they need fit a broadcast.
+    Rows with a hot id or none stay where they are, as the few dimension rows they need fit a
+    broadcast. The remaining ids are small enough to be shuffled.
     """
-    frequent = (
-        facts.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .orderBy(F.desc("_rows"), key)
-        .limit(HOT_KEYS)
-        .select(key, F.lit(True).alias("_hot"))
-    )
-    hot = facts.sparkSession.createDataFrame(frequent.collect(), frequent.schema)
     marked = facts.join(F.broadcast(hot), key, "left")
     hot_names = names.join(F.broadcast(hot), key, "left_semi")
     if fits_broadcast(hot_names):
@@ -62,14 +64,6 @@ def _join_spreading_hot_keys(facts: DataFrame, names: DataFrame, key: str) -> Da
     return in_place.unionByName(shuffled).drop("_hot")
 
 
-def _join_names(facts: DataFrame, names: DataFrame, key: str, small: bool) -> DataFrame:
-    if small:
-        return facts.join(F.broadcast(names), key, "left")
-    if facts.isStreaming:
-        raise ValueError("zones exceed the broadcast bound: join them per micro-batch")
-    return _join_spreading_hot_keys(facts, names, key)
-
-
 def _zone_names(zones: DataFrame, side: str) -> DataFrame:
     return zones.select(
         F.col("LocationID").cast("bigint").alias(f"{side}_location_id"),
@@ -82,21 +76,29 @@ def zones_fit_broadcast(zones: DataFrame) -> bool:
     return fits_broadcast(_zone_names(zones, "pickup"))
 
 
-def join_zone(
-    rides: DataFrame, zones: DataFrame, side: str, *, small: bool | None = None
+def enrich(
+    rides: DataFrame,
+    zones: DataFrame,
+    sides: tuple[str, ...] = ("pickup", "dropoff"),
+    *,
+    small: bool | None = None,
 ) -> DataFrame:
     """Adds ``{side}_zone`` by ``{side}_location_id``; null where no zone matches.
 
-    ``side`` is ``pickup`` or ``dropoff``. Measures the dimension unless ``small`` is given.
+    Measures the dimension unless ``small`` says whether it may be broadcast. The hot ids of all
+    sides are found before the first join, which their job would otherwise run again.
     """
-    names = _zone_names(zones, side)
     if small is None:
         small = zones_fit_broadcast(zones)
-    return _join_names(rides, names, f"{side}_location_id", small)
-
+    if not small and rides.isStreaming:
+        raise ValueError("zones exceed the broadcast bound: join them per micro-batch")
 
-def enrich(rides: DataFrame, zones: DataFrame, *, small: bool | None = None) -> DataFrame:
-    """Adds ``pickup_zone`` and ``dropoff_zone``, measuring the dimension once for both."""
-    if small is None:
-        small = zones_fit_broadcast(zones)
-    return join_zone(join_zone(rides, zones, "pickup", small=small), zones, "dropoff", small=small)
+    keys = {side: f"{side}_location_id" for side in sides}
+    hot = {} if small else {side: hot_ids(rides, key) for side, key in keys.items()}
+    for side, key in keys.items():
+        names = _zone_names(zones, side)
+        if small:
+            rides = rides.join(F.broadcast(names), key, "left")
+        else:
+            rides = _join_spreading_hot_ids(rides, names, key, hot[side])
+    return rides

@@ -131,18 +131,18 @@ def reject_reasons(spark: SparkSession, folder: str) -> DataFrame:
 
 def join_pickup_zone(spark: SparkSession, folder: str) -> DataFrame:
     rides = events.rides(spark, folder).select(*KEY, "pickup_location_id")
-    return enrich.join_zone(rides, events.zones(spark, folder), "pickup")
+    return enrich.enrich(rides, events.zones(spark, folder), ("pickup",))
 
 
 def join_dropoff_zone(spark: SparkSession, folder: str) -> DataFrame:
     rides = events.rides(spark, folder).select(*KEY, "dropoff_location_id")
-    return enrich.join_zone(rides, events.zones(spark, folder), "dropoff")
+    return enrich.enrich(rides, events.zones(spark, folder), ("dropoff",))
 
 
 def join_large_dimension(spark: SparkSession, folder: str) -> DataFrame:
     """The join for a dimension beyond the broadcast bound, on the same tables."""
     rides = events.rides(spark, folder).select(*KEY, "pickup_location_id")
-    return enrich.join_zone(rides, events.zones(spark, folder), "pickup", small=False)
+    return enrich.enrich(rides, events.zones(spark, folder), ("pickup",), small=False)
 
 
 # --- Reports ---------------------------------------------------------------------------------
