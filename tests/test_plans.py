@@ -7,9 +7,8 @@ from tests.builders import feed, zones
 from tests.comparing import TABLES
 from tripflow.operators import enrich, metrics, sampling
 from tripflow.operators.clean import clean
-from tripflow.plans import reports
+from tripflow.operators.rollup import ride_rollup
 from tripflow.schemas import FEED, ddl
-from tripflow.sources.files import read_rides
 
 FOLDER = str(TABLES / "sf0.001")
 STREAMED = [name for name in registry.queries() if name.startswith("stream_")]
@@ -89,20 +88,6 @@ def test_no_query_multiplies_rows_or_runs_python(name, spark):
         assert operator not in plan
 
 
-def test_report_pages(spark, stored_feed, tmp_path):
-    rides = enrich.enrich(clean(stored_feed), zones(spark))
-    rides.write.parquet(str(tmp_path / "rides"))
-    table = read_rides(spark, str(tmp_path / "rides"))
-    pages = {**reports.overview(table), **reports.analytics(table, zones(spark))}
-    assert {name: frame.count() for name, frame in pages.items()} == {
-        "kpis": 1,
-        "live": 1,
-        "recent": 1,
-        "peak_hour": 1,
-        "busiest_zone": 1,
-        "average_tip": 1,
-        "hours": 1,
-        "payments": 1,
-        "top_zones": 1,
-        "boroughs": 1,
-    }
+def test_a_rollup_is_one_partial_aggregation_of_one_scan(stored_feed):
+    plan = plan_of(ride_rollup(clean(stored_feed)))
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1

@@ -43,8 +43,12 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
     """Print the report pages of a ride table."""
     rides = files.read_rides(spark, args.rides)
-    pages = reports.overview(rides)
-    pages.update(reports.analytics(rides, files.read_zones(spark, args.zones)))
+    rollup = reports.stored_rollup(rides, run_folder(spark, "rollup"))
+    pages = {
+        **reports.overview(rollup),
+        **reports.analytics(rollup, files.read_zones(spark, args.zones)),
+        **reports.latest(rides),
+    }
     for name, page in pages.items():
         print(name)
         page.show(args.rows, truncate=False)

@@ -1,45 +1,44 @@
 """KPIs, breakdowns and top lists over rides.
 
-Zone reports take rides either with ``pickup_zone`` (the stored table) or, given the zone
+All but the per-ride ones also take a ``ride_rollup`` in place of rides. Zone reports take rides either with ``pickup_zone`` (the stored table) or, given the zone
 dimension, with ``pickup_location_id`` alone. In the second form trips are counted per id first
 and only those few counts are joined to names, so no join touches the rides themselves.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.functions.trips import fare_per_mile
+from tripflow.operators.rollup import average, is_rollup, total, trip_count
 from tripflow.schemas import UNKNOWN
 
 
-def _count() -> Column:
-    return F.count(F.lit(1))
-
-
 def kpi_summary(rides: DataFrame) -> DataFrame:
     """One row: trips, revenue and the three averages, in one pass over three columns."""
     return rides.agg(
-        _count().alias("total_trips"),
-        F.coalesce(F.sum("fare_amount"), F.lit(0.0)).alias("total_revenue"),
-        F.avg("fare_amount").alias("average_fare"),
-        F.avg("ride_duration_minutes").alias("average_duration"),
-        F.avg("trip_distance").alias("average_distance"),
+        trip_count(rides).alias("total_trips"),
+        F.coalesce(total(rides, "fare_amount"), F.lit(0.0)).alias("total_revenue"),
+        average(rides, "fare_amount").alias("average_fare"),
+        average(rides, "ride_duration_minutes").alias("average_duration"),
+        average(rides, "trip_distance").alias("average_distance"),
     )
 
 
 def average_tip(rides: DataFrame) -> DataFrame:
-    return rides.agg(F.avg("tip_amount").alias("average_tip"))
+    return rides.agg(average(rides, "tip_amount").alias("average_tip"))
 
 
 def live_incoming(current: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     """Rides that ``current`` has more than an earlier snapshot; 0 without one."""
-    counts = current.agg(_count().alias("now"), F.lit(0).cast("bigint").alias("before"))
+    counts = current.agg(trip_count(current).alias("now"), F.lit(0).cast("bigint").alias("before"))
     if previous is None:
         counts = counts.withColumn("before", F.col("now"))
     else:
-        earlier = previous.agg(F.lit(0).cast("bigint").alias("now"), _count().alias("before"))
+        earlier = previous.agg(
+            F.lit(0).cast("bigint").alias("now"), trip_count(previous).alias("before")
+        )
         counts = counts.unionByName(earlier).agg(
             F.sum("now").alias("now"), F.sum("before").alias("before")
         )
@@ -49,7 +48,7 @@ def live_incoming(current: DataFrame, previous: DataFrame | None = None) -> Data
 
 def _trips_by_hour(rides: DataFrame) -> DataFrame:
     known = rides.filter(F.col("pickup_hour").isNotNull())
-    return known.groupBy("pickup_hour").agg(_count().alias("trips"))
+    return known.groupBy("pickup_hour").agg(trip_count(rides).alias("trips"))
 
 
 def trips_per_hour(rides: DataFrame) -> DataFrame:
@@ -63,10 +62,13 @@ def peak_hour(rides: DataFrame) -> DataFrame:
 
 def average_fare_by_hour(rides: DataFrame, top: int = 5) -> DataFrame:
     """The hours with the highest average fare, in SQL; equals by hour."""
+    average_fare = "avg(fare_amount)"
+    if is_rollup(rides):
+        average_fare = "try_divide(sum(fare_amount_sum), sum(fare_amount_count))"
     return rides.sparkSession.sql(
-        """
-        select pickup_hour, round(avg(fare_amount), 2) as avg_fare
-        from {rides}
+        f"""
+        select pickup_hour, round({average_fare}, 2) as avg_fare
+        from {{rides}}
         group by all
         order by avg_fare desc, pickup_hour
         limit :top
@@ -83,9 +85,9 @@ def payment_mix(rides: DataFrame) -> DataFrame:
     partitions: payment types come from dropped files, so their number has no bound.
     """
     known = rides.filter(F.col("payment_type").isNotNull())
-    trips = known.groupBy("payment_type").agg(_count().alias("trips"))
-    total = trips.agg(F.sum("trips")).scalar()
-    return trips.withColumn("share", F.col("trips") / total).orderBy(
+    trips = known.groupBy("payment_type").agg(trip_count(rides).alias("trips"))
+    all_trips = trips.agg(F.sum("trips")).scalar()
+    return trips.withColumn("share", F.col("trips") / all_trips).orderBy(
         F.desc("trips"), "payment_type"
     )
 
@@ -93,10 +95,10 @@ def payment_mix(rides: DataFrame) -> DataFrame:
 def _trips_by_zone(rides: DataFrame, zones: DataFrame | None) -> DataFrame:
     """Trips per pickup zone name, the null zone included."""
     if "pickup_zone" in rides.columns:
-        return rides.groupBy("pickup_zone").agg(_count().alias("trips"))
+        return rides.groupBy("pickup_zone").agg(trip_count(rides).alias("trips"))
     if zones is None:
         raise ValueError("rides without pickup_zone need the zone dimension")
-    per_id = rides.groupBy("pickup_location_id").agg(_count().alias("trips"))
+    per_id = rides.groupBy("pickup_location_id").agg(trip_count(rides).alias("trips"))
     names = zones.select(
         F.col("LocationID").cast("bigint").alias("pickup_location_id"),
         F.col("Zone").alias("pickup_zone"),

@@ -1,23 +1,36 @@
-"""The two report pages over a ride table, as named DataFrames of display text and numbers."""
+"""The two report pages over rides, as named DataFrames of display text and numbers.
+
+Each page takes rides or a ``ride_rollup`` of them. ``stored_rollup`` scans the rides once and
+stores the few rows that all reports of both pages but the latest rides are then read from.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 from tripflow.operators import display, metrics
+from tripflow.operators.rollup import ride_rollup
+
+
+def stored_rollup(rides: DataFrame, folder: str) -> DataFrame:
+    """Writes the rollup of the rides to a new folder and reads it back (runs a job)."""
+    ride_rollup(rides).write.parquet(folder)
+    return rides.sparkSession.read.parquet(folder)
 
 
-def overview(
-    rides: DataFrame, zones: DataFrame | None = None, previous: DataFrame | None = None
-) -> dict[str, DataFrame]:
-    """KPIs, rides that came in since ``previous``, and the latest rides."""
+def overview(rides: DataFrame, previous: DataFrame | None = None) -> dict[str, DataFrame]:
+    """KPIs, and rides that came in since ``previous``."""
     return {
         "kpis": display.kpi_display(metrics.kpi_summary(rides)),
         "live": display.live_display(metrics.live_incoming(rides, previous)),
-        "recent": display.recent_rides_display(metrics.recent_rides(rides, zones)),
     }
 
 
+def latest(rides: DataFrame, zones: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The latest rides themselves."""
+    return {"recent": display.recent_rides_display(metrics.recent_rides(rides, zones))}
+
+
 def analytics(rides: DataFrame, zones: DataFrame) -> dict[str, DataFrame]:
     """Peak hour, busiest zone, tips, hours, payment mix, top zones and boroughs."""
     return {
