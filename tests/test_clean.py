@@ -62,7 +62,10 @@ def test_reasons_account_for_every_dropped_row(spark):
 
 
 def test_each_side_is_cut_to_the_second_before_the_difference(spark):
-    times = {"pickup_datetime": "2020-01-01 10:00:00.9", "dropoff_datetime": "2020-01-01 12:00:00.1"}
+    times = {
+        "pickup_datetime": "2020-01-01 10:00:00.9",
+        "dropoff_datetime": "2020-01-01 12:00:00.1",
+    }
     assert clean(feed(spark, times)).first().ride_duration_minutes == 120.0
 
 

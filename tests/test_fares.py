@@ -30,9 +30,8 @@ def trips(spark):
         pickup = chance.choice([1, 2, 3, 5, 77, None])
         fare = 3 + 2.5 * miles + 0.3 * minutes + (20 if pickup == 2 else 0)
         passengers = None if n % 50 == 0 else 1 + n % 4
-        rows.append(
-            (n, start, start + timedelta(minutes=minutes), miles, pickup, 1 + n % 4, fare, None, passengers, 1)
-        )
+        end = start + timedelta(minutes=minutes)
+        rows.append((n, start, end, miles, pickup, 1 + n % 4, fare, None, passengers, 1))
     return spark.createDataFrame(rows, TRIP)
 
 
@@ -86,8 +85,9 @@ def test_without_a_key_the_whole_row_decides(spark, trips, tmp_path):
 
 
 def test_sample_is_about_the_size_asked_for(spark, trips, tmp_path):
+    tiny = {"sample_rows": 1_000, "trees": 1, "depth": 1}
     training = fares.train_fare_model(
-        trips, zones(spark), str(tmp_path / "s"), key=["trip_id"], sample_rows=1_000, trees=1, depth=1
+        trips, zones(spark), str(tmp_path / "s"), key=["trip_id"], **tiny
     )
     assert 900 < training.train.count() + training.test.count() < 1_100
 

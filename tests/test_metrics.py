@@ -1,13 +1,14 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.builders import rides, zones
+from tripflow.functions import text
 from tripflow.functions.trips import estimated_minutes
 from tripflow.operators import display, metrics
 from tripflow.operators.requests import request_features, valid_requests
 from tripflow.schemas import REQUESTS, ddl
-from pyspark.sql import functions as F
 
 
 def values(frame):
@@ -70,7 +71,8 @@ def test_payment_mix_leaves_out_nulls(table):
 
 
 def test_zone_reports(table, empty, spark):
-    assert sorted(values(metrics.trips_per_zone(table))) == [("Alpha", 1), ("Beta", 2), ("Nowhere", 1)]
+    counts = [("Alpha", 1), ("Beta", 2), ("Nowhere", 1)]
+    assert sorted(values(metrics.trips_per_zone(table))) == counts
     assert values(metrics.busiest_zone(table)) == [("Beta", 2)]
     assert values(metrics.top_pickup_zones(table, top=2)) == [("Beta", 2), ("Alpha", 1)]
     assert values(metrics.busiest_zone(empty)) == []
@@ -128,12 +130,12 @@ def test_recent_rides_with_repeated_zone_ids_still_gives_ten(spark):
 
 @pytest.mark.parametrize("number", [0.125, 0.375, 2.675, 1234.565, 0.5, 1.5, 2.5, 999999.995])
 def test_numbers_round_as_python_formats_them(spark, number):
-    row = spark.range(1).select(F.lit(number).alias("v"))
-    from tripflow.functions import text
-
-    shown = row.select(
-        text.money(F.col("v")), text.money(F.col("v"), 0), text.miles(F.col("v")), text.minutes(F.col("v"))
-    ).first()
+    value = F.lit(number)
+    shown = (
+        spark.range(1)
+        .select(text.money(value), text.money(value, 0), text.miles(value), text.minutes(value))
+        .first()
+    )
     assert tuple(shown) == (
         f"${number:,.2f}",
         f"${number:,.0f}",
@@ -143,16 +145,16 @@ def test_numbers_round_as_python_formats_them(spark, number):
 
 
 def test_fare_per_mile_of_no_distance_is_zero(spark):
-    frame = spark.createDataFrame([(10.0, 4.0), (10.0, 0.0)], "fare_amount double, trip_distance double")
-    assert [row.fare_per_mile for row in metrics.with_fare_per_mile(frame).collect()] == [2.5, 0.0]
+    schema = "fare_amount double, trip_distance double"
+    frame = metrics.with_fare_per_mile(spark.createDataFrame([(10.0, 4.0), (10.0, 0.0)], schema))
+    assert [row.fare_per_mile for row in frame.collect()] == [2.5, 0.0]
 
 
 def test_rmse(spark):
     frame = spark.createDataFrame([(1.0, 2.0), (5.0, 2.0)], "y double, p double")
     assert metrics.root_mean_squared_error(frame, "y", "p").first().rmse == pytest.approx(5**0.5)
-    split = spark.createDataFrame(
-        [("train", 2.0), ("train", 4.0), ("test", 1.0), ("test", 7.0)], "split string, fare_amount double"
-    )
+    parts = [("train", 2.0), ("train", 4.0), ("test", 1.0), ("test", 7.0)]
+    split = spark.createDataFrame(parts, "split string, fare_amount double")
     row = metrics.mean_predictor_rmse(split).first()
     assert (row.test_rows, row.rmse) == (2, pytest.approx(10**0.5))
 

@@ -32,7 +32,7 @@ def test_a_single_trip_file_can_be_read(spark, tmp_path):
 
 def test_zones(spark, tmp_path):
     path = tmp_path / "zones.csv"
-    lines = [",".join(f'"{v}"' if isinstance(v, str) else str(v or "") for v in row) for row in ZONE_ROWS]
+    lines = [",".join("" if v is None else f'"{v}"' for v in row) for row in ZONE_ROWS]
     path.write_text('"LocationID","Borough","Zone","service_zone"\n' + "\n".join(lines))
     read = files.read_zones(spark, str(path))
     assert [tuple(row) for row in read.collect()] == ZONE_ROWS

@@ -79,7 +79,8 @@ def test_empty_folder_is_made_and_waited_on(spark, place, tmp_path, rows, batch_
 def test_half_written_files_wait(spark, place, tmp_path, rows, batch_rides):
     write_feed(rows, place("feed"), 100)
     (tmp_path / "feed" / "next.parquet.tmp").write_text("half written")
-    drain(ride_stream(feeds.feed_stream(spark, place("feed"), "parquet"), zones(spark)), place)
+    feed = feeds.feed_stream(spark, place("feed"), "parquet")
+    drain(ride_stream(feed, zones(spark)), place)
     assert rows_of(read_rides(spark, place("rides"))) == batch_rides
 
 

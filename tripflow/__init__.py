@@ -1 +1 @@
-"""Trip analytics on Spark: feed normalisation, cleaning, zone joins, KPIs, streams and fare models."""
+"""Trip analytics on Spark: feeds, cleaning, zone joins, reports, streams and fare models."""

@@ -1,8 +1,9 @@
 """KPIs, breakdowns and top lists over rides.
 
-All but the per-ride ones also take a ``ride_rollup`` in place of rides. Zone reports take rides either with ``pickup_zone`` (the stored table) or, given the zone
-dimension, with ``pickup_location_id`` alone. In the second form trips are counted per id first
-and only those few counts are joined to names, so no join touches the rides themselves.
+All but the per-ride ones also take a ``ride_rollup`` in place of rides. Zone reports take rides
+either with ``pickup_zone`` (the stored table) or, given the zone dimension, with
+``pickup_location_id`` alone. In the second form trips are counted per id first and only those
+few counts are joined to names, so no join touches the rides themselves.
 """
 
 from __future__ import annotations

@@ -51,7 +51,7 @@ REQUEST_OF_EVENT = [
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
-    return read_trips(spark, folder, glob="events.parquet", schema=EVENTS)
+    return read_trips(spark, f"{folder}/events.parquet", schema=EVENTS)
 
 
 def trips_of(events: DataFrame) -> DataFrame:

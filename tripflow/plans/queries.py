@@ -159,11 +159,16 @@ def kpi_display(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def live_incoming(spark: SparkSession, folder: str) -> DataFrame:
-    """Rides that came in on the last day of the table."""
-    rides = events.rides(spark, folder)
-    last_day = rides.agg(F.max(F.to_date("pickup_datetime"))).scalar()
-    before = rides.filter(F.to_date("pickup_datetime") < last_day)
-    return metrics.live_incoming(rides, before)
+    """Rides that came in on the last day of the table.
+
+    Both snapshots are sums over the same daily counts, so the rides are scanned once. The
+    earlier one sets the last day's count to 0: a filter would be pushed into a second scan.
+    """
+    day = F.to_date("pickup_datetime").alias("day")
+    daily = events.rides(spark, folder).groupBy(day).agg(F.count(F.lit(1)).alias("trips"))
+    last_day = daily.agg(F.max(F.when(F.col("trips") > 0, F.col("day")))).scalar()
+    earlier = F.when(F.col("day") < last_day, F.col("trips")).otherwise(0)
+    return metrics.live_incoming(daily, daily.withColumn("trips", earlier))
 
 
 def avg_tip(spark: SparkSession, folder: str) -> DataFrame:
@@ -249,13 +254,12 @@ def stream_csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_parquet_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    """Streams the events table in place and normalises it on the way."""
+    """Streams the events table in place and normalises it on the way.
+
+    The wildcard stands for the table whether it is one file or a folder of files.
+    """
     stream = feeds.feed_stream(
-        spark,
-        folder,
-        "parquet",
-        glob="events.parquet",
-        schema="event_id bigint, ts timestamp_ntz, user_id bigint, value double",
+        spark, f"{folder}/events*.parquet", "parquet", schema=events.EVENTS
     )
     rows = normalize.normalize_feed(events.trips_of(stream))
     return _show_nan(_drain(rows, ddl(FEED)))

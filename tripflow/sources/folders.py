@@ -23,8 +23,13 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def ensure_folder(spark: SparkSession, path: str) -> str:
-    """Creates a folder, on whichever file system the path names, unless it is there."""
+    """Makes a folder, on whichever file system the path names, unless there is one.
+
+    A path with wildcards is left alone.
+    """
     gateway = spark.sparkContext._jvm
     folder = gateway.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.globStatus(folder) is None:
+        system.mkdirs(folder)
     return path

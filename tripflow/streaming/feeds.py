@@ -17,10 +17,9 @@ def feed_stream(
     *,
     files_per_trigger: int | None = None,
     bytes_per_trigger: int | None = None,
-    glob: str | None = None,
     schema: str | None = None,
 ) -> DataFrame:
-    """Stream of a folder's files of one format.
+    """Stream of a folder's files of one format; ``path`` may have wildcards.
 
     The declared schema lets an empty folder wait for files; the folder is made if it is not
     there. The glob keeps other formats and half-written ``.tmp`` files out. One file per
@@ -32,7 +31,7 @@ def feed_stream(
     reader = (
         spark.readStream.schema(schema or ddl(FEED))
         .format(fmt)
-        .option("pathGlobFilter", glob or GLOBS[fmt])
+        .option("pathGlobFilter", GLOBS[fmt])
     )
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
