@@ -128,6 +128,13 @@ def test_every_request_is_answered(spark, training):
     }
 
 
+def test_one_request_is_predicted_as_among_many(spark, training):
+    asked = (3.0, 2, 9, "Alpha", None)
+    many = fares.score_fares(spark.createDataFrame([asked] * 3, ddl(REQUESTS)), training.model)
+    fare = fares.predict_fare(spark, training.model, *asked)
+    assert {row.predicted_fare for row in many.collect()} == {fare}
+
+
 def test_result_card(spark, training):
     requests = spark.createDataFrame([(3.0, 1, 7, "Alpha", "Beta")], ddl(REQUESTS))
     row = display.fare_card(fares.score_fares(requests, training.model)).first()

@@ -75,6 +75,8 @@ def test_zone_reports(table, empty, spark):
     assert sorted(values(metrics.trips_per_zone(table))) == counts
     assert values(metrics.busiest_zone(table)) == [("Beta", 2)]
     assert values(metrics.top_pickup_zones(table, top=2)) == [("Beta", 2), ("Alpha", 1)]
+    top = metrics.top_pickup_zones(table)
+    assert values(display.smallest_first(top)) == values(top)[::-1]
     assert values(metrics.busiest_zone(empty)) == []
     assert values(metrics.trips_by_borough(table, zones(spark))) == [
         ("South", 2),

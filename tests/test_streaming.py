@@ -153,6 +153,7 @@ def test_default_trigger_runs_until_stopped(spark, place, rows, batch_rides):
     try:
         query.processAllAvailable()
         assert query.isActive
+        assert all(not progress["stateOperators"] for progress in query.recentProgress)
     finally:
         query.stop()
     assert rows_of(read_rides(spark, place("rides"))) == batch_rides

@@ -44,6 +44,11 @@ def payment_display(mix: DataFrame) -> DataFrame:
     return mix.withColumn("percent", text.percent(F.col("share")))
 
 
+def smallest_first(top: DataFrame) -> DataFrame:
+    """``top_pickup_zones`` turned round, as a bar chart lists them."""
+    return top.orderBy("trips", F.desc("pickup_zone"))
+
+
 def recent_rides_display(recent: DataFrame) -> DataFrame:
     """The five display columns of ``recent_rides``, in its order."""
     return recent.select(

@@ -17,7 +17,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.functions.trips import fare_per_mile
@@ -33,9 +33,11 @@ from tripflow.schemas import (
     LABEL,
     NUMERIC_FEATURES,
     PREDICTION,
+    REQUESTS,
     SEED,
     TRAINING_SAMPLE_ROWS,
     ZONE_FEATURES,
+    ddl,
 )
 
 INDEXES = [f"{name}_idx" for name in ZONE_FEATURES]
@@ -165,3 +167,17 @@ def score_fares(requests: DataFrame, model: PipelineModel) -> DataFrame:
         .withColumn("fare_per_mile", fare_per_mile(F.col(PREDICTION), F.col("trip_distance")))
         .drop("features", "rawPrediction", *INDEXES)
     )
+
+
+def predict_fare(
+    spark: SparkSession,
+    model: PipelineModel,
+    distance: float,
+    passengers: int,
+    pickup_hour: int,
+    pickup_zone: str | None,
+    dropoff_zone: str | None,
+) -> float:
+    """The fare of one request (runs a job); for many, use ``score_fares``."""
+    request = (float(distance), int(passengers), int(pickup_hour), pickup_zone, dropoff_zone)
+    return score_fares(spark.createDataFrame([request], ddl(REQUESTS)), model).first()[PREDICTION]

@@ -39,6 +39,6 @@ def analytics(rides: DataFrame, zones: DataFrame) -> dict[str, DataFrame]:
         "average_tip": display.tip_display(metrics.average_tip(rides)),
         "hours": metrics.trips_per_hour(rides),
         "payments": display.payment_display(metrics.payment_mix(rides)),
-        "top_zones": metrics.top_pickup_zones(rides, zones),
+        "top_zones": display.smallest_first(metrics.top_pickup_zones(rides, zones)),
         "boroughs": metrics.trips_by_borough(rides, zones),
     }
