@@ -1,4 +1,5 @@
 from collections import Counter
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -87,3 +88,18 @@ def test_run_folders_are_new_and_below_the_shared_folder(spark):
     first, second = (run_folder(spark, "x") for _ in range(2))
     assert first != second
     assert first.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+class Unset:
+    """A session on some master, without the shared folder's setting."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = SimpleNamespace(master=master)
+
+
+def test_only_a_local_session_may_lack_the_shared_folder():
+    first, second = (run_folder(Unset("local[2]"), "x") for _ in range(2))
+    assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        run_folder(Unset("yarn"), "x")

@@ -256,11 +256,11 @@ def stream_csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
 def stream_parquet_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Streams the events table in place and normalises it on the way.
 
-    The wildcard stands for the table whether it is one file or a folder of files.
+    A file stream takes a folder or a wildcard but not the path of one file, and the table may be
+    either; the wildcard matches just its name.
     """
-    stream = feeds.feed_stream(
-        spark, f"{folder}/events*.parquet", "parquet", schema=events.EVENTS
-    )
+    table = f"{folder}/event[s].parquet"
+    stream = feeds.feed_stream(spark, table, "parquet", schema=events.EVENTS)
     rows = normalize.normalize_feed(events.trips_of(stream))
     return _show_nan(_drain(rows, ddl(FEED)))
 

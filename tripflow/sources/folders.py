@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import tempfile
+from functools import lru_cache
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
 
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tripflow-")
+
+
 def run_folder(spark: SparkSession, purpose: str) -> str:
     """A new, unused folder name under the session's ``spark.checkpoint.dir``.
 
@@ -17,8 +23,7 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tripflow-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/tripflow/{purpose}-{uuid4().hex}"
 
 
