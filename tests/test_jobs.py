@@ -51,10 +51,21 @@ def test_feed_stream_report_compact(spark, place, capsys):
     rides = read_rides(spark, place("rides"))
     assert rides.count() == 2 * 600 * 29 // 30
 
-    jobs.main(["report", "--rides", place("rides"), "--zones", place("zones.csv")])
+    report = ["report", "--rides", place("rides"), "--zones", place("zones.csv")]
+    jobs.main(report)
     shown = capsys.readouterr().out
     assert "1,160 rides processed" in shown and "boroughs" in shown
 
+    again = [*stream[:5], "--rides", place("rides2"), "--checkpoint", place("checkpoint2")]
+    jobs.main([*again, "--rollup", place("sums"), "--available-now", "--files-per-trigger", "5"])
+    capsys.readouterr()
+    jobs.main(
+        ["report", "--rides", place("rides2"), "--zones", place("zones.csv")]
+        + ["--rollup", place("sums")]
+    )
+    sections = [text.split("recent")[0] for text in (shown, capsys.readouterr().out)]
+    assert sections[0] == sections[1]
+
     jobs.main(["compact", "--rides", place("rides"), "--target", place("compact")])
     assert read_rides(spark, place("compact")).count() == rides.count()
 

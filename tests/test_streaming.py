@@ -5,11 +5,13 @@ from pyspark.errors import StreamingQueryException
 
 from tests.builders import feed, zones
 from tripflow.operators import enrich as joins
+from tripflow.operators import metrics
 from tripflow.operators.clean import clean
 from tripflow.operators.enrich import enrich
 from tripflow.schemas import FEED, RIDES, ddl
-from tripflow.sources.files import read_rides, write_feed
+from tripflow.sources.files import read_rides, read_rollup, write_feed
 from tripflow.streaming import feeds, sinks
+from tripflow.streaming import rides as rides_job
 from tripflow.streaming.rides import ride_stream, start_rides
 
 
@@ -177,3 +179,42 @@ def test_large_zone_dimension_is_joined_per_batch(spark, place, rows, batch_ride
     start = (feed, zones(spark), place("rides"), place("checkpoint"), sinks.AVAILABLE_NOW)
     sinks.run_available(start_rides(*start))
     assert rows_of(read_rides(spark, place("rides"))) == batch_rides
+
+
+def test_kept_rollup_answers_reports_as_the_rides_do(spark, place, rows, monkeypatch):
+    write_feed(rows, place("feed"), 10)
+    names = [place(name) for name in ("rides", "checkpoint")]
+    writer = rides_job.batch_writer
+    crashed = []
+
+    def crashing_writer(table):
+        write = writer(table)
+
+        def write_then_crash(batch, batch_id):
+            write(batch, batch_id)
+            if batch_id == 2 and table not in crashed:
+                crashed.append(table)
+                raise RuntimeError("lost before the commit")
+
+        return write_then_crash
+
+    def job():
+        feed = feeds.feed_stream(spark, place("feed"), "parquet", files_per_trigger=1)
+        query = start_rides(feed, zones(spark), *names, sinks.AVAILABLE_NOW, rollup=place("sums"))
+        sinks.run_available(query)
+
+    monkeypatch.setattr(rides_job, "batch_writer", crashing_writer)
+    for _ in range(2):
+        with pytest.raises(StreamingQueryException, match="lost before the commit"):
+            job()
+    job()
+    assert len(crashed) == 2
+    rides, sums = read_rides(spark, place("rides")), read_rollup(spark, place("sums"))
+    assert rides.count() == KEPT and sums.count() < KEPT
+    assert metrics.kpi_summary(sums).collect() == metrics.kpi_summary(rides).collect()
+    for report in (metrics.trips_per_hour, metrics.top_pickup_zones, metrics.payment_mix):
+        assert report(sums).collect() == report(rides).collect()
+
+
+def test_rollup_is_empty_before_the_first_batch(spark, place):
+    assert metrics.kpi_summary(read_rollup(spark, place("sums"))).first().total_trips == 0

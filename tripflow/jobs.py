@@ -37,13 +37,19 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     )
     trigger = sinks.AVAILABLE_NOW if args.available_now else None
     zones = files.read_zones(spark, args.zones)
-    start_rides(rows, zones, args.rides, args.checkpoint, trigger, args.by_batch).awaitTermination()
+    query = start_rides(
+        rows, zones, args.rides, args.checkpoint, trigger, args.by_batch, args.rollup
+    )
+    query.awaitTermination()
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
     """Print the report pages of a ride table."""
     rides = files.read_rides(spark, args.rides)
-    rollup = reports.stored_rollup(rides, run_folder(spark, "rollup"))
+    if args.rollup:
+        rollup = files.read_rollup(spark, args.rollup)
+    else:
+        rollup = reports.stored_rollup(rides, run_folder(spark, "rollup"))
     pages = {
         **reports.overview(rollup),
         **reports.analytics(rollup, files.read_zones(spark, args.zones)),
@@ -103,9 +109,11 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--bytes-per-trigger", type=int)
     sub.add_argument("--available-now", action="store_true", help="stop when the folder is done")
     sub.add_argument("--by-batch", action="store_true", help="keep batch_id partitions")
+    sub.add_argument("--rollup", help="keep a table of sums for reports, by batch")
 
     sub = command(report, "rides", "zones")
     sub.add_argument("--rows", type=int, default=24)
+    sub.add_argument("--rollup", help="read the sums that the stream keeps")
 
     sub = command(train, "trips", "zones", "model")
     sub.add_argument("--key", nargs="+", help="columns that identify a trip")

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripflow.schemas import MEASURES
+
 GROUPS = ("pickup_location_id", "pickup_zone", "pickup_hour", "payment_type")
-MEASURES = ("fare_amount", "ride_duration_minutes", "trip_distance", "tip_amount")
 
 
 def ride_rollup(rides: DataFrame) -> DataFrame:

@@ -80,6 +80,17 @@ RIDES = {
     "dropoff_zone": "string",
 }
 
+MEASURES = ["fare_amount", "ride_duration_minutes", "trip_distance", "tip_amount"]
+
+ROLLUP = {
+    "pickup_zone": "string",
+    "pickup_hour": "int",
+    "payment_type": "string",
+    "trips": "bigint",
+    **{f"{name}_sum": "double" for name in MEASURES},
+    **{f"{name}_count": "bigint" for name in MEASURES},
+}
+
 REQUESTS = {
     "trip_distance": "double",
     "passenger_count": "bigint",

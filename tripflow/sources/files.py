@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.schemas import RIDES, ZONES, ddl
+from tripflow.schemas import RIDES, ROLLUP, ZONES, ddl
 
 
 def read_trips(
@@ -46,14 +46,24 @@ def write_feed(feed: DataFrame, path: str, rows_per_file: int, fmt: str = "parqu
     writer.format(fmt).save(path)
 
 
-def read_rides(spark: SparkSession, path: str) -> DataFrame:
-    """The ride table; no rows while it does not exist. Any other failure is raised."""
+def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet table; no rows while it does not exist. Any other failure is raised."""
     try:
-        return spark.read.schema(ddl(RIDES)).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], ddl(RIDES))
+        return spark.createDataFrame([], schema)
+
+
+def read_rides(spark: SparkSession, path: str) -> DataFrame:
+    """The ride table; no rows while it does not exist."""
+    return _read_or_empty(spark, path, ddl(RIDES))
+
+
+def read_rollup(spark: SparkSession, path: str) -> DataFrame:
+    """The rollup that a ride job keeps; no rows while it does not exist."""
+    return _read_or_empty(spark, path, ddl(ROLLUP))
 
 
 def compact_rides(spark: SparkSession, source: str, target: str) -> None:

@@ -7,6 +7,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tripflow.operators.clean import clean
 from tripflow.operators.enrich import enrich, zones_fit_broadcast
+from tripflow.operators.rollup import ride_rollup
+from tripflow.sources.files import read_rides
 from tripflow.streaming.sinks import append_batches, append_stream, batch_writer
 
 
@@ -22,23 +24,27 @@ def start_rides(
     checkpoint: str,
     trigger: dict | None = None,
     by_batch: bool = False,
+    rollup: str | None = None,
 ) -> StreamingQuery:
     """Starts the query that cleans a feed stream into a ride table, exactly once.
 
-    Rows go through the file sink, or with ``by_batch`` into ``batch_id`` partitions. Zones
-    beyond the broadcast bound are joined per micro-batch, where a batch's hot ids can be found
-    and spread; that needs ``batch_id`` partitions too.
+    Rows go through the file sink, or with ``by_batch`` into ``batch_id`` partitions. With
+    ``rollup``, each batch's ``ride_rollup`` goes to a table of that name as well, so that
+    reports need not read the rides at all; that works per batch too. So do zones beyond the
+    broadcast bound: they are joined per batch, where its hot ids can be found and spread.
     """
-    if zones_fit_broadcast(zones):
-        rides = enrich(clean(feed), zones, small=True)
+    small = zones_fit_broadcast(zones)
+    if small and not rollup:
         start = append_batches if by_batch else append_stream
-        return start(rides, table, checkpoint, trigger)
-
-    write = batch_writer(table)
-    return append_batches(
-        clean(feed),
-        table,
-        checkpoint,
-        trigger,
-        lambda batch, batch_id: write(enrich(batch, zones, small=False), batch_id),
-    )
+        return start(enrich(clean(feed), zones, small=True), table, checkpoint, trigger)
+
+    write_rides = batch_writer(table)
+    write_rollup = batch_writer(rollup) if rollup else None
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_rides(enrich(batch, zones, small=small), batch_id)
+        if write_rollup:
+            stored = read_rides(batch.sparkSession, f"{table}/batch_id={batch_id}")
+            write_rollup(ride_rollup(stored), batch_id)
+
+    return append_batches(clean(feed), table, checkpoint, trigger, write)
