@@ -77,11 +77,14 @@ def test_the_same_trips_train_the_same_split(spark, trips, training, tmp_path):
     assert ids[0] == ids[1]
 
 
-def test_without_a_key_the_whole_row_decides(spark, trips, tmp_path):
+def test_without_a_key_each_row_is_drawn_on_its_own(spark, trips, tmp_path):
+    copies = trips.filter("trip_id = 1").drop("trip_id").crossJoin(spark.range(3_000)).drop("id")
     training = fares.train_fare_model(
-        trips.drop("trip_id"), zones(spark), str(tmp_path / "s"), trees=1, depth=1
+        copies, zones(spark), str(tmp_path / "s"), sample_rows=1_000, trees=1, depth=1
     )
-    assert 0.7 < training.train.count() / 3_000 < 0.9
+    sizes = [part.count() for part in (training.train, training.test)]
+    assert 850 < sum(sizes) < 1_150
+    assert 0.7 < sizes[0] / sum(sizes) < 0.9
 
 
 def test_sample_is_about_the_size_asked_for(spark, trips, tmp_path):

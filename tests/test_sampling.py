@@ -2,7 +2,7 @@ from hashlib import md5
 
 import pytest
 
-from tripflow.operators.sampling import train_test_split, training_sample, with_split
+from tripflow.operators.sampling import split_parts, training_sample, with_split
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +17,7 @@ def test_split_follows_the_md5_of_the_key(numbered):
 
 
 def test_split_parts_are_whole_and_disjoint(numbered):
-    train, test = train_test_split(numbered, ["trip_id"], train_percent=30)
+    train, test = split_parts(with_split(numbered, ["trip_id"], train_percent=30))
     assert train.intersect(test).count() == 0
     assert train.unionByName(test).distinct().count() == 2_000
     assert 500 < train.count() < 700
@@ -42,3 +42,12 @@ def test_equal_rows_share_their_side(spark):
     rows = spark.createDataFrame([(1, None, 2.5)] * 5 + [(None, 1, 2.5)], "a int, b int, c double")
     marked = with_split(rows, ["a", "b", "c"])
     assert marked.filter("a = 1").select("split").distinct().count() == 1
+
+
+def test_without_a_key_copies_are_drawn_one_by_one(spark):
+    copies = spark.range(4_000).selectExpr("1 as a")
+    drawn = training_sample(copies, rows=1_000)
+    assert 850 < drawn.count() == drawn.count() < 1_150
+    train, test = split_parts(with_split(copies))
+    assert train.count() + test.count() == 4_000
+    assert 3_000 < train.count() < 3_400

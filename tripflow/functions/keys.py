@@ -1,8 +1,7 @@
 """Row keys and the hash positions that make sampling and splitting repeatable.
 
-``sample`` and ``randomSplit`` depend on how rows are spread over partitions, so a task that is
-run again after a lost executor, or the same job on another cluster, could pick other rows. The
-md5 of a row's key does not depend on anything but the key.
+``sample`` and ``randomSplit`` depend on how rows are spread over partitions, so the same job on
+another cluster picks other rows. The md5 of a row's key depends on nothing but the key.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 
 
 def row_key(columns: list[str]) -> Column:
-    """Text key of a row. With no id column, pass every column: equal rows then stay together."""
+    """Text key of a row."""
     if len(columns) == 1:
         return F.col(columns[0]).cast("string")
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})

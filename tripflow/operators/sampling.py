@@ -1,16 +1,20 @@
-"""Repeatable sampling and splitting by row key."""
+"""Sampling and splitting by row key, so that the same rows are picked on every cluster.
+
+Without a key rows are drawn by a seeded ``rand``: each on its own, so that a group of copies,
+however large, is neither all in nor all out. A task that is run again draws the same.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.functions.keys import row_key, sample_position, split_bucket
-from tripflow.schemas import TRAIN_PERCENT, TRAINING_SAMPLE_ROWS
+from tripflow.schemas import SEED, TRAIN_PERCENT, TRAINING_SAMPLE_ROWS
 
 
 def training_sample(
-    rides: DataFrame, key: list[str], rows: int = TRAINING_SAMPLE_ROWS
+    rides: DataFrame, key: list[str] | None = None, rows: int = TRAINING_SAMPLE_ROWS
 ) -> DataFrame:
     """About ``rows`` rides, each kept with the same chance; all of them when there are fewer.
 
@@ -18,20 +22,23 @@ def training_sample(
     only the columns that the rides' own filters need.
     """
     total = rides.agg(F.count(F.lit(1))).scalar()
-    return rides.filter(sample_position(row_key(key)) < F.lit(float(rows)) / total)
+    position = sample_position(row_key(key)) if key else F.rand(SEED)
+    return rides.filter(position < F.lit(float(rows)) / total)
+
+
+def _in_train(key: list[str] | None, train_percent: int) -> Column:
+    bucket = split_bucket(row_key(key)) if key else F.rand(SEED + 1) * 100
+    return bucket < train_percent
 
 
 def with_split(
-    rides: DataFrame, key: list[str], train_percent: int = TRAIN_PERCENT
+    rides: DataFrame, key: list[str] | None = None, train_percent: int = TRAIN_PERCENT
 ) -> DataFrame:
     """Adds ``split``: ``train`` or ``test``."""
-    in_train = split_bucket(row_key(key)) < train_percent
-    return rides.withColumn("split", F.when(in_train, "train").otherwise("test"))
+    part = F.when(_in_train(key, train_percent), "train").otherwise("test")
+    return rides.withColumn("split", part)
 
 
-def train_test_split(
-    rides: DataFrame, key: list[str], train_percent: int = TRAIN_PERCENT
-) -> tuple[DataFrame, DataFrame]:
-    """The train and the test rides."""
-    marked = with_split(rides, key, train_percent)
+def split_parts(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The train and the test rides of ``with_split``."""
     return tuple(marked.filter(F.col("split") == part).drop("split") for part in ("train", "test"))

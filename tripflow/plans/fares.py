@@ -25,7 +25,7 @@ from tripflow.operators.clean import clean
 from tripflow.operators.enrich import enrich
 from tripflow.operators.normalize import rename_trips
 from tripflow.operators.requests import request_features
-from tripflow.operators.sampling import train_test_split, training_sample
+from tripflow.operators.sampling import split_parts, training_sample, with_split
 from tripflow.schemas import (
     FOREST_BINS,
     FOREST_DEPTH,
@@ -108,21 +108,20 @@ def train_fare_model(
 ) -> FareTraining:
     """Samples, splits, fits and evaluates (runs jobs).
 
-    Zones are joined to the sample, not to all trips. The sample is spread over parts of about
-    ``ROWS_PER_PART`` rows, written to ``work_folder`` and read back: the fit goes over it many
-    times, and a lost executor then costs a re-read of a small file instead of another scan of
-    the trips. ``key`` names the columns that identify
-    a trip; without one the sample and the split go by the whole row.
+    Zones are joined to the sample, not to all trips. The sample is split, spread over parts of
+    about ``ROWS_PER_PART`` rows, written to ``work_folder`` and read back: the fit goes over it
+    many times, and a lost executor then costs a re-read of a small file instead of another scan
+    of the trips. ``key`` names the columns that identify a trip; with one, the same trips make
+    the same sample and split everywhere.
     """
     rides = training_rides(trips)
     needed = [LABEL, *NUMERIC_FEATURES, "pickup_location_id", "dropoff_location_id"]
-    key = key or [*needed, "pickup_datetime", "dropoff_datetime"]
-    chosen = training_sample(rides.select(*dict.fromkeys([*key, *needed])), key, sample_rows)
-    parts = ceil(sample_rows / ROWS_PER_PART)
-    enrich(chosen, zones).repartition(parts).write.parquet(work_folder)
+    columns = dict.fromkeys([*(key or []), *needed])
+    chosen = training_sample(rides.select(*columns), key, sample_rows)
+    marked = with_split(enrich(chosen, zones), key)
+    marked.repartition(ceil(sample_rows / ROWS_PER_PART)).write.parquet(work_folder)
 
-    sample = trips.sparkSession.read.parquet(work_folder)
-    train, test = train_test_split(sample, key)
+    train, test = split_parts(trips.sparkSession.read.parquet(work_folder))
     model = fare_pipeline(zones.count(), **forest).fit(train)
     return FareTraining(model, train, test, fare_rmse(model.transform(test)))
 
