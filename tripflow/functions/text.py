@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tripflow.schemas import HOUR_FORMAT, TIME_FORMAT
+
 
 def whole(value: Column) -> Column:
     """``1,234``"""
@@ -43,12 +45,12 @@ def minutes(value: Column) -> Column:
 
 def hour_label(hour: Column) -> Column:
     """``07:00``"""
-    return F.format_string("%02d:00", hour)
+    return F.format_string(HOUR_FORMAT, hour)
 
 
 def time_label(time: Column) -> Column:
     """``Jan 05, 09:07``"""
-    return F.date_format(time, "MMM dd, HH:mm")
+    return F.date_format(time, TIME_FORMAT)
 
 
 def percent(share: Column) -> Column:

@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.functions import text
+from tripflow.schemas import RECENT_TITLES, STATUS_IDLE, STATUS_LIVE
 
 
 def kpi_display(summary: DataFrame) -> DataFrame:
     """Text of a ``kpi_summary`` row. Averages are null, not text, when there are no rides."""
     status = F.when(
         F.col("total_trips") > 0,
-        F.concat(text.whole(F.col("total_trips")), F.lit(" rides processed")),
-    ).otherwise(F.lit("Waiting for rides…"))
+        F.concat(text.whole(F.col("total_trips")), F.lit(STATUS_LIVE)),
+    ).otherwise(F.lit(STATUS_IDLE))
     return summary.select(
         text.whole(F.col("total_trips")).alias("total_trips"),
         text.money(F.col("total_revenue"), 0).alias("total_revenue"),
@@ -51,13 +52,14 @@ def smallest_first(top: DataFrame) -> DataFrame:
 
 def recent_rides_display(recent: DataFrame) -> DataFrame:
     """The five display columns of ``recent_rides``, in its order."""
-    return recent.select(
-        text.time_label(F.col("pickup_datetime")).alias("Pickup Time"),
-        F.col("pickup_zone").alias("From"),
-        F.col("dropoff_zone").alias("To"),
-        text.miles(F.col("trip_distance")).alias("Distance"),
-        text.money(F.col("fare_amount")).alias("Fare"),
+    shown = recent.withColumns(
+        {
+            "pickup_datetime": text.time_label(F.col("pickup_datetime")),
+            "trip_distance": text.miles(F.col("trip_distance")),
+            "fare_amount": text.money(F.col("fare_amount")),
+        }
     )
+    return shown.select(*[F.col(name).alias(title) for name, title in RECENT_TITLES.items()])
 
 
 def fare_card(scored: DataFrame) -> DataFrame:

@@ -64,6 +64,19 @@ PREDICTION = "predicted_fare"
 FOREST_TREES = 50
 FOREST_DEPTH = 8
 FOREST_BINS = 300
+RECENT_TITLES = {
+    "pickup_datetime": "Pickup Time",
+    "pickup_zone": "From",
+    "dropoff_zone": "To",
+    "trip_distance": "Distance",
+    "fare_amount": "Fare",
+}
+
+TIME_FORMAT = "MMM dd, HH:mm"
+HOUR_FORMAT = "%02d:00"
+STATUS_LIVE = " rides processed"
+STATUS_IDLE = "Waiting for rides…"
+
 SEED = 42
 TRAIN_PERCENT = 80
 TRAINING_SAMPLE_ROWS = 200_000
