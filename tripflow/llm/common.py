@@ -31,10 +31,10 @@ def texts_of(column: pd.Series) -> list[str]:
     return [text if isinstance(text, str) else "" for text in column]
 
 
-def saved(rows: DataFrame, purpose: str) -> DataFrame:
+def saved(rows: DataFrame, purpose: str, compression: str = "zstd") -> DataFrame:
     """Rows written to the session's shared folder and read back, which ends their lineage."""
     folder = run_folder(rows.sparkSession, purpose)
-    rows.write.parquet(folder)
+    rows.write.option("compression", compression).parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 

@@ -86,7 +86,7 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_training_order(spark: SparkSession, folder: str) -> DataFrame:
-    records = training_order.materialise(_table(spark, folder, "documents"), tokenizer_path())
+    records = training_order.materialise(_table(spark, folder, "documents"))
     return records.select(
         "slot", "shard", "doc_id", "number", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )

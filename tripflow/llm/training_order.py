@@ -1,13 +1,14 @@
 """Training order: every sequence at its own slot, in shards of fixed stride.
 
-Documents become token ids and are cut into sequences of ``length`` ids, the last one filled up
-with ``pad``. Sequences are numbered through all documents, and a keyed Feistel network permutes
+Documents become token ids, either those of a vocabulary file (four bytes each) or their UTF-8
+bytes (one byte each), and are cut into sequences of ``length`` ids, the last one filled up with
+``pad``. Sequences are numbered through all documents, and a keyed Feistel network permutes
 the numbers: an even number of bits is swapped in rounds, and a result beyond the last sequence
 goes through the network again until it is inside (cycle-walking). So every number gets a slot of
 its own without a sort or a shuffle table, and anybody with the key can compute either way.
 
 Slots are then dealt out by ranges, ``stride`` to a shard; each shard is one folder whose records
-are ``4 * length`` bytes each, little-endian, in slot order. A reader resumes at any slot by
+are all of the same size, little-endian, in slot order. A reader resumes at any slot by
 dividing; a writer resumes by making those shards whose rows are not all there.
 
 Defined results: null and empty texts have no sequence. Repeated rows have sequences of their
@@ -35,11 +36,11 @@ RECORD = "slot long, shard long, doc_id long, number int, n_tokens int, ids bina
 class OrderParams:
     """``stride`` slots per shard; ``key`` fixes the order."""
 
-    length: int = 1_024
+    length: int = 4_096
     stride: int = 16_384
     key: int = 20_240_601
     rounds: int = 6
-    pad: int = 49_407
+    pad: int = 0
 
 
 def _round(value: np.ndarray, key: int) -> np.ndarray:
@@ -90,19 +91,21 @@ def numbers_of(places: np.ndarray, total: int, params: OrderParams) -> np.ndarra
     return out.astype(np.int64)
 
 
-def sequences(docs: DataFrame, path: str, params: OrderParams) -> DataFrame:
+def sequences(docs: DataFrame, path: str | None, params: OrderParams) -> DataFrame:
     """``doc_id, number, n_tokens, ids`` per sequence; ids without the filling."""
+    width = _id_type(path).itemsize
 
     def cut(batch: pd.DataFrame) -> pd.DataFrame:
-        own, rows = codec(path), []
-        size = params.length * ID.itemsize
+        encode = codec(path).encode if path else str.encode
+        rows = []
+        size = params.length * width
         for doc_id, text in zip(
             batch["doc_id"].astype("Int64"), texts_of(batch["text"]), strict=True
         ):
-            ids = own.encode(text)
+            ids = encode(text)
             for number, at in enumerate(range(0, len(ids), size)):
                 part = ids[at : at + size]
-                rows.append((doc_id, number, len(part) // ID.itemsize, part))
+                rows.append((doc_id, number, len(part) // width, part))
         found = pd.DataFrame(rows, columns=["doc_id", "number", "n_tokens", "ids"])
         return found.astype({"doc_id": "Int64"})
 
@@ -110,6 +113,10 @@ def sequences(docs: DataFrame, path: str, params: OrderParams) -> DataFrame:
     return map_batches(ids, cut, "doc_id long, number int, n_tokens int, ids binary")
 
 
+def _id_type(path: str | None) -> np.dtype:
+    return ID if path else np.dtype("<u1")
+
+
 def numbered(rows: DataFrame) -> tuple[DataFrame, int]:
     """Written rows with ``sequence``, gapless from 0: one count per part reaches the driver."""
     parts = rows.withColumns(
@@ -130,10 +137,15 @@ def numbered(rows: DataFrame) -> tuple[DataFrame, int]:
 
 
 def materialise(
-    docs: DataFrame, path: str, folder: str | None = None, params: OrderParams | None = None
+    docs: DataFrame,
+    path: str | None = None,
+    folder: str | None = None,
+    params: OrderParams | None = None,
 ) -> DataFrame:
     """Writes the shards of all sequences and returns them as ``RECORD`` rows.
 
+    Ids are those of the vocabulary file at ``path``, or bytes without one.
+
     Into an existing ``folder`` only missing or incomplete shards are written.
     """
     params = params or OrderParams()
@@ -161,7 +173,7 @@ def materialise(
     shards = max(1, -(-total // params.stride))
 
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        stop = np.array([params.pad], dtype=ID).tobytes()
+        stop = np.array([params.pad], dtype=_id_type(path)).tobytes()
         for batch in batches:
             short = (params.length - batch["n_tokens"]).to_list()
             yield batch.assign(
@@ -174,6 +186,7 @@ def materialise(
         dealt.sortWithinPartitions("slot")
         .mapInPandas(fill, RECORD)
         .write.mode("append")
+        .option("compression", "zstd")
         .partitionBy("shard")
         .parquet(target)
     )
