@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tripflow.llm.common import ASCII_SPACE, map_batches, texts_of
+from tripflow.llm.common import ASCII_SPACE, id_or_none, map_batches, texts_of, with_null_ids
 
 RESULT = "doc_id long, n_tokens long, ids binary, decoded string"
 DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -206,7 +206,7 @@ def _digests(rows: pd.DataFrame) -> pd.DataFrame:
 def _results(doc_ids: list, ids: list[bytes], own: Codec) -> pd.DataFrame:
     return pd.DataFrame(
         {
-            "doc_id": pd.array(doc_ids, dtype="Int64"),
+            "doc_id": doc_ids,
             "n_tokens": [len(each) // ID.itemsize for each in ids],
             "ids": ids,
             "decoded": [own.decode(each) for each in ids],
@@ -256,13 +256,13 @@ def encode_documents(
     """``RESULT`` for every document, or ``DIGEST`` in place of ids and decoded text."""
     schema = DIGEST if digests else RESULT
     finish = _digests if digests else (lambda rows: rows)
-    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    texts = docs.select(id_or_none(), "text")
     is_long = F.coalesce(F.length("text") > long_chars, F.lit(False))
 
     def whole(batch: pd.DataFrame) -> pd.DataFrame:
         own = codec(path)
         ids = [own.encode(text) for text in texts_of(batch["text"])]
-        return finish(_results(list(batch["doc_id"].astype("Int64")), ids, own))
+        return finish(_results(batch["doc_id"].array, ids, own))
 
     short = map_batches(texts.filter(~is_long), whole, schema)
 
@@ -278,7 +278,7 @@ def encode_documents(
                 rows = [
                     (doc_id, times, document, *piece) for piece in _cut(text, long_chars // 2, own)
                 ]
-                yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+                yield pd.DataFrame(rows, columns=names)
 
     def encode(batch: pd.DataFrame) -> pd.DataFrame:
         own = codec(path)
@@ -301,7 +301,7 @@ def encode_documents(
                 leaves = [np.frombuffer(part, ID).tolist() for part in word["ids"]]
                 ids.append(_packed(_joined(own, leaves)))
         times = int(rows["times"].iloc[0])
-        doc_id = rows["doc_id"].astype("Int64").iloc[0]
+        doc_id = rows["doc_id"].iloc[0]
         return finish(_results([doc_id] * times, [b"".join(ids)] * times, own))
 
     key = "doc_id long, times long, document string, number long, leaf int"
@@ -312,4 +312,4 @@ def encode_documents(
         .groupBy("doc_id", "document")
         .applyInPandas(gather, schema)
     )
-    return short.unionByName(gathered)
+    return with_null_ids(short.unionByName(gathered))

@@ -56,6 +56,19 @@ def with_field(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.Struc
     )
 
 
+#: Stands for a null id inside Python, where a column of numbers with nulls turns into floats.
+NO_ID = -(1 << 63)
+
+
+def id_or_none(name: str = "doc_id") -> Column:
+    return F.coalesce(F.col(name).cast("long"), F.lit(NO_ID)).alias(name)
+
+
+def with_null_ids(rows: DataFrame, name: str = "doc_id") -> DataFrame:
+    """Turns ``NO_ID`` back into null."""
+    return rows.withColumn(name, F.nullif(F.col(name), F.lit(NO_ID)))
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

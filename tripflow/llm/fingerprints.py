@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import bucket_of, saved
+from tripflow.llm.common import bucket_of, id_or_none, saved, with_null_ids
 
 PARTS = 4
 SCHEMA = (
@@ -276,7 +276,7 @@ def fingerprint_documents(docs: DataFrame, params: SketchParams | None = None) -
         next_keys = [other[2] for other in after]
         return pd.DataFrame(
             {
-                "doc_id": pd.array([own[0] for own in held], dtype="Int64"),
+                "doc_id": [own[0] for own in held],
                 "n_chars": [len(own[1]) for own in held],
                 "edited_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in changed],
                 "fingerprint": prints(own_keys, params.cells),
@@ -292,8 +292,7 @@ def fingerprint_documents(docs: DataFrame, params: SketchParams | None = None) -
         held: list[tuple] = []
         chars = 0
         for batch in batches:
-            ids = batch["doc_id"].astype("Int64")
-            for doc_id, text, ends in zip(ids, batch["text"], batch["ends"], strict=True):
+            for doc_id, text, ends in batch.itertuples(index=False):
                 row = doc_id, text, keys_of(text)
                 if held and (ends or len(held) >= 1_000 or chars > 4_000_000):
                     yield finish(held, row)
@@ -302,4 +301,5 @@ def fingerprint_documents(docs: DataFrame, params: SketchParams | None = None) -
                     held.append(row)
                     chars += len(text)
 
-    return with_next(docs, params).select("doc_id", "text", "ends").mapInPandas(run, SCHEMA)
+    rows = with_next(docs, params).select(id_or_none(), "text", "ends")
+    return with_null_ids(rows.mapInPandas(run, SCHEMA))

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import map_batches, texts_of
+from tripflow.llm.common import id_or_none, map_batches, texts_of, with_null_ids
 
 COLUMNS = (
     "n_words long, n_base long, first_word long, last_word long, base_labels string, "
@@ -87,7 +87,10 @@ def document_frequencies(docs: DataFrame, vocabulary: set[bytes]) -> dict[bytes,
             for text in texts_of(batch["text"]):
                 found.update(vocabulary.intersection(license_words(text)))
         yield pd.DataFrame(
-            {"word": [word.decode() for word in found], "docs": list(found.values())}
+            {
+                "word": pd.Series([word.decode() for word in found], dtype=object),
+                "docs": pd.Series(list(found.values()), dtype="int64"),
+            }
         )
 
     counted = docs.select("text").mapInPandas(count, "word string, docs long")
@@ -194,11 +197,13 @@ def scan_licenses(docs: DataFrame, statements: tuple[Template, ...] = STATEMENTS
     names = [part.split()[0] for part in COLUMNS.split(", ")]
 
     def work(batch: pd.DataFrame) -> pd.DataFrame:
-        found = pd.DataFrame(
-            [index.scan(text) for text in texts_of(batch["text"])], columns=names
-        )
-        found = found.astype({"first_word": "Int64", "last_word": "Int64"})
-        return found.assign(doc_id=batch["doc_id"].array)
-
-    ids = docs.select(F.col("doc_id").cast("long"), "text")
-    return map_batches(ids, work, f"doc_id long, {COLUMNS}")
+        found = [index.scan(text) for text in texts_of(batch["text"])]
+        columns = dict(zip(names, zip(*found, strict=True), strict=True)) if found else {}
+        for name in ("first_word", "last_word"):
+            columns[name] = pd.array(columns.get(name, []), dtype="Int64")
+        for name in ("base_labels", "labels"):
+            columns[name] = pd.Series(columns.get(name, []), dtype=object)
+        return pd.DataFrame(columns, columns=names).assign(doc_id=batch["doc_id"].array)
+
+    ids = docs.select(id_or_none(), "text")
+    return with_null_ids(map_batches(ids, work, f"doc_id long, {COLUMNS}"))

@@ -24,9 +24,15 @@ from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tripflow.llm.common import ASCII_SPACE, map_batches, texts_of, words
+from tripflow.llm.common import (
+    ASCII_SPACE,
+    id_or_none,
+    map_batches,
+    texts_of,
+    with_null_ids,
+    words,
+)
 
 SYMBOLS = "#*$%&|<>"
 #: Phrases that mark a notice. Compared in lower case.
@@ -143,8 +149,8 @@ def verdicts(docs: DataFrame, rules: LineRules | None = None) -> DataFrame:
         found = [judge(text, rules) for text in texts_of(batch["text"])]
         return pd.DataFrame(found, columns=names).assign(doc_id=batch["doc_id"].array)
 
-    ids = docs.select(F.col("doc_id").cast("long"), "text")
-    return map_batches(ids, work, f"doc_id long, {COLUMNS}")
+    ids = docs.select(id_or_none(), "text")
+    return with_null_ids(map_batches(ids, work, f"doc_id long, {COLUMNS}"))
 
 
 def clean_text(text: str | None, rules: LineRules | None = None) -> str:

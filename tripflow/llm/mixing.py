@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import saved
+from tripflow.llm.common import id_or_none, saved, with_null_ids
 
 #: Rows of one source that meet in one leaf, and open documents that meet in one node.
 LEAF_ROWS = 4_096
@@ -160,10 +160,11 @@ def round_pivotally(
 def round_against_rest(
     chance: np.ndarray, size: np.ndarray, draw: np.ndarray, again: np.ndarray
 ) -> np.ndarray:
-    """Rounds documents of falling size, each against all smaller ones together.
+    """Rounds documents in turn, each against all later ones together.
 
-    Words move between a document and the rest, which shares them out in proportion, so that
-    only a small document is left to be drawn by itself.
+    Words move between a document and the rest, which shares them out alike. All but the first
+    must have one chance, or sharing would draw their chances together. Where sizes fall, only a
+    small document is left to be drawn by itself.
     """
     done = np.zeros(len(chance), dtype=np.int64)
     words = np.append(np.cumsum((chance * size)[::-1])[::-1], 0.0)
@@ -191,8 +192,8 @@ def round_against_rest(
 def _node(level: int, seed: int, last: bool):
     """Rounds one node's documents in pairs; the open one goes on.
 
-    In the last node every other document is set aside, and what the pairs leave open is rounded
-    against those.
+    In the last node every other document of the commonest chance is set aside, and what the
+    pairs leave open is rounded against those.
     """
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
@@ -204,7 +205,11 @@ def _node(level: int, seed: int, last: bool):
         draw, again = _uniform(identity, seed + level), _uniform(identity, seed - 1)
         weights = np.maximum(rows["size"].to_numpy(float), 1e-3)
         done = np.zeros(len(rows), dtype=np.int64)
-        aside = np.arange(len(rows)) % 2 == 1 if last else np.zeros(len(rows), dtype=bool)
+        aside = np.zeros(len(rows), dtype=bool)
+        if last and len(rows):
+            values, counts = np.unique(chance, return_counts=True)
+            alike = np.flatnonzero(chance == values[counts.argmax()])
+            aside[alike[1::2]] = True
         paired = np.flatnonzero(~aside)
         own = chance[paired]
         done[paired], held = round_pivotally(own, weights[paired], draw[paired])
@@ -213,7 +218,7 @@ def _node(level: int, seed: int, last: bool):
             rest = np.flatnonzero(aside)
             if held is not None:
                 chance[paired[held]] = own[held]
-                rest = np.sort(np.append(rest, paired[held]))
+                rest = np.append(paired[held], rest)
             done[rest] = round_against_rest(chance[rest], weights[rest], draw[rest], again[rest])
         elif held is not None:
             rows.loc[paired[held], ["open", "chance"]] = [True, own[held]]
@@ -262,7 +267,7 @@ def decide(units: DataFrame, mix: Mix) -> DataFrame:
         closed = met.filter("not open").drop("chance", "node", "nodes", "open")
         finished = closed if finished is None else finished.unionByName(closed)
         if last:
-            return finished
+            return with_null_ids(finished)
         most = -(-most // LEAF_ROWS)
         rows = (
             met.filter("open")
@@ -277,7 +282,7 @@ def _units(docs: DataFrame, identity: Column) -> DataFrame:
     """Equal rows as one unit. Partial counts are made before the shuffle."""
     return (
         docs.select(
-            F.col("doc_id").cast("long"),
+            id_or_none(),
             F.col("source").cast("string"),
             word_count(F.col("text")).alias("size"),
             identity.alias("identity"),

@@ -3,15 +3,16 @@
 Texts with the same set of shingles are one class, so exact copies cost one row. Classes that
 share a band of minima are in one bucket. A bucket proposes a spanning forest of its members by
 their signatures, so a bucket of n copies proposes fewer than n links; links are confirmed on the
-full sets, components follow by large-star and small-star steps. Then buckets are gone through
-once more for all pairs whose classes are not yet in one component and whose signatures are not
-clearly below the threshold, and those are confirmed too. A link that is lost between two classes
-that are connected anyway changes nothing, so this is whole up to the chance that a linked pair
-shares no band (``(1 - 0.8**4)**32``, below 1e-7 at a similarity of 0.8).
-
-Buckets above ``bucket_rows`` are divided by each other band's minima, twice if need be; what is
+full sets, and components follow by large-star and small-star steps. Then the buckets are gone
+through once more for pairs that are in different components and whose signatures are not clearly
+below the threshold. Those are never rows: the members that have such a pair meet with their
+texts, bucket by bucket, and only links that hold come out. A link between two classes that are
+connected anyway changes nothing, so this is whole up to the chance that the minima of a linked
+pair mislead (below 1e-4 for a link at exactly 80 %, and it must be the only way between the two).
+
+Buckets above ``bucket_rows`` are divided by each later band's minima, twice if need be; what is
 still larger then agrees in twelve minima, is gone through in blocks, and every block holds the
-bucket's first member.
+bucket's first member. A pair is looked at in one bucket only, that of its first shared bands.
 
 Defined results: a text without words has an empty set and is linked with nothing. Fewer words
 than a shingle has are one shingle. Repeated rows and equal texts are one class. Null ids are
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import LOWER_BYTES, saved, texts_of
+from tripflow.llm.common import LOWER_BYTES, id_or_none, saved, texts_of, with_null_ids
 
 _REMEMBERED = 500_000
 _MIX = np.array(
@@ -48,11 +49,11 @@ class NearParams:
     percent: int = 80
     bands: int = 32
     rows: int = 4
-    bucket_rows: int = 512
+    bucket_rows: int = 4_096
     #: Equal minima of all that make a pair worth confirming: four deviations below 80 %.
     least_equal: float = 0.66
     #: Members that one task goes through at once.
-    chunk_rows: int = 8_192
+    chunk_rows: int = 4_096
 
 
 class Shingles:
@@ -141,24 +142,35 @@ def sketches(docs: DataFrame, params: NearParams) -> DataFrame:
                     least = minima(own, factors, summands)
                     rows = least.reshape(params.bands, params.rows).tobytes()
                     size = 4 * params.rows
-                    bands = [
+                    own_bands = [
                         xxhash.xxh3_64_intdigest(rows[at : at + size], seed=at) - (1 << 63)
                         for at in range(0, len(rows), size)
                     ]
                     out.append((len(own), _node_of(own), (least & 255).astype(np.uint8).tobytes(),
-                                bands))
-                found = pd.DataFrame(out, columns=["n_shingles", "node", "signature", "bands"])
-                found["node"] = found["node"].astype("Int64")
-                yield found.assign(doc_id=part["doc_id"].array)
+                                own_bands))
+                counts, nodes, signs, bands = zip(*out, strict=True)
+                yield pd.DataFrame(
+                    {
+                        "doc_id": part["doc_id"].array,
+                        "n_shingles": counts,
+                        "node": pd.array(nodes, dtype="Int64"),
+                        "signature": signs,
+                        "bands": bands,
+                    }
+                )
 
     schema = "doc_id long, n_shingles long, node long, signature binary, bands array<long>"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, schema)
+    return with_null_ids(docs.select(id_or_none(), "text").mapInPandas(run, schema))
 
 
 def _buckets(classes: DataFrame, params: NearParams) -> DataFrame:
-    """``bucket, node`` of buckets with two classes or more, none above ``bucket_rows`` members
-    unless their minima agree in three bands."""
-    held = classes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    """``bucket, path, members, node`` of buckets with two classes or more.
+
+    ``path`` has the bands that make the bucket; only those of three may exceed ``bucket_rows``.
+    """
+    held = classes.select("node", F.posexplode("bands").alias("band", "bucket")).select(
+        "node", "bucket", F.array("band").alias("path")
+    )
     done: list[DataFrame] = []
     for depth in range(3):
         counts = (
@@ -167,112 +179,153 @@ def _buckets(classes: DataFrame, params: NearParams) -> DataFrame:
         members = saved(held.join(counts, "bucket"), "near-buckets")
         large = members.filter(F.col("members") > params.bucket_rows)
         if depth == 2 or large.isEmpty():
-            done.append(members.select("bucket", "node", "members"))
+            done.append(members)
             break
-        done.append(
-            members.filter(F.col("members") <= params.bucket_rows).select(
-                "bucket", "node", "members"
-            )
-        )
+        done.append(members.filter(F.col("members") <= params.bucket_rows))
         held = (
-            large.select("node", "bucket", "band")
+            large.select("node", "bucket", "path")
             .join(classes.select("node", "bands"), "node")
-            .select("node", "band", "bucket", F.posexplode("bands").alias("other", "more"))
-            .filter("other > band")
-            .select("node", F.col("other").alias("band"), F.xxhash64("bucket", "more").alias("bucket"))
+            .select("node", "bucket", "path", F.posexplode("bands").alias("band", "more"))
+            .filter(F.col("band") > F.element_at("path", -1))
+            .select(
+                "node",
+                F.xxhash64("bucket", "more").alias("bucket"),
+                F.concat("path", F.array("band")).alias("path"),
+            )
         )
     return reduce(DataFrame.unionByName, done)
 
 
-def _propose(params: NearParams, forest: bool):
-    """Pairs of one chunk's buckets: a spanning forest each, or all pairs across components."""
-    least = int(np.ceil(params.least_equal * params.bands * params.rows))
-
-    def bucket_pairs(nodes: np.ndarray, groups: np.ndarray, signs: np.ndarray) -> list[tuple]:
-        order = np.argsort(nodes, kind="stable")
-        nodes, groups, signs = nodes[order], groups[order], signs[order]
-        pairs: list[tuple] = []
-        if forest:
-            # Prim's walk by equal minima: each member joins by its likeliest link.
-            equal = np.full(len(nodes), -1, dtype=np.int64)
-            link = np.zeros(len(nodes), dtype=np.int64)
-            waiting = np.ones(len(nodes), dtype=bool)
-            at = 0
-            for _ in range(len(nodes)):
-                waiting[at] = False
-                now = (signs == signs[at]).sum(axis=1)
-                closer = waiting & (now > equal)
-                equal[closer], link[closer] = now[closer], at
-                if not waiting.any():
-                    break
-                at = int(np.where(waiting, equal, -2).argmax())
-                if equal[at] >= least:
-                    pairs.append((nodes[link[at]], nodes[at]))
-            return pairs
-        if (groups == groups[0]).all():
-            return pairs
-        for at in range(len(nodes) - 1):
-            later = groups[at + 1 :] != groups[at]
-            if later.any():
-                found = np.flatnonzero(
-                    later & ((signs[at + 1 :] == signs[at]).sum(axis=1) >= least)
-                )
-                pairs += [(nodes[at], nodes[at + 1 + other]) for other in found]
-        return pairs
+def _spans(rows: pd.DataFrame, params: NearParams) -> Iterator[np.ndarray]:
+    """Places of each bucket's members in sorted rows; blocks of a larger one share its first."""
+    buckets = rows["bucket"].to_numpy(np.int64)
+    starts = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1]))
+    for start, end in zip(starts, np.append(starts[1:], len(buckets)), strict=True):
+        for at in range(start, end, params.bucket_rows):
+            block = np.arange(at, min(end, at + params.bucket_rows))
+            yield np.append(start, block) if at > start else block
+
+
+def _signs(rows: pd.DataFrame, params: NearParams) -> np.ndarray:
+    width = params.bands * params.rows
+    return np.frombuffer(b"".join(rows["signature"]), np.uint8).reshape(-1, width)
+
+
+def _least_equal(params: NearParams) -> int:
+    return int(np.ceil(params.least_equal * params.bands * params.rows))
+
+
+def _forest(params: NearParams):
+    """Spanning forests of a chunk's buckets: each member by its likeliest link (Prim's walk)."""
+    least = _least_equal(params)
+
+    def walk(nodes: np.ndarray, signs: np.ndarray) -> Iterator[tuple[int, int]]:
+        equal = np.full(len(nodes), -1, dtype=np.int64)
+        link = np.zeros(len(nodes), dtype=np.int64)
+        waiting = np.ones(len(nodes), dtype=bool)
+        at = 0
+        for _ in range(len(nodes) - 1):
+            waiting[at] = False
+            now = (signs == signs[at]).sum(axis=1)
+            closer = waiting & (now > equal)
+            equal[closer], link[closer] = now[closer], at
+            at = int(np.where(waiting, equal, -2).argmax())
+            if equal[at] >= least:
+                yield nodes[link[at]], nodes[at]
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["bucket", "node"], kind="stable")
-        width = params.bands * params.rows
-        signs = np.frombuffer(b"".join(rows["signature"]), np.uint8).reshape(-1, width)
-        nodes, groups = rows["node"].to_numpy(np.int64), rows["group"].to_numpy(np.int64)
-        buckets = rows["bucket"].to_numpy(np.int64)
-        starts = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1]))
-        ends = np.append(starts[1:], len(buckets))
-        twos = starts[ends - starts == 2]
-        likely = (signs[twos] == signs[twos + 1]).sum(axis=1) >= least
-        likely &= forest | (groups[twos] != groups[twos + 1])
-        twos = twos[likely]
+        signs, nodes = _signs(rows, params), rows["node"].to_numpy(np.int64)
         pairs = {
-            (min(a, b), max(a, b)) for a, b in zip(nodes[twos], nodes[twos + 1], strict=True)
+            (min(a, b), max(a, b))
+            for take in _spans(rows, params)
+            for a, b in walk(nodes[take], signs[take])
         }
-        for start, end in zip(starts, ends, strict=True):
-            if end - start == 2:
-                continue
-            # Blocks of a bucket that could not be divided share its first member.
-            for at in range(start, end, params.bucket_rows):
-                stop = min(end, at + params.bucket_rows)
-                take = np.r_[start, at:stop] if at > start else np.arange(at, stop)
-                found = bucket_pairs(nodes[take], groups[take], signs[take])
-                pairs.update((min(a, b), max(a, b)) for a, b in found if a != b)
         return pd.DataFrame(sorted(pairs), columns=["a", "b"], dtype="int64")
 
     return work
 
 
-def _proposals(
-    buckets: DataFrame, classes: DataFrame, groups: DataFrame | None, params: NearParams
-) -> DataFrame:
-    signed = classes.select("node", "signature")
-    if groups is None:
-        signed = signed.withColumn("group", F.col("node"))
-    else:
-        signed = signed.join(groups, "node", "left").withColumn(
-            "group", F.coalesce("group", "node")
-        )
-    total = buckets.count()
-    chunks = max(1, -(-total // params.chunk_rows))
-    # A bucket beyond its bound is dealt over several chunks, block by block.
+def _open_pairs(
+    groups: np.ndarray, signs: np.ndarray, path: list[int], params: NearParams
+) -> Iterator[tuple[int, np.ndarray]]:
+    """(member, later members) of one bucket: other component, alike enough, not met before."""
+    if (groups == groups[0]).all():
+        return
+    least = _least_equal(params)
+    by_band = signs.reshape(len(signs), params.bands, params.rows)
+    inside = np.zeros(params.bands, dtype=bool)
+    inside[path] = True
+    before = ~inside
+    before[path[-1] :] = False
+    for at in range(len(groups) - 1):
+        later = np.flatnonzero(groups[at + 1 :] != groups[at]) + at + 1
+        if len(later):
+            later = later[(signs[later] == signs[at]).sum(axis=1) >= least]
+        if len(later) and before.any():
+            shared = (by_band[later][:, before] == by_band[at][before]).all(axis=2)
+            later = later[~shared.any(axis=1)]
+        if len(later):
+            yield at, later
+
+
+def _members(params: NearParams):
+    """Members of a chunk's buckets that have an open pair there."""
+
+    def work(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["bucket", "node"], kind="stable").reset_index(drop=True)
+        signs, groups = _signs(rows, params), rows["group"].to_numpy(np.int64)
+        needed = np.zeros(len(rows), dtype=bool)
+        for take in _spans(rows, params):
+            path = list(rows["path"].iloc[take[0]])
+            for at, later in _open_pairs(groups[take], signs[take], path, params):
+                needed[take[at]] = True
+                needed[take[later]] = True
+        return rows.loc[needed, ["bucket", "path", "members", "node", "group", "signature"]]
+
+    return work
+
+
+def _late_links(params: NearParams):
+    """Confirmed links between components inside a chunk's buckets, fewer than their members."""
+
+    def work(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["bucket", "node"], kind="stable").reset_index(drop=True)
+        signs, groups = _signs(rows, params), rows["group"].to_numpy(np.int64)
+        nodes = rows["node"].to_numpy(np.int64)
+        shingler = Shingles(params.width)
+        sets: dict[int, np.ndarray] = {}
+        links = []
+        for take in _spans(rows, params):
+            own = groups[take].copy()
+            sets.clear()
+            path = list(rows["path"].iloc[take[0]])
+            for at, later in _open_pairs(groups[take], signs[take], path, params):
+                for other in later:
+                    if own[other] == own[at]:
+                        continue
+                    for each in (at, other):
+                        if each not in sets:
+                            sets[each] = shingler.of(rows["text"].iat[take[each]])
+                    if _similar(sets[at], sets[other], params):
+                        links.append((nodes[take[at]], nodes[take[other]]))
+                        own[own == own[other]] = own[at]
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return work
+
+
+def _similar(left: np.ndarray, right: np.ndarray, params: NearParams) -> bool:
+    shared = len(np.intersect1d(left, right, assume_unique=True))
+    return 100 * shared >= params.percent * (len(left) + len(right) - shared)
+
+
+def _chunked(buckets: DataFrame, params: NearParams) -> DataFrame:
+    """Deals buckets to chunks of about ``chunk_rows``; one beyond that goes to several."""
+    chunks = max(1, -(-buckets.count() // params.chunk_rows))
     blocks = F.greatest(F.lit(1), F.floor(F.col("members") / params.chunk_rows))
-    chunk = F.pmod(
-        F.xxhash64("bucket", F.pmod(F.xxhash64("node"), blocks)), F.lit(chunks)
-    ).cast("int")
-    return (
-        buckets.withColumn("chunk", chunk)
-        .join(signed, "node")
-        .groupBy("chunk")
-        .applyInPandas(_propose(params, groups is None), "a long, b long")
-        .distinct()
-    )
+    place = F.xxhash64("bucket", F.pmod(F.xxhash64("node"), blocks))
+    return buckets.withColumn("chunk", F.pmod(place, F.lit(chunks)).cast("int"))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, params: NearParams) -> DataFrame:
@@ -280,16 +333,11 @@ def confirmed(pairs: DataFrame, texts: DataFrame, params: NearParams) -> DataFra
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingles(params.width)
-        last: tuple[int, np.ndarray] | None = None
         for batch in batches:
-            keep = []
-            for a, own, other in zip(batch["a"], batch["own"], batch["other"], strict=True):
-                if last is None or last[0] != a:
-                    last = a, shingler.of(own)
-                left, right = last[1], shingler.of(other)
-                shared = len(np.intersect1d(left, right, assume_unique=True))
-                union = len(left) + len(right) - shared
-                keep.append(100 * shared >= params.percent * union)
+            keep = [
+                _similar(shingler.of(own), shingler.of(other), params)
+                for own, other in zip(batch["own"], batch["other"], strict=True)
+            ]
             yield batch.loc[keep, ["a", "b"]]
 
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("own"))
@@ -348,9 +396,10 @@ def connect(links: DataFrame) -> DataFrame:
         )
         small = saved(small, "near-small-star")
         # Done when every node hangs on one other, and that one on none.
-        loose = small.groupBy("a").count().filter("count > 1").select("a")
-        chained = small.select("a").join(small.select(F.col("b").alias("a")), "a", "left_semi")
-        if loose.unionByName(chained).isEmpty():
+        ends = small.select(F.col("a").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+        tops = small.select(F.col("b").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+        roles = ends.unionByName(tops).groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if roles.filter("up > 1 or (up = 1 and down = 1)").isEmpty():
             leaves = small.select(F.col("a").alias("node"), F.col("b").alias("group"))
             return leaves.unionByName(leaves.select(F.col("group").alias("node"), "group").distinct())
         edges = small
@@ -371,23 +420,39 @@ def components(docs: DataFrame, params: NearParams | None = None) -> DataFrame:
         "near-classes",
     )
     buckets = _buckets(classes, params)
-    first = saved(_proposals(buckets, classes, None, params), "near-forest")
+    signed = classes.select("node", "signature")
+    forest = (
+        _chunked(buckets, params)
+        .join(signed, "node")
+        .groupBy("chunk")
+        .applyInPandas(_forest(params), "a long, b long")
+    )
+    first = saved(forest.distinct(), "near-forest")
+    # A class with any likely partner has a link in a forest, so these texts serve twice.
     named = first.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = saved(_texts(docs, classes, named, params), "near-texts")
     links = saved(confirmed(first, texts, params), "near-links")
     groups = saved(connect(links), "near-groups")
-    second = saved(
-        _proposals(buckets, classes, groups, params).join(first, ["a", "b"], "left_anti"),
-        "near-rest",
+    likely = signed.join(named, "node", "left_semi").join(groups, "node", "left").withColumn(
+        "group", F.coalesce("group", "node")
+    )
+    shape = "bucket long, path array<int>, members long, node long, group long, signature binary"
+    needed = saved(
+        _chunked(buckets, params)
+        .join(likely, "node")
+        .groupBy("chunk")
+        .applyInPandas(_members(params), shape),
+        "near-needed",
+    )
+    late = saved(
+        _chunked(needed, params)
+        .join(texts, "node")
+        .groupBy("chunk")
+        .applyInPandas(_late_links(params), "a long, b long"),
+        "near-late",
     )
-    if not second.isEmpty():
-        more = second.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        missing = more.join(texts, "node", "left_anti")
-        if not missing.isEmpty():
-            texts = texts.unionByName(saved(_texts(docs, classes, missing, params), "near-texts"))
-        late = saved(confirmed(second, texts, params), "near-links")
-        if not late.isEmpty():
-            groups = saved(connect(links.unionByName(late)), "near-groups")
+    if not late.isEmpty():
+        groups = saved(connect(links.unionByName(late)), "near-groups")
     # Few classes are in a component; the others stand for themselves.
     grouped = classes.select("node", "least").join(groups, "node")
     roots = grouped.groupBy("group").agg(F.min("least").alias("root"))

@@ -20,7 +20,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import ASCII_SPACE, map_batches, texts_of, words
+from tripflow.llm.common import (
+    ASCII_SPACE,
+    id_or_none,
+    map_batches,
+    texts_of,
+    with_null_ids,
+    words,
+)
 
 FEATURES = (
     "log_words",
@@ -228,9 +235,11 @@ def score_documents(docs: DataFrame, forest: Forest, threshold: float = 0.7) ->
         )
 
     ids = docs.select(
-        F.col("doc_id").cast("long"), "text", held_out(F.col("doc_id")).alias("held_out")
+        id_or_none(), "text", held_out(F.col("doc_id")).alias("held_out")
+    )
+    scored = with_null_ids(
+        map_batches(ids, work, "doc_id long, held_out boolean, score double")
     )
-    scored = map_batches(ids, work, "doc_id long, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm.bpe import ID, codec
-from tripflow.llm.common import map_batches, saved, texts_of
+from tripflow.llm.common import id_or_none, map_batches, saved, texts_of, with_null_ids
 from tripflow.sources.folders import run_folder
 
 RECORD = "slot long, shard long, doc_id long, number int, n_tokens int, ids binary"
@@ -99,17 +99,14 @@ def sequences(docs: DataFrame, path: str | None, params: OrderParams) -> DataFra
         encode = codec(path).encode if path else str.encode
         rows = []
         size = params.length * width
-        for doc_id, text in zip(
-            batch["doc_id"].astype("Int64"), texts_of(batch["text"]), strict=True
-        ):
+        for doc_id, text in zip(batch["doc_id"], texts_of(batch["text"]), strict=True):
             ids = encode(text)
             for number, at in enumerate(range(0, len(ids), size)):
                 part = ids[at : at + size]
                 rows.append((doc_id, number, len(part) // width, part))
-        found = pd.DataFrame(rows, columns=["doc_id", "number", "n_tokens", "ids"])
-        return found.astype({"doc_id": "Int64"})
+        return pd.DataFrame(rows, columns=["doc_id", "number", "n_tokens", "ids"])
 
-    ids = docs.select(F.col("doc_id").cast("long"), "text")
+    ids = docs.select(id_or_none(), "text")
     return map_batches(ids, cut, "doc_id long, number int, n_tokens int, ids binary")
 
 
@@ -217,7 +214,7 @@ def missing_shards(
 def read_slots(spark: SparkSession, folder: str, first: int = 0, params: OrderParams | None = None):
     """Records from slot ``first`` on; folders of earlier shards are not opened."""
     params = params or OrderParams()
-    rows = spark.read.schema(RECORD).parquet(folder).select(*_names())
+    rows = with_null_ids(spark.read.schema(RECORD).parquet(folder)).select(*_names())
     if first:
         rows = rows.filter(F.col("shard") >= first // params.stride).filter(
             F.col("slot") >= first
