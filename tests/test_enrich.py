@@ -55,10 +55,10 @@ def test_repeated_dimension_keys_fan_out_as_in_any_left_join(skewed, dimension,
     assert as_counter(joined) == expected(skewed, copies=2)
 
 
-def test_hot_and_missing_keys_stay_out_of_the_shuffle(spark, skewed, dimension):
+def test_hot_and_missing_keys_are_salted_in_one_pass(spark, skewed, dimension):
     shuffled = joins.enrich(skewed, dimension, ("pickup",), small=False)
     plan = shuffled._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" in plan and "Cross" not in plan
+    assert "_salt" in plan and "Union" not in plan and "Cross" not in plan
 
 
 def test_hot_ids_are_those_above_their_share(skewed, monkeypatch):

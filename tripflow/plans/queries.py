@@ -6,7 +6,6 @@ fares are shown as a flag beside a null, since NaN does not compare equal to its
 
 from __future__ import annotations
 
-from functools import lru_cache
 from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
@@ -371,9 +370,7 @@ def request_features(spark: SparkSession, folder: str) -> DataFrame:
     return fare_requests.request_features(events.requests(spark, folder))
 
 
-@lru_cache(maxsize=4)
 def _trained(spark: SparkSession, folder: str) -> fares.FareTraining:
-    """Trained once per session and folder; the three model queries share it."""
     return fares.train_fare_model(
         events.trips(spark, folder),
         events.zones(spark, folder),

@@ -2,28 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
-from functools import lru_cache
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
 
-@lru_cache(maxsize=1)
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="tripflow-")
-
-
 def run_folder(spark: SparkSession, purpose: str) -> str:
     """A new, unused folder name under the session's ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting; it then gets a temporary folder.
+    Only a local session may go without that setting; its warehouse then holds the folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = _local_root()
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/runs"
     return f"{root.rstrip('/')}/tripflow/{purpose}-{uuid4().hex}"
 
 
@@ -38,3 +31,10 @@ def ensure_folder(spark: SparkSession, path: str) -> str:
     if system.globStatus(folder) is None:
         system.mkdirs(folder)
     return path
+
+
+def has_sink_log(spark: SparkSession, path: str) -> bool:
+    """Whether a streaming file sink wrote the table."""
+    gateway = spark.sparkContext._jvm
+    log = gateway.org.apache.hadoop.fs.Path(path, "_spark_metadata")
+    return log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log)

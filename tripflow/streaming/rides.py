@@ -9,7 +9,8 @@ from tripflow.operators.clean import clean
 from tripflow.operators.enrich import enrich, zones_fit_broadcast
 from tripflow.operators.rollup import ride_rollup
 from tripflow.sources.files import read_rides
-from tripflow.streaming.sinks import append_batches, append_stream, batch_writer
+from tripflow.sources.folders import has_sink_log
+from tripflow.streaming.sinks import append_batches, batch_writer
 
 
 def ride_stream(feed: DataFrame, zones: DataFrame) -> DataFrame:
@@ -23,21 +24,20 @@ def start_rides(
     table: str,
     checkpoint: str,
     trigger: dict | None = None,
-    by_batch: bool = False,
     rollup: str | None = None,
 ) -> StreamingQuery:
     """Starts the query that cleans a feed stream into a ride table, exactly once.
 
-    Rows go through the file sink, or with ``by_batch`` into ``batch_id`` partitions. With
-    ``rollup``, each batch's ``ride_rollup`` goes to a table of that name as well, so that
-    reports need not read the rides at all; that works per batch too. So do zones beyond the
-    broadcast bound: they are joined per batch, where its hot ids can be found and spread.
+    Every micro-batch overwrites its own ``batch_id`` partition, whatever the size of the zone
+    dimension; that size only decides how a batch is joined. With ``rollup``, each batch's
+    ``ride_rollup`` goes to a table of that name as well, so that reports need not read the rides
+    at all. A table that a file sink wrote is refused before any file is read: its log would
+    hide the partitions.
     """
+    for name in filter(None, (table, rollup)):
+        if has_sink_log(feed.sparkSession, name):
+            raise ValueError(f"{name} was written by a file sink; rewrite it with compact first")
     small = zones_fit_broadcast(zones)
-    if small and not rollup:
-        start = append_batches if by_batch else append_stream
-        return start(enrich(clean(feed), zones, small=True), table, checkpoint, trigger)
-
     write_rides = batch_writer(table)
     write_rollup = batch_writer(rollup) if rollup else None
 
