@@ -383,7 +383,6 @@ def connect(links: DataFrame) -> DataFrame:
             .filter("x <> y")
             .distinct()
         )
-        large = saved(large, "near-large-star")
         low = large.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
         parents = low.groupBy("a").agg(F.min("b").alias("m"))
         small = (
@@ -452,7 +451,11 @@ def components(docs: DataFrame, params: NearParams | None = None) -> DataFrame:
         "near-late",
     )
     if not late.isEmpty():
-        groups = saved(connect(links.unionByName(late)), "near-groups")
+        # The stars that are known stand for the links they came from.
+        stars = groups.filter("node <> group").select(
+            F.col("node").alias("a"), F.col("group").alias("b")
+        )
+        groups = saved(connect(stars.unionByName(late)), "near-groups")
     # Few classes are in a component; the others stand for themselves.
     grouped = classes.select("node", "least").join(groups, "node")
     roots = grouped.groupBy("group").agg(F.min("least").alias("root"))
