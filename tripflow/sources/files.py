@@ -48,12 +48,14 @@ def write_feed(feed: DataFrame, path: str, rows_per_file: int, fmt: str = "parqu
 
 def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A Parquet table; no rows while it does not exist. Any other failure is raised."""
+    empty = spark.createDataFrame([], schema)
     try:
-        return spark.read.schema(schema).parquet(path)
+        # Partition folders add a column of their own.
+        return spark.read.schema(schema).parquet(path).select(*empty.columns)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return empty
 
 
 def read_rides(spark: SparkSession, path: str) -> DataFrame:
@@ -70,7 +72,10 @@ def compact_rides(spark: SparkSession, source: str, target: str) -> None:
     """Rewrites a table of many small files into a new folder of well-sized ones.
 
     The rebalance hint lets adaptive execution size the output files, splitting large
-    partitions as well as joining small ones.
+    partitions as well as joining small ones. A table of micro-batches keeps its partitions, so
+    that the stream can go on with the new folder.
     """
     rides = spark.read.schema(ddl(RIDES)).parquet(source)
-    rides.hint("rebalance").write.mode("errorifexists").parquet(target)
+    by = ["batch_id"] if "batch_id" in rides.columns else []
+    writer = rides.hint("rebalance", *by).write.mode("errorifexists")
+    (writer.partitionBy(*by) if by else writer).parquet(target)
