@@ -54,6 +54,11 @@ def test_feed_stream_report_compact(spark, place, capsys):
     report = ["report", "--rides", place("rides"), "--zones", place("zones.csv")]
     jobs.main(report)
     shown = capsys.readouterr().out
+    spark.range(1).selectExpr("560L as trips").write.parquet(place("totals"))
+    for live in ("+600", "+0"):
+        jobs.main([*report, "--totals", place("totals")])
+        page = capsys.readouterr().out.split("peak_hour")[0]
+        assert live in page
     assert "1,160 rides processed" in shown and "boroughs" in shown
 
     again = [*stream[:5], "--rides", place("rides2"), "--checkpoint", place("checkpoint2")]
@@ -81,6 +86,8 @@ def test_train_and_score(spark, place, capsys):
         ["score", "--requests", place("requests"), "--model", place("model")]
         + ["--scores", place("scores")]
     )
+    (bad,) = spark.read.parquet(place("scores") + "-rejected").collect()
+    assert bad.trip_distance == 0.0 and bad.reason == "trip_distance"
     (row,) = spark.read.parquet(place("scores")).collect()
     assert row.predicted_fare > 0 and row.fare_text.startswith("$")
 

@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 from tripflow.operators.display import fare_card
 from tripflow.operators.metrics import average_fare_by_hour
 from tripflow.operators.normalize import normalize_feed
-from tripflow.operators.requests import valid_requests
+from tripflow.operators.requests import rejected_requests, valid_requests
 from tripflow.plans import fares, reports
 from tripflow.schemas import FOREST_DEPTH, FOREST_TREES, TRAINING_SAMPLE_ROWS
 from tripflow.sources import files
@@ -50,14 +50,17 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
         rollup = files.read_rollup(spark, args.rollup)
     else:
         rollup = reports.stored_rollup(rides, run_folder(spark, "rollup"))
+    previous = files.read_totals(spark, args.totals) if args.totals else None
     pages = {
-        **reports.overview(rollup),
+        **reports.overview(rollup, previous),
         **reports.analytics(rollup, files.read_zones(spark, args.zones)),
         **reports.latest(rides),
     }
     for name, page in pages.items():
         print(name)
         page.show(args.rows or max(1, page.count()), truncate=False)
+    if args.totals:
+        files.add_total(rollup, args.totals)
 
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -78,10 +81,12 @@ def train(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def score(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Predict the fares of a Parquet table of requests."""
-    requests = valid_requests(spark.read.parquet(args.requests))
-    scored = fares.score_fares(requests, fares.load_model(args.model))
+    """Predict the fares of a Parquet table of requests; those out of range go to a second one."""
+    requests = spark.read.parquet(args.requests)
+    scored = fares.score_fares(valid_requests(requests), fares.load_model(args.model))
     fare_card(scored).write.mode("errorifexists").parquet(args.scores)
+    rejects = args.rejects or f"{args.scores.rstrip('/')}-rejected"
+    rejected_requests(requests).write.mode("errorifexists").parquet(rejects)
 
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -112,6 +117,7 @@ def parser() -> argparse.ArgumentParser:
 
     sub = command(report, "rides", "zones")
     sub.add_argument("--rows", type=int, default=0)
+    sub.add_argument("--totals", help="keep ride totals, to show what came in since last time")
     sub.add_argument("--rollup", help="read the sums that the stream keeps")
 
     sub = command(train, "trips", "zones", "model")
@@ -120,7 +126,9 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--trees", type=int, default=FOREST_TREES)
     sub.add_argument("--depth", type=int, default=FOREST_DEPTH)
 
-    command(score, "requests", "model", "scores")
+    sub = command(score, "requests", "model", "scores")
+    sub.add_argument("--rejects", help="folder for requests out of range (<scores>-rejected)")
+
     command(compact, "rides", "target")
     return main_parser
 

@@ -18,6 +18,15 @@ def valid_requests(requests: DataFrame) -> DataFrame:
     return requests.filter(reduce(and_, rules))
 
 
+def rejected_requests(requests: DataFrame) -> DataFrame:
+    """The other requests, each with the names of the columns out of range, comma-joined."""
+    wrong = [
+        F.when(F.coalesce(F.col(name).between(*ends), F.lit(False)), None).otherwise(name)
+        for name, ends in REQUEST_RANGES.items()
+    ]
+    return requests.withColumn("reason", F.concat_ws(",", *wrong)).filter("reason <> ''")
+
+
 def request_features(requests: DataFrame) -> DataFrame:
     """Requests with their columns cast and a duration at the assumed speed."""
     typed = requests.withColumns(

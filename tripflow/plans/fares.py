@@ -14,7 +14,7 @@ from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -82,8 +82,20 @@ def fare_pipeline(
 
 
 def index_zones(rides: DataFrame) -> DataFrame:
-    """Adds the zone indexes, fitted on the rides themselves (runs a job)."""
-    return zone_indexer().fit(rides).transform(rides)
+    """Adds the zone indexes, ranked by the rides' own counts (runs a job).
+
+    Both columns are counted in one aggregation with partial counts; the driver gets one row per
+    zone and column, in the order that ``zone_indexer`` would find: most rides first, then name.
+    """
+    side = F.posexplode(F.array(*ZONE_FEATURES)).alias("side", "zone")
+    counts = rides.select(side).filter("zone is not null").groupBy("side", "zone").count()
+    ranked = counts.orderBy("side", F.desc("count"), "zone").collect()
+    for side, (name, index) in enumerate(zip(ZONE_FEATURES, INDEXES, strict=True)):
+        # One model a column: a model of several pads the shorter list of labels.
+        labels = [row.zone for row in ranked if row.side == side]
+        model = StringIndexerModel.from_labels(labels, name, index, handleInvalid="keep")
+        rides = model.transform(rides)
+    return rides
 
 
 def training_features(rides: DataFrame, key: list[str]) -> DataFrame:

@@ -117,7 +117,7 @@ def _zone_indexes(source: str) -> str:
 TRAINING = """, training as (
   select r.*, p.Zone as pickup_zone, q.Zone as dropoff_zone
   from (
-    select trip_id, trip_distance, passenger_count, PULocationID, DOLocationID,
+    select trip_id, fare_amount, trip_distance, passenger_count, PULocationID, DOLocationID,
       cast(hour(tpep_pickup_datetime) as integer) as pickup_hour,
       (epoch(date_trunc('second', tpep_dropoff_datetime))
         - epoch(date_trunc('second', tpep_pickup_datetime))) / 60.0 as ride_duration_minutes
@@ -127,15 +127,12 @@ TRAINING = """, training as (
   left join zones q on q.LocationID = DOLocationID
   where ride_duration_minutes > 0)"""
 
-BATCHES = """select cast((row_number() over (order by trip_id) - 1) // size as bigint) as batch_id
-  from trips_raw, (select cast(ceil(count(*) / 4.0) as bigint) as size from trips_raw)"""
-
 _SELECTS = {
     # Sources
     "scan_trips": f"select * exclude (fare_amount), {NAN_FARE} from trips_raw",
     "scan_zones": "select * from zones",
     "zone_list": "select distinct Zone from zones where Zone is not null order by Zone",
-    "feed_files": FEED_ROWS,
+    "feed_files": f"select {FEED_COLUMNS}, {NAN_FARE}, true as within_limit from feed",
     # Normalisation
     "rename_trips": f"""select trip_id, tpep_pickup_datetime as pickup_datetime,
       tpep_dropoff_datetime as dropoff_datetime, trip_distance,
@@ -222,8 +219,8 @@ _SELECTS = {
     "stream_parquet_ingest": NORMALIZED_ROWS,
     "stream_union_feeds": f"{FEED_ROWS} union all {FEED_ROWS}",
     "stream_clean_rides": f"select {RIDE_COLUMNS}, pickup_zone, dropoff_zone from named",
-    "stream_batch_counts": f"""select batch_id, count(*) as arrivals from ({BATCHES})
-      group by batch_id""",
+    "stream_batch_counts": """select trip_id % 4 as batch_id, count(*) as arrivals
+      from trips_raw group by batch_id""",
     "stream_replay_idempotent": f"""select trip_id, {RIDE_COLUMNS} from (
     select *,
       (epoch(date_trunc('second', dropoff_datetime))
@@ -262,4 +259,16 @@ def oracle_sql() -> dict[str, str]:
           pickup_zone_idx, dropoff_zone_idx
         from indexed where passenger_count is not null"""
     )
+    # Neither fares nor passengers are missing in a test row that can be scored.
+    tested = f"from training where passenger_count is not null and {BUCKET} >= 80"
+    sql["fare_model_rmse"] = (
+        f"{BASE}{TRAINING} select count(*) as test_rows, true as near_mean_predictor {tested}"
+    )
+    sql["fare_model_predictions"] = (
+        f"{BASE}{TRAINING} select trip_id, fare_amount, true as within_train_range {tested}"
+    )
+    sql["score_requests"] = f"""{BASE} select *,
+      trip_distance / 15.0 * 60.0 as ride_duration_minutes, true as within_train_range,
+      true as per_mile_agrees, true as has_fare_text,
+      lpad(cast(pickup_hour as varchar), 2, '0') || ':00' as hour_text from requests"""
     return sql

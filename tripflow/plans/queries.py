@@ -6,29 +6,27 @@ fares are shown as a flag beside a null, since NaN does not compare equal to its
 
 from __future__ import annotations
 
-from math import ceil
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.operators import clean as cleaning
 from tripflow.operators import display, enrich, metrics, normalize, sampling
 from tripflow.operators import requests as fare_requests
 from tripflow.plans import events, fares
-from tripflow.schemas import FEED, LABEL, PREDICTION, RIDES, ddl
+from tripflow.schemas import FEED, LABEL, PREDICTION, REQUESTS, RIDES, TRIP, ddl
 from tripflow.sources import files
 from tripflow.sources.folders import run_folder
 from tripflow.streaming import feeds, sinks
 from tripflow.streaming.rides import start_rides
 
 KEY = events.KEY
+REQUEST_KEY = ("request_id",)
 SAMPLE_ROWS = 5_000
-FEED_FILES = 4
-TRIP = (
-    "trip_id bigint, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, "
-    "trip_distance double, PULocationID bigint, DOLocationID bigint, fare_amount double, "
-    "tip_amount double, passenger_count bigint, payment_type bigint"
-)
+#: Small, so that a small table makes several files as well.
+FEED_ROWS_PER_FILE = 2_500
+DELIVERIES = 4
 
 
 def _show_nan(rows: DataFrame) -> DataFrame:
@@ -62,9 +60,13 @@ def zone_list(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def feed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of the feed files, each with whether its place in its file is below the limit."""
     path = run_folder(spark, "feed")
-    files.write_feed(events.feed(spark, folder).select(*FEED), path, rows_per_file=1_000_000)
-    return _show_nan(spark.read.schema(ddl(FEED)).parquet(path))
+    files.write_feed(events.feed(spark, folder).select(*FEED), path, FEED_ROWS_PER_FILE)
+    within = F.col("_metadata.row_index") < FEED_ROWS_PER_FILE
+    return _show_nan(
+        spark.read.schema(ddl(FEED)).parquet(path).withColumn("within_limit", within)
+    )
 
 
 # --- Normalisation ---------------------------------------------------------------------------
@@ -243,7 +245,7 @@ def _feed_folder(spark: SparkSession, folder: str, *formats: str) -> str:
     path = run_folder(spark, "feed")
     for fmt in formats:
         feed = events.feed(spark, folder).select(*FEED)
-        files.write_feed(feed, path, rows_per_file=1_000_000, fmt=fmt)
+        files.write_feed(feed, path, FEED_ROWS_PER_FILE, fmt)
     return path
 
 
@@ -284,32 +286,34 @@ def stream_clean_rides(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_rides(spark, table)
 
 
-def _trip_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """Trips streamed from feed files in about ``FEED_FILES`` micro-batches."""
+def _deliver(
+    spark: SparkSession,
+    folder: str,
+    table: str,
+    rows_of: Callable[[DataFrame], DataFrame],
+    write: Callable[[DataFrame, int], None] | None = None,
+) -> None:
+    """Delivers the trips in ``DELIVERIES`` parts by id to one stream, restarted after each.
+
+    A part is all that the feed folder gained since the last commit, and so one micro-batch,
+    however many files and splits it has.
+    """
     path = run_folder(spark, "trips")
+    checkpoint = run_folder(spark, "checkpoint")
     trips = events.trips(spark, folder)
-    files.write_feed(trips, path, rows_per_file=max(1, ceil(trips.count() / FEED_FILES)))
-    written = len(spark.read.schema(TRIP).parquet(path).inputFiles())
-    return feeds.feed_stream(
-        spark,
-        path,
-        "parquet",
-        schema=TRIP,
-        files_per_trigger=max(1, ceil(written / FEED_FILES)),
-    )
+    for number in range(DELIVERIES):
+        part = trips.filter(F.pmod("trip_id", F.lit(DELIVERIES)) == number)
+        files.write_feed(part, path, FEED_ROWS_PER_FILE)
+        arrived = rows_of(feeds.feed_stream(spark, path, "parquet", schema=ddl(TRIP)))
+        sinks.run_available(
+            sinks.append_batches(arrived, table, checkpoint, sinks.AVAILABLE_NOW, write)
+        )
 
 
 def stream_batch_counts(spark: SparkSession, folder: str) -> DataFrame:
     table = run_folder(spark, "batches")
-    sinks.run_available(
-        sinks.append_batches(
-            _trip_batches(spark, folder),
-            table,
-            run_folder(spark, "checkpoint"),
-            sinks.AVAILABLE_NOW,
-        )
-    )
-    return sinks.arrivals(sinks.read_batches(spark, table, TRIP))
+    _deliver(spark, folder, table, lambda trips: trips)
+    return sinks.arrivals(sinks.read_batches(spark, table, ddl(TRIP)))
 
 
 def stream_replay_idempotent(spark: SparkSession, folder: str) -> DataFrame:
@@ -321,11 +325,12 @@ def stream_replay_idempotent(spark: SparkSession, folder: str) -> DataFrame:
         write(batch, batch_id)
         write(batch, batch_id)
 
-    rides = cleaning.clean(normalize.normalize_feed(_trip_batches(spark, folder), key=KEY))
-    sinks.run_available(
-        sinks.append_batches(
-            rides, table, run_folder(spark, "checkpoint"), sinks.AVAILABLE_NOW, write_twice
-        )
+    _deliver(
+        spark,
+        folder,
+        table,
+        lambda trips: cleaning.clean(normalize.normalize_feed(trips, key=KEY)),
+        write_twice,
     )
     stored = {name: kind for name, kind in RIDES.items() if not name.endswith("_zone")}
     return sinks.read_batches(spark, table, f"trip_id bigint, {ddl(stored)}").drop("batch_id")
@@ -379,17 +384,53 @@ def _trained(spark: SparkSession, folder: str) -> fares.FareTraining:
     )
 
 
+def _within(prediction: str, train: DataFrame) -> Column:
+    """Whether a prediction lies among the train part's labels, as a forest's means must.
+
+    Means are sums of doubles, so the ends have a tolerance.
+    """
+    low = train.agg(F.min(LABEL) - 1e-6).scalar()
+    high = train.agg(F.max(LABEL) + 1e-6).scalar()
+    return F.col(prediction).between(low, high)
+
+
 def fare_model_rmse(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the whole test part, and how the forest's error compares.
+
+    These fares are drawn independently of the trips' features, so no model can beat the mean by
+    more than chance; one that leaks or diverges leaves the band around it.
+    """
     training = _trained(spark, folder)
     scored = training.model.transform(training.test)
-    return metrics.root_mean_squared_error(scored, LABEL, PREDICTION)
+    forest = metrics.root_mean_squared_error(scored, LABEL, PREDICTION)
+    parts = training.train.select(LABEL, F.lit("train").alias("split")).unionByName(
+        scored.select(LABEL, F.lit("test").alias("split"))
+    )
+    ratio = forest.scalar() / F.col("rmse")
+    return metrics.mean_predictor_rmse(parts).select(
+        "test_rows", ratio.between(0.75, 1.25).alias("near_mean_predictor")
+    )
 
 
 def fare_model_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """Every complete ride of the test part, and whether its prediction is a possible one."""
     training = _trained(spark, folder)
-    return training.model.transform(training.test).select(*KEY, LABEL, PREDICTION)
+    within = _within(PREDICTION, training.train).alias("within_train_range")
+    return training.model.transform(training.test).select(*KEY, LABEL, within)
 
 
 def score_requests(spark: SparkSession, folder: str) -> DataFrame:
-    scored = fares.score_fares(events.requests(spark, folder), _trained(spark, folder).model)
-    return display.fare_card(scored)
+    """Every request with its card, apart from the forest's number, which SQL cannot state."""
+    training = _trained(spark, folder)
+    scored = fares.score_fares(events.requests(spark, folder), training.model)
+    distance = F.col("trip_distance")
+    per_mile = F.when(distance != 0, F.col(PREDICTION) / distance).otherwise(F.lit(0.0))
+    return display.fare_card(scored).select(
+        *REQUEST_KEY,
+        *REQUESTS,
+        "ride_duration_minutes",
+        _within(PREDICTION, training.train).alias("within_train_range"),
+        F.col("fare_per_mile").eqNullSafe(per_mile).alias("per_mile_agrees"),
+        F.col("fare_text").startswith("$").alias("has_fare_text"),
+        "hour_text",
+    )

@@ -16,6 +16,19 @@ TRIP_RENAMES = {
     "DOLocationID": "dropoff_location_id",
 }
 
+TRIP = {
+    "trip_id": "bigint",
+    "tpep_pickup_datetime": "timestamp_ntz",
+    "tpep_dropoff_datetime": "timestamp_ntz",
+    "trip_distance": "double",
+    "PULocationID": "bigint",
+    "DOLocationID": "bigint",
+    "fare_amount": "double",
+    "tip_amount": "double",
+    "passenger_count": "bigint",
+    "payment_type": "bigint",
+}
+
 FEED = {
     "pickup_datetime": "string",
     "dropoff_datetime": "string",

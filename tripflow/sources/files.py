@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripflow.schemas import RIDES, ROLLUP, ZONES, ddl
 
@@ -68,6 +69,20 @@ def read_rollup(spark: SparkSession, path: str) -> DataFrame:
     return _read_or_empty(spark, path, ddl(ROLLUP))
 
 
+def read_totals(spark: SparkSession, path: str) -> DataFrame | None:
+    """The highest total that ``add_total`` stored, as a rollup of one row; None before the first."""
+    totals = _read_or_empty(spark, path, "trips bigint")
+    if totals.isEmpty():
+        return None
+    return totals.agg(F.max("trips").alias("trips"))
+
+
+def add_total(rollup: DataFrame, path: str) -> None:
+    """Stores how many rides a rollup stands for, as one more row."""
+    total = rollup.agg(F.coalesce(F.sum("trips"), F.lit(0)).cast("bigint").alias("trips"))
+    total.write.mode("append").parquet(path)
+
+
 def compact_rides(spark: SparkSession, source: str, target: str) -> None:
     """Rewrites a table of many small files into a new folder of well-sized ones.
 
