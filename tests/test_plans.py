@@ -84,7 +84,11 @@ def test_sampling_and_splitting_do_not_shuffle_rows(stored_feed):
 )
 def test_no_query_multiplies_rows_or_runs_python(name, spark):
     plan = plan_of(registry.queries()[name](spark, FOLDER))
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Window"):
+    operators = ["CartesianProduct", "BroadcastNestedLoopJoin"]
+    if not name.startswith("op") and name != "pipeline":
+        # Training-data operators may run Python, and number rows within parts of a set size.
+        operators += ["Python", "Window"]
+    for operator in operators:
         assert operator not in plan
 
 
