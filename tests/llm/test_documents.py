@@ -304,3 +304,25 @@ def test_near_copies_in_crowded_buckets(spark):
         params = near_dedup.NearParams(width=4, bucket_rows=limit, chunk_rows=64)
         found = near_dedup.components(docs, params).collect()
         assert {r.doc_id: r.component_id for r in found} == dict(enumerate(want))
+
+
+def test_near_copies_in_a_star_of_several_blocks(spark):
+    """Edits of one text that are near to it alone, in buckets of many blocks."""
+    draw = np.random.default_rng(4)
+    base = cases.prose(9, 200).split(" ")
+    texts = [" ".join(base)]
+    for i in range(150):
+        own = list(base)
+        for spot in draw.choice(np.arange(4, 196, 4), 5, replace=False):
+            own[spot] = f"edit{i}x{spot}"
+        texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert set(cases.near_components(texts, 4)) == {0}
+    assert len(set(cases.near_components(texts[1:], 4))) > 100
+    # With three bands there is one bucket that no further band divides.
+    params = near_dedup.NearParams(width=4, bands=3, rows=1, bucket_rows=8, chunk_rows=8)
+    bands = {r.doc_id: tuple(r.bands) for r in near_dedup.sketches(docs, params).collect()}
+    crowd = {doc_id for doc_id, own in bands.items() if own == bands[0]}
+    assert len(crowd) > 5 * params.bucket_rows
+    found = near_dedup.components(docs, params).collect()
+    assert {r.component_id for r in found if r.doc_id in crowd} == {0}

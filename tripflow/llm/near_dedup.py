@@ -10,9 +10,12 @@ texts, bucket by bucket, and only links that hold come out. A link between two c
 connected anyway changes nothing, so this is whole up to the chance that the minima of a linked
 pair mislead (below 1e-4 for a link at exactly 80 %, and it must be the only way between the two).
 
-Buckets above ``bucket_rows`` are divided by each later band's minima, twice if need be; what is
-still larger then agrees in twelve minima, is gone through in blocks, and every block holds the
-bucket's first member. A pair is looked at in one bucket only, that of its first shared bands.
+Buckets above ``bucket_rows`` are divided by each later band's minima, twice if need be (once more
+would lose links at 80 % more often than the chance above). What is still larger then agrees in
+twelve minima. Its forests are made in blocks that all hold the bucket's first member; the second
+time, its members outside the bucket's largest component meet all its members, block against
+block, so every pair of two components meets. The work grows with the product of these two
+numbers. A pair is looked at in one bucket only, that of its first shared bands.
 
 Defined results: a text without words has an empty set and is linked with nothing. Fewer words
 than a shingle has are one shingle. Repeated rows and equal texts are one class. Null ids are
@@ -30,7 +33,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.common import LOWER_BYTES, id_or_none, saved, texts_of, with_null_ids
@@ -52,7 +55,7 @@ class NearParams:
     bucket_rows: int = 4_096
     #: Equal minima of all that make a pair worth confirming: four deviations below 80 %.
     least_equal: float = 0.66
-    #: Members that one task goes through at once.
+    #: Members that one task goes through at once; whole buckets, so it may be more.
     chunk_rows: int = 4_096
 
 
@@ -163,10 +166,11 @@ def sketches(docs: DataFrame, params: NearParams) -> DataFrame:
     return with_null_ids(docs.select(id_or_none(), "text").mapInPandas(run, schema))
 
 
-def _buckets(classes: DataFrame, params: NearParams) -> DataFrame:
-    """``bucket, path, members, node`` of buckets with two classes or more.
+def _buckets(classes: DataFrame, params: NearParams) -> tuple[DataFrame, DataFrame | None]:
+    """``bucket, path, members, first, node`` of buckets with two classes or more.
 
-    ``path`` has the bands that make the bucket; only those of three may exceed ``bucket_rows``.
+    ``path`` has the bands that make the bucket. Those of three bands that still exceed
+    ``bucket_rows`` come apart from the others, if there are any.
     """
     held = classes.select("node", F.posexplode("bands").alias("band", "bucket")).select(
         "node", "bucket", F.array("band").alias("path")
@@ -174,14 +178,18 @@ def _buckets(classes: DataFrame, params: NearParams) -> DataFrame:
     done: list[DataFrame] = []
     for depth in range(3):
         counts = (
-            held.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+            held.groupBy("bucket")
+            .agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("first"))
+            .filter("members > 1")
         )
         members = saved(held.join(counts, "bucket"), "near-buckets")
         large = members.filter(F.col("members") > params.bucket_rows)
-        if depth == 2 or large.isEmpty():
+        if large.isEmpty():
             done.append(members)
             break
         done.append(members.filter(F.col("members") <= params.bucket_rows))
+        if depth == 2:
+            return reduce(DataFrame.unionByName, done), large
         held = (
             large.select("node", "bucket", "path")
             .join(classes.select("node", "bands"), "node")
@@ -193,17 +201,59 @@ def _buckets(classes: DataFrame, params: NearParams) -> DataFrame:
                 F.concat("path", F.array("band")).alias("path"),
             )
         )
-    return reduce(DataFrame.unionByName, done)
+    return reduce(DataFrame.unionByName, done), None
 
 
-def _spans(rows: pd.DataFrame, params: NearParams) -> Iterator[np.ndarray]:
-    """Places of each bucket's members in sorted rows; blocks of a larger one share its first."""
+def _blocks(rows: Column, params: NearParams) -> Column:
+    return F.ceil(rows / F.lit(params.bucket_rows)).cast("long")
+
+
+def _forest_blocks(large: DataFrame, params: NearParams) -> DataFrame:
+    """The large buckets' members as blocks for forests, each with the bucket's first member."""
+    blocks = _blocks(F.col("members"), params)
+    own = F.array(F.pmod(F.xxhash64("node"), blocks))
+    every = F.sequence(F.lit(0).cast("long"), blocks - 1)
+    block = F.explode(F.when(F.col("node") == F.col("first"), every).otherwise(own))
+    return large.withColumn("block", block).select(
+        F.xxhash64("bucket", "block").alias("bucket"), "path", "members", "first", "node"
+    )
+
+
+def _block_pairs(large: DataFrame, params: NearParams) -> DataFrame:
+    """Members of large buckets, with their groups, as pairs of blocks.
+
+    ``side`` 1 has the members outside the bucket's largest group, ``side`` 2 has all members. Two
+    members of different groups meet in one pair of blocks at least.
+    """
+    sizes = large.groupBy("bucket", "group").agg(F.count(F.lit(1)).alias("size"))
+    main = sizes.groupBy("bucket").agg(
+        F.max_by("group", F.struct("size", "group")).alias("main"),
+        (F.sum("size") - F.max("size")).alias("others"),
+    )
+    met = large.join(main.filter("others > 0"), "bucket")
+    lefts, rights = _blocks(F.col("others"), params), _blocks(F.col("members"), params)
+    key = F.xxhash64("node")
+    zero = F.lit(0).cast("long")
+    left = met.filter(F.col("group") != F.col("main")).withColumns(
+        {"left": F.pmod(key, lefts), "right": F.explode(F.sequence(zero, rights - 1))}
+    )
+    right = met.withColumns(
+        {"left": F.explode(F.sequence(zero, lefts - 1)), "right": F.pmod(key, rights)}
+    )
+    return (
+        left.withColumn("side", F.lit(1))
+        .unionByName(right.withColumn("side", F.lit(2)))
+        .withColumn("bucket", F.xxhash64("bucket", "left", "right"))
+        .select("bucket", "path", "side", "node", "group", "signature")
+    )
+
+
+def _spans(rows: pd.DataFrame) -> Iterator[np.ndarray]:
+    """Places of each bucket's members in sorted rows."""
     buckets = rows["bucket"].to_numpy(np.int64)
     starts = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1]))
     for start, end in zip(starts, np.append(starts[1:], len(buckets)), strict=True):
-        for at in range(start, end, params.bucket_rows):
-            block = np.arange(at, min(end, at + params.bucket_rows))
-            yield np.append(start, block) if at > start else block
+        yield np.arange(start, end)
 
 
 def _signs(rows: pd.DataFrame, params: NearParams) -> np.ndarray:
@@ -238,7 +288,7 @@ def _forest(params: NearParams):
         signs, nodes = _signs(rows, params), rows["node"].to_numpy(np.int64)
         pairs = {
             (min(a, b), max(a, b))
-            for take in _spans(rows, params)
+            for take in _spans(rows)
             for a, b in walk(nodes[take], signs[take])
         }
         return pd.DataFrame(sorted(pairs), columns=["a", "b"], dtype="int64")
@@ -247,9 +297,12 @@ def _forest(params: NearParams):
 
 
 def _open_pairs(
-    groups: np.ndarray, signs: np.ndarray, path: list[int], params: NearParams
+    groups: np.ndarray, signs: np.ndarray, sides: np.ndarray, path: list[int], params: NearParams
 ) -> Iterator[tuple[int, np.ndarray]]:
-    """(member, later members) of one bucket: other component, alike enough, not met before."""
+    """(member, later members) of one bucket: other component, alike enough, not met before.
+
+    In a pair of blocks, members of side 1 come first and meet those of side 2 only.
+    """
     if (groups == groups[0]).all():
         return
     least = _least_equal(params)
@@ -258,8 +311,10 @@ def _open_pairs(
     inside[path] = True
     before = ~inside
     before[path[-1] :] = False
-    for at in range(len(groups) - 1):
-        later = np.flatnonzero(groups[at + 1 :] != groups[at]) + at + 1
+    second = int(np.searchsorted(sides, 2))
+    for at in range(min(second, len(groups) - 1)):
+        start = second if sides[at] == 1 else at + 1
+        later = np.flatnonzero(groups[start:] != groups[at]) + start
         if len(later):
             later = later[(signs[later] == signs[at]).sum(axis=1) >= least]
         if len(later) and before.any():
@@ -273,15 +328,18 @@ def _members(params: NearParams):
     """Members of a chunk's buckets that have an open pair there."""
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["bucket", "node"], kind="stable").reset_index(drop=True)
+        rows = rows.sort_values(["bucket", "side", "node"], kind="stable").reset_index(drop=True)
         signs, groups = _signs(rows, params), rows["group"].to_numpy(np.int64)
+        sides = rows["side"].to_numpy(np.int64)
         needed = np.zeros(len(rows), dtype=bool)
-        for take in _spans(rows, params):
+        for take in _spans(rows):
             path = list(rows["path"].iloc[take[0]])
-            for at, later in _open_pairs(groups[take], signs[take], path, params):
+            for at, later in _open_pairs(
+                groups[take], signs[take], sides[take], path, params
+            ):
                 needed[take[at]] = True
                 needed[take[later]] = True
-        return rows.loc[needed, ["bucket", "path", "members", "node", "group", "signature"]]
+        return rows.loc[needed, ["bucket", "path", "side", "node", "group", "signature"]]
 
     return work
 
@@ -290,17 +348,20 @@ def _late_links(params: NearParams):
     """Confirmed links between components inside a chunk's buckets, fewer than their members."""
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["bucket", "node"], kind="stable").reset_index(drop=True)
+        rows = rows.sort_values(["bucket", "side", "node"], kind="stable").reset_index(drop=True)
         signs, groups = _signs(rows, params), rows["group"].to_numpy(np.int64)
+        sides = rows["side"].to_numpy(np.int64)
         nodes = rows["node"].to_numpy(np.int64)
         shingler = Shingles(params.width)
         sets: dict[int, np.ndarray] = {}
         links = []
-        for take in _spans(rows, params):
+        for take in _spans(rows):
             own = groups[take].copy()
             sets.clear()
             path = list(rows["path"].iloc[take[0]])
-            for at, later in _open_pairs(groups[take], signs[take], path, params):
+            for at, later in _open_pairs(
+                groups[take], signs[take], sides[take], path, params
+            ):
                 for other in later:
                     if own[other] == own[at]:
                         continue
@@ -321,11 +382,9 @@ def _similar(left: np.ndarray, right: np.ndarray, params: NearParams) -> bool:
 
 
 def _chunked(buckets: DataFrame, params: NearParams) -> DataFrame:
-    """Deals buckets to chunks of about ``chunk_rows``; one beyond that goes to several."""
+    """Deals whole buckets to chunks of about ``chunk_rows``."""
     chunks = max(1, -(-buckets.count() // params.chunk_rows))
-    blocks = F.greatest(F.lit(1), F.floor(F.col("members") / params.chunk_rows))
-    place = F.xxhash64("bucket", F.pmod(F.xxhash64("node"), blocks))
-    return buckets.withColumn("chunk", F.pmod(place, F.lit(chunks)).cast("int"))
+    return buckets.withColumn("chunk", F.pmod(F.xxhash64("bucket"), F.lit(chunks)).cast("int"))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, params: NearParams) -> DataFrame:
@@ -418,31 +477,41 @@ def components(docs: DataFrame, params: NearParams | None = None) -> DataFrame:
         ),
         "near-classes",
     )
-    buckets = _buckets(classes, params)
+    buckets, large = _buckets(classes, params)
+    walked = buckets if large is None else buckets.unionByName(_forest_blocks(large, params))
     signed = classes.select("node", "signature")
     forest = (
-        _chunked(buckets, params)
+        _chunked(walked, params)
         .join(signed, "node")
         .groupBy("chunk")
         .applyInPandas(_forest(params), "a long, b long")
     )
     first = saved(forest.distinct(), "near-forest")
-    # A class with any likely partner has a link in a forest, so these texts serve twice.
+    # A class with any likely partner in its bucket or block has a link in a forest, so these
+    # texts serve twice.
     named = first.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = saved(_texts(docs, classes, named, params), "near-texts")
     links = saved(confirmed(first, texts, params), "near-links")
     groups = saved(connect(links), "near-groups")
-    likely = signed.join(named, "node", "left_semi").join(groups, "node", "left").withColumn(
-        "group", F.coalesce("group", "node")
-    )
-    shape = "bucket long, path array<int>, members long, node long, group long, signature binary"
-    needed = saved(
+    grouped = signed.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
+    likely = grouped.join(named, "node", "left_semi")
+    shape = "bucket long, path array<int>, side int, node long, group long, signature binary"
+    needed = (
         _chunked(buckets, params)
         .join(likely, "node")
+        .withColumn("side", F.lit(0))
         .groupBy("chunk")
-        .applyInPandas(_members(params), shape),
-        "near-needed",
+        .applyInPandas(_members(params), shape)
     )
+    if large is not None:
+        # A likely partner may be in another block, so all members of a large bucket take part.
+        pairs = saved(_block_pairs(large.join(grouped, "node"), params), "near-blocks")
+        across = _chunked(pairs, params).groupBy("chunk").applyInPandas(_members(params), shape)
+        needed = saved(needed.unionByName(across), "near-needed")
+        more = needed.select("node").distinct().join(named, "node", "left_anti")
+        texts = texts.unionByName(saved(_texts(docs, classes, more, params), "near-texts"))
+    else:
+        needed = saved(needed, "near-needed")
     late = saved(
         _chunked(needed, params)
         .join(texts, "node")
@@ -457,9 +526,9 @@ def components(docs: DataFrame, params: NearParams | None = None) -> DataFrame:
         )
         groups = saved(connect(stars.unionByName(late)), "near-groups")
     # Few classes are in a component; the others stand for themselves.
-    grouped = classes.select("node", "least").join(groups, "node")
-    roots = grouped.groupBy("group").agg(F.min("least").alias("root"))
-    named = grouped.join(roots, "group").select("node", "root")
+    members = classes.select("node", "least").join(groups, "node")
+    roots = members.groupBy("group").agg(F.min("least").alias("root"))
+    named = members.join(roots, "group").select("node", "root")
     owner = classes.select("node", "least").join(named, "node", "left").select(
         "node", F.coalesce("root", "least").alias("component_id")
     )
