@@ -20,7 +20,7 @@ from tripflow.llm import (
     sharding,
     training_order,
 )
-from tripflow.llm.queries import importable, tokenizer_path
+from tripflow.llm.queries import importable, queries, tokenizer_path
 
 ROWS = cases.rows()
 
@@ -270,6 +270,27 @@ def test_training_order_round_trip(spark, docs, empty, tmp_path):
     assert training_order.materialise(empty).count() == 0
 
 
+def test_training_order_of_vocabulary_ids(spark, docs, tmp_path):
+    path = tokenizer_path()
+    reference = Tokenizer.from_file(path)
+    params = training_order.OrderParams(length=64, stride=16)
+    records = training_order.materialise(docs, path, str(tmp_path / "v"), params).collect()
+    assert sorted(r.slot for r in records) == list(range(len(records)))
+    assert all(len(r.ids) == 4 * 64 for r in records)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    registered = queries()["op9_training_order"](spark, str(tmp_path)).collect()
+    tokens = {r[0]: reference.encode(r[1] or "", add_special_tokens=False).ids for r in ROWS}
+    made, counts = defaultdict(list), Counter()
+    for row in sorted(records, key=lambda r: r.number):
+        made[row.doc_id] += np.frombuffer(row.ids, "<u4")[: row.n_tokens].tolist()
+    for row in registered:
+        counts[row.doc_id] += row.n_tokens
+    for doc_id, own in tokens.items():
+        if doc_id not in (None, 15):
+            assert made[doc_id] == own * (len(made[doc_id]) // max(1, len(own)))
+            assert counts[doc_id] == len(made[doc_id]) == len(own) * ALL_IDS[doc_id]
+
+
 @pytest.mark.parametrize("width", [4, 5])
 def test_near_copies_by_brute_force(docs, empty, width):
     params = near_dedup.NearParams(width=width)

@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -150,38 +151,30 @@ def materialise(
     target = folder or run_folder(spark, "order-shards")
     rows, total = numbered(sequences(docs, path, params))
 
-    def place(batch: pd.DataFrame) -> pd.DataFrame:
-        at = slots(batch["sequence"].to_numpy(np.int64), total, params)
-        return pd.DataFrame(
-            {
-                "slot": at,
-                "shard": at // params.stride,
-                "doc_id": batch["doc_id"].array,
-                "number": batch["number"].array,
-                "n_tokens": batch["n_tokens"].array,
-                "ids": batch["ids"].array,
-            }
-        )
+    # Arrow batches: the ids pass through without becoming Python objects.
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = slots(batch.column("sequence").to_numpy(), total, params)
+            own = [batch.column(name) for name in _names()[2:]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at), pa.array(at // params.stride), *own], _names()
+            )
 
-    placed = map_batches(rows.drop("part", "inside"), place, RECORD)
+    placed = rows.drop("part", "inside").mapInArrow(place, RECORD)
     missing = missing_shards(spark, target, total, params) if folder else None
     if missing is not None:
         placed = placed.join(F.broadcast(missing), "shard", "left_semi").select(*_names())
     shards = max(1, -(-total // params.stride))
 
-    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        stop = np.array([params.pad], dtype=_id_type(path)).tobytes()
-        for batch in batches:
-            short = (params.length - batch["n_tokens"]).to_list()
-            yield batch.assign(
-                ids=[i + stop * gap for i, gap in zip(batch["ids"], short, strict=True)]
-            )
-
+    kind = _id_type(path)
+    stop = F.lit(np.array([params.pad], dtype=kind).tobytes())
+    # Filled up where the rows are written, one at a time: a batch of full sequences is large.
+    filled = F.rpad("ids", F.lit(params.length * kind.itemsize), stop)
     # Equal strides, so dealing by shard is already even; one range of slots is one shard.
     dealt = placed.repartitionById(shards, F.col("shard").cast("int"))
     (
-        dealt.sortWithinPartitions("slot")
-        .mapInPandas(fill, RECORD)
+        dealt.sortWithinPartitions("shard", "slot")
+        .withColumn("ids", filled)
         .write.mode("append")
         .option("compression", "zstd")
         .partitionBy("shard")
