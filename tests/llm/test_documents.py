@@ -3,6 +3,7 @@
 import hashlib
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -77,6 +78,19 @@ def test_mix_targets_share_what_capped_sources_leave(spark):
     assert all(abs(words - target) <= 10 for target, words in taken.items())
 
 
+def test_mix_meets_targets_with_long_documents_beside_a_large_source(spark):
+    small = [(i, "w " * 10, "b") for i in range(300)] + [(300, "w " * 1000, "b")]
+    large = [(1000 + i, "w " * 10, "a") for i in range(4200)] + [(999, "w " * 2000, "a")]
+    docs = spark.createDataFrame(small + large, "doc_id long, text string, source string")
+    for seed in (17, 18):
+        mix = mixing.Mix(weights=(12, 1), share=Fraction(1, 2), seed=seed)
+        taken = defaultdict(int)
+        for r in mixing.taken_words(docs, mix).collect():
+            taken[r.target] += r.taken
+        assert len(taken) == 2
+        assert all(abs(words - target) <= 10 for target, words in taken.items())
+
+
 def test_rounding_keeps_expectations():
     size = np.array([50.0, 40, 30, 20, 10, 5, 5, 2])
     chance = np.array([0.9, *[0.35] * 7])

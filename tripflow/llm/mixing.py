@@ -7,7 +7,9 @@ the other's until one of the two is a whole number. Expectations and the source'
 stay as they are, so a source ends within one document of its target.
 
 The meetings form a tree. Documents are dealt into leaves by a hash of their values, each leaf
-leaves at most one open document, and the open ones meet in the next level's nodes. Dealing and
+leaves at most one open document, and the open ones meet in the next level's nodes. Leaves also
+set documents of one chance aside, which go on to their source's last node: there, what the pairs
+leave open is rounded against them, so a long document does not miss the target. Dealing and
 drawing depend on nothing but the rows and the seed: reruns agree on any partitioning.
 
 Defined results: a null text has no words; documents without words take part with rate 0 copies
@@ -30,6 +32,8 @@ from tripflow.llm.common import id_or_none, saved, with_null_ids
 
 #: Rows of one source that meet in one leaf, and open documents that meet in one node.
 LEAF_ROWS = 4_096
+#: Documents of one source that are set aside for its last node, or one for each node.
+ASIDE_ROWS = 65_536
 UNIT = "doc_id long, source string, size long, identity long, times long"
 
 
@@ -189,11 +193,12 @@ def round_against_rest(
     return done
 
 
-def _node(level: int, seed: int, last: bool):
+def _node(level: int, seed: int):
     """Rounds one node's documents in pairs; the open one goes on.
 
-    In the last node every other document of the commonest chance is set aside, and what the
-    pairs leave open is rounded against those.
+    Of the documents of the commonest chance every other one is set aside, or fewer where a
+    source has many nodes. In the source's last node what the pairs leave open is rounded against
+    those; before, they go on as they are.
     """
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
@@ -206,10 +211,15 @@ def _node(level: int, seed: int, last: bool):
         weights = np.maximum(rows["size"].to_numpy(float), 1e-3)
         done = np.zeros(len(rows), dtype=np.int64)
         aside = np.zeros(len(rows), dtype=bool)
-        if last and len(rows):
-            values, counts = np.unique(chance, return_counts=True)
-            alike = np.flatnonzero(chance == values[counts.argmax()])
+        nodes = int(rows["nodes"].iloc[0])
+        last = nodes == 1
+        values, counts = np.unique(chance, return_counts=True)
+        alike = np.flatnonzero(chance == values[counts.argmax()])
+        if last:
             aside[alike[1::2]] = True
+        else:
+            step = max(2, -(-len(alike) // max(1, ASIDE_ROWS // nodes)))
+            aside[alike[::-step]] = True
         paired = np.flatnonzero(~aside)
         own = chance[paired]
         done[paired], held = round_pivotally(own, weights[paired], draw[paired])
@@ -220,8 +230,10 @@ def _node(level: int, seed: int, last: bool):
                 chance[paired[held]] = own[held]
                 rest = np.append(paired[held], rest)
             done[rest] = round_against_rest(chance[rest], weights[rest], draw[rest], again[rest])
-        elif held is not None:
-            rows.loc[paired[held], ["open", "chance"]] = [True, own[held]]
+        else:
+            rows["open"] = aside
+            if held is not None:
+                rows.loc[paired[held], ["open", "chance"]] = [True, own[held]]
         rows["copies"] = rows["copies"] + done
         return rows
 
@@ -262,7 +274,7 @@ def decide(units: DataFrame, mix: Mix) -> DataFrame:
         last = most <= LEAF_ROWS
         shape = f"{UNIT}, source_size long, target double, copies long, chance double, node long"
         shape += ", nodes long, open boolean"
-        work = _node(level, mix.seed, last)
+        work = _node(level, mix.seed)
         met = saved(rows.groupBy("source", "node").applyInPandas(work, shape), "mix-level")
         closed = met.filter("not open").drop("chance", "node", "nodes", "open")
         finished = closed if finished is None else finished.unionByName(closed)
