@@ -361,3 +361,20 @@ def test_near_copies_in_a_star_of_several_blocks(spark):
     assert len(crowd) > 5 * params.bucket_rows
     found = near_dedup.components(docs, params).collect()
     assert {r.component_id for r in found if r.doc_id in crowd} == {0}
+
+
+def test_near_copies_are_dropped_by_row(spark):
+    """Rows that share an id, or have none, are copies only if their texts are."""
+    first, second, third = (cases.prose(seed, 60) for seed in (21, 22, 23))
+    near = first.replace(first.split(" ")[30], "changed", 1)
+    rows = [
+        (3, first, "a"), (7, near, "b"), (7, second, "b"), (7, second, "b"), (7, "", "b"),
+        (None, near, "a"), (None, third, "a"), (None, third, "c"), (None, second, None),
+        (None, None, "x"), (None, "", "x"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    kept = [tuple(r) for r in near_dedup.drop_near_copies(docs, near_dedup.NearParams(width=4)).collect()]
+    one = [row for row in kept if row[1] == third]
+    assert len(one) == 1 and one[0][0] is None
+    want = [(3, first, "a"), (7, second, "b"), (7, "", "b"), (None, None, "x"), (None, "", "x")]
+    assert Counter(kept) == Counter([*want, *one])

@@ -19,8 +19,8 @@ numbers. A pair is looked at in one bucket only, that of its first shared bands.
 
 Defined results: a text without words has an empty set and is linked with nothing. Fewer words
 than a shingle has are one shingle. Repeated rows and equal texts are one class. Null ids are
-never the least id unless a component has no other; rows of such a component are kept. Extra columns play no
-part and ``drop_near_copies`` returns them as they came.
+never the least id unless a component has no other. Extra columns play no part in components.
+``drop_near_copies`` decides by row, whatever rows share an id, and returns rows as they came.
 """
 
 from __future__ import annotations
@@ -123,10 +123,18 @@ def _node_of(shingles: np.ndarray) -> int:
     return int.from_bytes(digest, "little", signed=True)
 
 
-def sketches(docs: DataFrame, params: NearParams) -> DataFrame:
-    """``doc_id, n_shingles, node, signature, bands`` per document.
+def row_identity(names: list[str]) -> Column:
+    """A hash of a row's columns; nulls count, in the column where they are."""
+    columns = [F.col(f"`{name}`") for name in names]
+    return F.xxhash64(*columns, *[column.isNull() for column in columns])
 
-    ``node`` names the set of shingles, ``signature`` has one byte per minimum, ``bands`` a hash
+
+def sketches(
+    docs: DataFrame, params: NearParams, names: tuple[str, ...] = ("doc_id", "text")
+) -> DataFrame:
+    """``doc_id, row, n_shingles, node, signature, bands`` per document.
+
+    ``row`` is the identity of the columns ``names``. ``node`` names the set of shingles, ``signature`` has one byte per minimum, ``bands`` a hash
     per band. Empty sets have none of the three.
     """
 
@@ -155,6 +163,7 @@ def sketches(docs: DataFrame, params: NearParams) -> DataFrame:
                 yield pd.DataFrame(
                     {
                         "doc_id": part["doc_id"].array,
+                        "row": part["row"].array,
                         "n_shingles": counts,
                         "node": pd.array(nodes, dtype="Int64"),
                         "signature": signs,
@@ -162,8 +171,10 @@ def sketches(docs: DataFrame, params: NearParams) -> DataFrame:
                     }
                 )
 
-    schema = "doc_id long, n_shingles long, node long, signature binary, bands array<long>"
-    return with_null_ids(docs.select(id_or_none(), "text").mapInPandas(run, schema))
+    schema = "doc_id long, row long, n_shingles long, node long, signature binary"
+    schema += ", bands array<long>"
+    rows = docs.select(id_or_none(), row_identity(list(names)).alias("row"), "text")
+    return with_null_ids(rows.mapInPandas(run, schema))
 
 
 def _buckets(classes: DataFrame, params: NearParams) -> tuple[DataFrame, DataFrame | None]:
@@ -404,16 +415,22 @@ def confirmed(pairs: DataFrame, texts: DataFrame, params: NearParams) -> DataFra
     return pairs.join(left, "a").join(right, "b").mapInPandas(run, "a long, b long")
 
 
-def _texts(docs: DataFrame, classes: DataFrame, nodes: DataFrame, params: NearParams) -> DataFrame:
-    """``node, text`` of some classes, from the document with the class's least id."""
-    wanted = classes.select("node", "least").join(nodes, "node", "left_semi")
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    met = own.join(wanted, own["doc_id"].eqNullSafe(wanted["least"])).select("node", "text")
+def _texts(
+    docs: DataFrame,
+    classes: DataFrame,
+    nodes: DataFrame,
+    params: NearParams,
+    names: tuple[str, ...],
+) -> DataFrame:
+    """``node, text`` of some classes, each from one row, whatever rows share its id."""
+    wanted = classes.select("node", F.col("best.row").alias("row")).join(nodes, "node", "left_semi")
+    own = docs.select(row_identity(list(names)).alias("row"), "text")
+    met = own.join(wanted, "row").select("node", "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingles(params.width)
         for batch in batches:
-            # Another text may have the same id.
+            # Another row may have the same hash.
             same = [
                 _node_of(shingler.of(text)) == node
                 for node, text in zip(batch["node"], texts_of(batch["text"]), strict=True)
@@ -463,15 +480,17 @@ def connect(links: DataFrame) -> DataFrame:
         edges = small
 
 
-def components(docs: DataFrame, params: NearParams | None = None) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every document."""
-    params = params or NearParams()
-    found = saved(sketches(docs, params), "near-sketches")
+def _connected(
+    docs: DataFrame, params: NearParams, names: tuple[str, ...]
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sketches of all rows; classes, with their ``best`` row; ``node, group`` of linked ones."""
+    found = saved(sketches(docs, params, names), "near-sketches")
     classes = saved(
         found.filter("node is not null")
         .groupBy("node")
         .agg(
             F.min("doc_id").alias("least"),
+            F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "row")).alias("best"),
             F.min("signature").alias("signature"),
             F.min("bands").alias("bands"),
         ),
@@ -490,7 +509,7 @@ def components(docs: DataFrame, params: NearParams | None = None) -> DataFrame:
     # A class with any likely partner in its bucket or block has a link in a forest, so these
     # texts serve twice.
     named = first.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = saved(_texts(docs, classes, named, params), "near-texts")
+    texts = saved(_texts(docs, classes, named, params, names), "near-texts")
     links = saved(confirmed(first, texts, params), "near-links")
     groups = saved(connect(links), "near-groups")
     grouped = signed.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
@@ -509,7 +528,7 @@ def components(docs: DataFrame, params: NearParams | None = None) -> DataFrame:
         across = _chunked(pairs, params).groupBy("chunk").applyInPandas(_members(params), shape)
         needed = saved(needed.unionByName(across), "near-needed")
         more = needed.select("node").distinct().join(named, "node", "left_anti")
-        texts = texts.unionByName(saved(_texts(docs, classes, more, params), "near-texts"))
+        texts = texts.unionByName(saved(_texts(docs, classes, more, params, names), "near-texts"))
     else:
         needed = saved(needed, "near-needed")
     late = saved(
@@ -525,6 +544,12 @@ def components(docs: DataFrame, params: NearParams | None = None) -> DataFrame:
             F.col("node").alias("a"), F.col("group").alias("b")
         )
         groups = saved(connect(stars.unionByName(late)), "near-groups")
+    return found, classes, groups
+
+
+def components(docs: DataFrame, params: NearParams | None = None) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every document."""
+    found, classes, groups = _connected(docs, params or NearParams(), ("doc_id", "text"))
     # Few classes are in a component; the others stand for themselves.
     members = classes.select("node", "least").join(groups, "node")
     roots = members.groupBy("group").agg(F.min("least").alias("root"))
@@ -548,28 +573,22 @@ def components(docs: DataFrame, params: NearParams | None = None) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, params: NearParams | None = None) -> DataFrame:
-    """One document of each component, in all its columns.
+    """One row of each component, in all its columns: that of the least id, null ids last.
 
-    Of several rows with a kept id, the one with the lowest hash stays. Rows without an id stay,
-    as no decision can name them.
+    Of several such rows the one with the lowest hash stays. A row without words stays; of equal
+    ones, one does.
     """
-    found = components(docs, params)
-    kept = (
-        found.filter("doc_id is not null")
-        .groupBy(F.col("doc_id").alias("_id"))
-        .agg(F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_rows"))
-        .filter("_kept")
-    )
-    row_hash = F.xxhash64(*[F.col(f"`{name}`") for name in docs.columns])
-    rows = docs.select(
-        F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_own"),
-        row_hash.alias("_hash"),
-    )
-    met = rows.join(kept, F.col("_own") == F.col("_id"))
-    several = met.filter("_rows > 1").groupBy("_id").agg(F.min_by("_row", "_hash").alias("_row"))
-    return (
-        met.filter("_rows = 1")
-        .select("_row.*")
-        .unionByName(several.select("_row.*"))
-        .unionByName(docs.filter("doc_id is null"))
+    found, classes, groups = _connected(docs, params or NearParams(), tuple(docs.columns))
+    best = (
+        classes.join(groups, "node", "left")
+        .groupBy(F.coalesce("group", "node").alias("group"))
+        .agg(F.min("best").alias("best"))
+        .select("best.row")
     )
+    wordless = found.filter("node is null").select("row")
+    counts = found.groupBy("row").agg(F.count(F.lit(1)).alias("_rows"))
+    kept = best.unionByName(wordless).distinct().join(counts, "row")
+    rows = docs.select(F.struct("*").alias("_row"), row_identity(docs.columns).alias("row"))
+    met = rows.join(kept, "row")
+    several = met.filter("_rows > 1").groupBy("row").agg(F.first("_row").alias("_row"))
+    return met.filter("_rows = 1").select("_row.*").unionByName(several.select("_row.*"))
