@@ -129,9 +129,68 @@ def near_copies() -> str:
     """
 
 
+def lexical_search() -> str:
+    term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    return rf"""
+    with texts as (
+      select row_number() over () as d, doc_id,
+        regexp_extract_all(translate(text, '{CAPITALS}', '{SMALL}'), '{term}') as w
+      from documents where text is not null),
+    worded as (select d, doc_id, w, len(w)::bigint as n from texts where len(w) > 0),
+    corpus as (select count(*)::bigint as n_docs, sum(n)::bigint as total from worded),
+    each as (select d, unnest(w) as t from worded),
+    postings as (select d, t, count(*)::bigint as tf from each group by all),
+    weights as (
+      select t, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)))::bigint as w
+      from postings, corpus group by t, n_docs),
+    asked as (
+      select row_number() over () as q, item_id,
+        regexp_extract_all(translate(text, '{CAPITALS}', '{SMALL}'), '{term}') as terms
+      from benchmark),
+    query_terms as (select q, item_id, unnest(terms) as t from asked),
+    scores as (
+      select q, item_id, d, doc_id, sum(weights.w *
+        ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // total)))
+        )::bigint as score
+      from query_terms join postings using (t) join weights using (t) join worded using (d), corpus
+      group by all),
+    ranked as (
+      select *, row_number() over (partition by q order by score desc, doc_id nulls last) as rank
+      from scores where score > 0)
+    select item_id, rank::int as rank, doc_id, score from ranked where rank <= 10
+    """
+
+
+def vector_copies() -> str:
+    return """
+    with recursive vectors as (
+      select vec_id, label, embedding::double[] as v,
+        sqrt(list_sum(list_transform(embedding::double[], lambda x: x * x))) as size
+      from embeddings
+      where label is not null and embedding is not null and len(embedding) > 0
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    links as (
+      select a.vec_id as a, b.vec_id as b from vectors a join vectors b
+        on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+      where a.size > 0 and b.size > 0
+        and list_inner_product(a.v, b.v) / (a.size * b.size) >= 0.98),
+    reach(vec_id, other) as (
+      select a, b from links
+      union select reach.vec_id, links.b from reach join links on reach.other = links.a),
+    roots as (select vec_id, min(other) as least from reach group by vec_id),
+    counts as (select a as vec_id, count(*) as n from links group by a)
+    select vec_id, coalesce(n, 0)::bigint as n_links,
+      least(vec_id, coalesce(least, vec_id)) as component_id,
+      vec_id = least(vec_id, coalesce(least, vec_id)) as kept
+    from embeddings left join counts using (vec_id) left join roots using (vec_id)
+    """
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_url_filters": url_filters(),
         "op4_line_quality": line_quality(),
         "op10_near_copies": near_copies(),
+        "op11_lexical_search": lexical_search(),
+        "op12_vector_copies": vector_copies(),
     }

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm import (
+    alignment,
     bpe,
     fingerprints,
+    lexical_search,
     licenses,
     line_quality,
     mixing,
@@ -20,17 +22,19 @@ from tripflow.llm import (
     sharding,
     training_order,
     url_filters,
+    vector_dedup,
 )
 
 DIGEST_WIDTH = 4
 TOKENIZER = "word_bpe_49k.json"
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
-def tokenizer_path() -> str:
-    """The vocabulary file, which every worker has in the same place."""
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """A vocabulary file, which every worker has in the same place."""
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def importable(spark: SparkSession) -> None:
@@ -97,6 +101,20 @@ def op10_near_copies(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.components(_table(spark, folder, "documents"), params)
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = (_table(spark, folder, name) for name in ("documents", "benchmark"))
+    return lexical_search.search(docs, items)
+
+
+def op12_vector_copies(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_dedup.linked_vectors(_table(spark, folder, "embeddings"))
+
+
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return alignment.align_documents(docs, *map(tokenizer_path, ALIGNED))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_mix_sources,
@@ -109,5 +127,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality,
         op9_training_order,
         op10_near_copies,
+        op11_lexical_search,
+        op12_vector_copies,
+        op13_token_alignment,
     )
     return {query.__name__: query for query in found}
