@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from tests.llm import cases
 from tripflow.llm import alignment as al
-from tripflow.llm.csr import Csr, from_rows, product, transposed
+from tripflow.llm.csr import Csr, from_rows, product, product_sizes, transposed
 from tripflow.llm.queries import ALIGNED, importable, tokenizer_path
 
 PATHS = [tokenizer_path(name) for name in ALIGNED]
@@ -95,7 +95,7 @@ def test_alignment_by_whole_texts(spark):
     schema = "doc_id long, text string, counts string, block long, a int"
     table = spark.createDataFrame(wide, schema).repartition(3)
     want = Plain().rows(rows)
-    for params in (al.AlignParams(), al.AlignParams(block_docs=4, remembered=5, batch_chars=40)):
+    for params in (al.AlignParams(), al.AlignParams(block_docs=4, batch_chars=40, stretch_chars=5)):
         found = al.align_documents(table, *PATHS, params).collect()
         assert Counter(map(tuple, found)) == want
     assert al.align_documents(table.limit(0), *PATHS).count() == 0
@@ -119,13 +119,15 @@ ODD = st.text(
 @settings(max_examples=300, deadline=None)
 @given(ODD)
 def test_pieces_have_the_tokens_of_their_text(text):
-    plain = _plain()
-    pieces = al.split_pieces(text)
-    assert "".join(pieces) == " " + text
+    plain, fast = _plain()
+    pieces = [" " + part for part in al.stretches(text, 2)]
+    assert "".join(pieces) == (" " + text if text else "")
+    if not text:
+        return
     whole = plain.a.encode(" " + text, add_special_tokens=False).ids
     assert [i for p in pieces for i in plain.a.encode(p, add_special_tokens=False).ids] == whole
-    if text:
-        assert [i for p in pieces for i in plain.b.encode(p[1:])] == plain.b.encode(text)
+    assert fast(" " + text) == whole
+    assert [i for p in pieces for i in plain.b.encode(p[1:])] == plain.b.encode(text)
 
 
 _KEPT = []
@@ -133,8 +135,8 @@ _KEPT = []
 
 def _plain():
     if not _KEPT:
-        _KEPT.append(Plain())
-    return _KEPT[0]
+        _KEPT.extend([Plain(), al.byte_level_encoder(PATHS[0])])
+    return _KEPT
 
 
 @pytest.mark.parametrize("step", [1, 7, 10_000])
@@ -154,6 +156,7 @@ def test_products_are_matrix_products(step):
 
     found = product(sparse(left), sparse(right), step)
     assert (dense(found) == left @ right).all()
+    assert (product_sizes(sparse(left), sparse(right), step) == (left @ right != 0).sum(axis=1)).all()
     assert len(found.col) == (left @ right != 0).sum()
     assert (dense(transposed(sparse(left))) == left.T).all()
 
@@ -165,7 +168,16 @@ def test_links_of_overlapping_and_grouped_tokens():
     assert list(zip(links.rows.tolist(), links.col.tolist(), links.val.tolist(), strict=True)) == [
         (0, 0, 1), (0, 1, 1), (1, 1, 1), (2, 2, 2)
     ]
-    shared = al.group_links(np.array([0, 0, 1]), np.array([0, 0, 1]))
+    shared = al.group_links(np.array([0, 0, 1]), np.array([0, 0, 1]), 2)
     assert list(zip(shared.rows.tolist(), shared.col.tolist(), strict=True)) == [
         (0, 0), (0, 1), (1, 0), (1, 1), (2, 2)
     ]
+
+
+def test_both_engines_agree_on_every_code_point():
+    """Each code point beside letters, digits, spaces and itself."""
+    plain, fast = _plain()
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [f"x{c}1{c}  {c}{c}.{c} y" for c in points[:0x3200] + points[0x3200::40]]
+    for text, encoded in zip(texts, plain.a.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert fast(text) == encoded.ids

@@ -1,77 +1,71 @@
 """Alignment of two tokenizers over a corpus, by sparse products of incidence matrices.
 
-A text is cut into pieces, a space and what follows it, wherever a single space stands between
-two characters that are not white space. No token of either vocabulary spans such a place, so a
-piece has the same tokens by itself as inside its text, and every such place is a group boundary.
-Pieces are aligned once each. Over a batch of pieces, the tokens of A against bytes and the bytes
-against tokens of B are matrices in compressed rows; their product has an entry, the shared
-bytes, for every pair of tokens that overlap. Tokens of A against groups, times groups against
-tokens of B, gives the pairs that share a group.
-
-Documents then are rows of a matrix over the pieces of their block. Blocks are written once, and
-how many documents hold an id pair linked is summed over blocks. Every block gets the counts of
-just the pairs it holds, so nothing that grows with the corpus is sent to all tasks.
+Texts are encoded whole and laid end to end on one line of bytes. The tokens of A against bytes
+and the bytes against tokens of B are matrices in compressed rows; their product has an entry,
+the shared bytes, for every pair of tokens that overlap. Tokens of A against groups, times groups
+against tokens of B, gives the pairs that share a group.
+
+A very long text is taken in stretches, cut where a single space stands between two characters
+that are not white space: no token of either vocabulary spans such a place, so a stretch has the
+tokens it has in its text, and every such place is a group boundary.
+
+Documents are rows over the id pairs of their block. Blocks are written once, and how many
+documents hold an id pair linked is summed over blocks. Every block gets the counts of just the
+pairs it holds, so nothing that grows with the corpus is sent to all tasks.
 
 Defined results: texts that are null or empty, or whose bytes a vocabulary does not keep (one
 that replaces U+2581, say), have no tokens: zeros and an empty digest. Repeated rows are documents
-of their own. An empty table gives no rows. Very long texts are read whole; a long text without
-a single space is one piece. Other columns play no part.
+of their own. An empty table gives no rows. Very long texts are read whole; one without any
+single space is one stretch. Other columns play no part.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
-import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tripflow.llm.common import saved
-from tripflow.llm.csr import Csr, from_rows, pointers, product
+from tripflow.llm.csr import Csr, pointers, product, product_sizes
 
 RESULT = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_shared long, n_best long, "
     "count_sum long, groups_sha256 string"
 )
 BLOCK = (
-    "doc_ids array<long>, stats binary, digests array<string>, doc_ptr binary, doc_piece binary, "
-    "doc_times binary, piece_ptr binary, piece_pair binary, piece_times binary, "
-    "pairs array<struct<a:int,b:int,docs:long>>"
+    "doc_ids array<long>, stats binary, digests array<string>, doc_ptr binary, doc_pair binary, "
+    "doc_times binary, pairs array<struct<a:int,b:int,docs:long>>"
 )
 STATS = ("n_a", "n_b", "n_groups", "n_links", "n_shared")
 SPACE_MARK = "▁"
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
+# Fixed value: how byte-level vocabularies split text before merging.
+BYTE_LEVEL_PATTERN = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+
 
 @dataclass(frozen=True)
 class AlignParams:
-    """Bounds of a block, and of the pieces a worker remembers from one block to the next."""
+    """Bounds of a block, of the texts aligned at once, and of a long text's stretches."""
 
     block_docs: int = 2_048
     block_chars: int = 8_000_000
-    remembered: int = 150_000
-    remembered_chars: int = 64
-    batch_chars: int = 1_000_000
-
-
-@dataclass(frozen=True)
-class Piece:
-    """What a piece adds to its document. ``a``, ``b``, ``times``: id pairs and their links."""
-
-    stats: tuple[int, ...]
-    groups: str
-    a: np.ndarray
-    b: np.ndarray
-    times: np.ndarray
+    batch_chars: int = 400_000
+    stretch_chars: int = 1_000_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -81,143 +75,172 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(byte): byte for byte in plain} | {chr(256 + at): b for at, b in enumerate(other)}
 
 
-def split_pieces(text: str) -> list[str]:
-    """Pieces of a space and the text; joined they are exactly that."""
-    parts = text.split(" ")
-    if all(parts) and not any(part[0].isspace() or part[-1].isspace() for part in parts):
-        return [" " + part for part in parts]
-    pieces = [" " + parts[0]]
-    closed = bool(parts[0]) and not parts[0][-1].isspace()
-    for part in parts[1:]:
-        if closed and part and not part[0].isspace():
-            pieces.append(" " + part)
-        else:
-            pieces[-1] += " " + part
-        closed = bool(part) and not part[-1].isspace()
-    return pieces
+def stretches(text: str, chars: int) -> Iterator[str]:
+    """Parts of a text that, each after a space, have the tokens they have inside it."""
+    start = 0
+    while start < len(text):
+        stop = text.find(" ", start + chars)
+        while 0 <= stop and (
+            stop + 1 == len(text) or text[stop - 1].isspace() or text[stop + 1].isspace()
+        ):
+            stop = text.find(" ", stop + 1)
+        if stop < 0:
+            yield text[start:]
+            return
+        yield text[start:stop]
+        start = stop + 1
+
+
+def byte_level_encoder(path: str):
+    """``text -> ids`` of a byte-level vocabulary file.
+
+    Where the file's merges are in the order of their ids, ranks alone say the same, and a
+    faster library takes them; else the file's own.
+    """
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    alphabet = byte_alphabet()
+    model, before = spec["model"], spec["pre_tokenizer"]
+    vocabulary = {token: i for token, i in model["vocab"].items() if set(token) <= set(alphabet)}
+    pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in model["merges"]]
+    made = [model["vocab"].get("".join(pair), -1) for pair in pairs]
+    if (
+        spec["normalizer"] is None
+        and before == before | {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        and len(vocabulary) == len(made) + 256
+        and all(a < b for a, b in zip([255, *made], made, strict=False))
+    ):
+        ranks = {bytes(alphabet[c] for c in token): i for token, i in vocabulary.items()}
+        own = tiktoken.Encoding(
+            path, pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
+        return own.encode_ordinary
+    whole = Tokenizer.from_file(path)
+    whole.encode_special_tokens = True
+    whole.no_truncation()
+    whole.no_padding()
+    return lambda text: whole.encode(text, add_special_tokens=False).ids
+
+
+class _Bytes:
+    """The bytes of every token, end to end."""
+
+    def __init__(self, tokens: list[bytes]) -> None:
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+        self.sizes = np.array([len(token) for token in tokens], dtype=np.int64)
+        self.starts = pointers(self.sizes)[:-1]
+
+    def line(self, ids: np.ndarray) -> np.ndarray:
+        sizes = self.sizes[ids]
+        first = self.starts[ids] - (np.cumsum(sizes) - sizes)
+        return self.flat[np.repeat(first, sizes) + np.arange(sizes.sum())]
 
 
 class Aligner:
-    """Two vocabularies, and a bounded memory of aligned pieces."""
-
-    def __init__(self, byte_path: str, piece_path: str, params: AlignParams) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
-        self.params = params
-        self.first = Tokenizer.from_file(byte_path)
-        self.first.encode_special_tokens = True
-        self.first.no_truncation()
-        self.first.no_padding()
+    """Two vocabularies."""
+
+    def __init__(self, byte_path: str, piece_path: str) -> None:
+        self.encode_first = byte_level_encoder(byte_path)
         self.second = sentencepiece.SentencePieceProcessor(model_file=piece_path)
+        tokenizer = Tokenizer.from_file(byte_path)
+        size = tokenizer.get_vocab_size(with_added_tokens=True)
+        names = [tokenizer.id_to_token(i) or "" for i in range(size)]
         alphabet = byte_alphabet()
-        with open(byte_path, encoding="utf-8") as file:
-            added = {token["id"]: token["content"] for token in json.load(file)["added_tokens"]}
-        size = self.first.get_vocab_size(with_added_tokens=True)
-        names = [self.first.id_to_token(i) or "" for i in range(size)]
-        self.first_bytes = [
-            name.encode() if i in added else bytes(alphabet.get(c, 63) for c in name)
-            for i, name in enumerate(names)
-        ]
-        self.second_bytes = [
-            self._piece_bytes(self.second.id_to_piece(i))
-            for i in range(self.second.vocab_size())
-        ]
-        self.memory: dict[str, Piece | None] = {}
+        self.a_bytes = _Bytes([bytes(alphabet.get(c, 63) for c in name) for name in names])
+        pieces = [self.second.id_to_piece(i) for i in range(self.second.vocab_size())]
+        self.b_bytes = _Bytes([self._piece_bytes(piece) for piece in pieces])
+        self.n_a, self.n_b = size, len(pieces)
+        # A token's text in a digest: inside its side of a group, and at that side's end.
+        self.marks = [f"{i}{end}" for i in range(self.n_a) for end in ",|"]
+        self.marks += [f"{i}{end}" for i in range(self.n_b) for end in ",;"]
 
     @staticmethod
     def _piece_bytes(name: str) -> bytes:
         byte = _BYTE_PIECE.fullmatch(name)
         return bytes([int(byte[1], 16)]) if byte else name.replace(SPACE_MARK, " ").encode()
 
-    def align(self, pieces: list[str]) -> dict[str, Piece | None]:
-        """Pieces aligned; None for those whose bytes are not kept."""
-        known = self.memory
-        found = {piece: known[piece] for piece in pieces if piece in known}
-        fresh = [piece for piece in dict.fromkeys(pieces) if piece not in known]
-        start = 0
-        while start < len(fresh):
-            stop, chars = start, 0
-            while stop < len(fresh) and (stop == start or chars < self.params.batch_chars):
-                chars += len(fresh[stop])
-                stop += 1
-            found.update(self._align_fresh(fresh[start:stop]))
-            start = stop
-        if len(known) > self.params.remembered:
-            known.clear()
-        short = self.params.remembered_chars
-        known.update((piece, found[piece]) for piece in fresh if len(piece) <= short)
-        return found
-
-    def _align_fresh(self, pieces: list[str]) -> dict[str, Piece | None]:
-        encoded = self.first.encode_batch(pieces, add_special_tokens=False)
-        first = [each.ids for each in encoded]
-        second = self.second.encode([piece[1:] for piece in pieces], num_threads=1)
-        found: dict[str, Piece | None] = {}
-        kept: list[tuple[str, list[int], list[int]]] = []
-        for piece, a, b in zip(pieces, first, second, strict=True):
-            raw = piece.encode()
-            same = b"".join([self.first_bytes[i] for i in a]) == raw
-            if same and b"".join([self.second_bytes[i] for i in b]) == raw:
-                kept.append((piece, a, b))
-            else:
-                found[piece] = None
-        if kept:
-            found.update(zip([piece for piece, _, _ in kept], self._products(kept), strict=True))
-        return found
-
-    def _products(self, kept: list[tuple[str, list[int], list[int]]]) -> Iterator[Piece]:
-        """The pieces, end to end on one line of bytes, aligned by two products."""
-        a_ids = np.array([i for _, a, _ in kept for i in a], dtype=np.int64)
-        b_ids = np.array([i for _, _, b in kept for i in b], dtype=np.int64)
-        a_ends = np.cumsum([len(self.first_bytes[i]) for i in a_ids.tolist()])
-        b_sizes = np.array([len(self.second_bytes[i]) for i in b_ids.tolist()], dtype=np.int64)
-        b_ends = np.cumsum(b_sizes)
-        a_starts = pointers(np.array([len(a) for _, a, _ in kept]))
-        b_starts = pointers(np.array([len(b) for _, _, b in kept]))
-        total = int(a_ends[-1])
-        links = overlap_links(a_ends, b_ends)
-        ends = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        shared = group_links(np.searchsorted(ends, a_ends), np.searchsorted(ends, b_ends))
-        own_ends = a_ends[a_starts[1:] - 1]
-        groups = np.diff(np.searchsorted(ends, own_ends, "right"), prepend=0)
-        n_links = np.diff(links.ptr[a_starts])
-        n_shared = np.diff(shared.ptr[a_starts])
-        assert total == b_ends[-1]
-
-        owner = np.repeat(np.arange(len(kept)), n_links)
-        a, b = a_ids[links.rows], b_ids[links.col]
-        order = np.lexsort((b, a, owner))
-        owner, a, b = owner[order], a[order], b[order]
-        new = np.append(True, (np.diff(owner) != 0) | (np.diff(a) != 0) | (np.diff(b) != 0))
-        heads = np.flatnonzero(new)
-        times = np.diff(np.append(heads, len(owner)))
-        bounds = np.searchsorted(owner[heads], np.arange(len(kept) + 1))
-        a, b = a[heads].astype(np.int32), b[heads].astype(np.int32)
-        texts = self._groups(kept, ends, a_ends, b_ends, a_starts, b_starts)
-        for at, ((_, own_a, own_b), text) in enumerate(zip(kept, texts, strict=True)):
-            here = slice(bounds[at], bounds[at + 1])
-            stats = (len(own_a), len(own_b), int(groups[at]), int(n_links[at]), int(n_shared[at]))
-            # Copies: a slice would keep the whole batch in memory.
-            yield Piece(stats, text, a[here].copy(), b[here].copy(), times[here].copy())
-
-    @staticmethod
-    def _groups(kept, ends, a_ends, b_ends, a_starts, b_starts) -> Iterator[str]:
-        """``a1,a2|b1;a3|b2`` of each piece."""
-        a_close = np.isin(a_ends, ends, assume_unique=True).tolist()
-        b_close = np.isin(b_ends, ends, assume_unique=True).tolist()
-
-        def sides(ids: list[int], close: list[bool]) -> list[str]:
-            out, now = [], []
-            for i, last in zip(ids, close, strict=True):
-                now.append(str(i))
-                if last:
-                    out.append(",".join(now))
-                    now = []
-            return out
-
-        for at, (_, a, b) in enumerate(kept):
-            left = sides(a, a_close[a_starts[at] : a_starts[at + 1]])
-            right = sides(b, b_close[b_starts[at] : b_starts[at + 1]])
-            yield ";".join([f"{x}|{y}" for x, y in zip(left, right, strict=True)])
+    def encode(self, texts: list[str]) -> Encoded:
+        """Tokens of ``texts``, a space before each. Texts whose bytes are not kept have none."""
+        raw = [(" " + text).encode() for text in texts]
+        a = [self.encode_first(" " + text) for text in texts]
+        b = self.second.encode(texts, num_threads=1)
+        sizes = np.array([len(data) for data in raw], dtype=np.int64)
+        kept = np.ones(len(texts), dtype=bool)
+        for lists, table in ((a, self.a_bytes), (b, self.b_bytes)):
+            counts = np.array([len(ids) for ids in lists], dtype=np.int64)
+            flat = np.fromiter(chain.from_iterable(lists), np.int64, counts.sum())
+            total = np.concatenate(([0], np.cumsum(table.sizes[flat])))
+            ends = np.cumsum(counts)
+            kept &= total[ends] - total[ends - counts] == sizes
+        if kept.any():
+            own = np.flatnonzero(kept)
+            line = np.frombuffer(b"".join([raw[i] for i in own]), np.uint8)
+            starts = pointers(sizes[own])[:-1]
+            for lists, table in ((a, self.a_bytes), (b, self.b_bytes)):
+                flat = np.array([i for at in own for i in lists[at]], dtype=np.int64)
+                wrong = np.add.reduceat((table.line(flat) != line).astype(np.int64), starts)
+                kept[own[wrong > 0]] = False
+        none: list[int] = []
+        a = [ids if keep else none for ids, keep in zip(a, kept, strict=True)]
+        b = [ids if keep else none for ids, keep in zip(b, kept, strict=True)]
+        return Encoded(self, a, b, kept)
+
+
+class Encoded:
+    """Some texts' tokens on one line of bytes, and what the products make of them."""
+
+    def __init__(self, own: Aligner, a: list[list[int]], b: list[list[int]], kept: np.ndarray):
+        self.own, self.kept = own, kept
+        self.a_of_text = pointers(np.array([len(ids) for ids in a], dtype=np.int64))
+        self.b_of_text = pointers(np.array([len(ids) for ids in b], dtype=np.int64))
+        self.a = np.fromiter(chain.from_iterable(a), np.int64, self.a_of_text[-1])
+        self.b = np.fromiter(chain.from_iterable(b), np.int64, self.b_of_text[-1])
+        self.a_ends = np.cumsum(own.a_bytes.sizes[self.a])
+        self.b_ends = np.cumsum(own.b_bytes.sizes[self.b])
+        total = int(self.a_ends[-1]) if len(self.a) else 0
+        both = np.zeros(total + 1, dtype=bool)
+        both[self.a_ends] = True
+        other = np.zeros(total + 1, dtype=bool)
+        other[self.b_ends] = True
+        both &= other
+        closed = np.cumsum(both)
+        self.groups = int(closed[-1])
+        self.a_closes, self.b_closes = both[self.a_ends], both[self.b_ends]
+        self.a_group = closed[self.a_ends] - self.a_closes
+        self.b_group = closed[self.b_ends] - self.b_closes
+
+    def stats(self, links: Csr) -> np.ndarray:
+        """``STATS`` per text."""
+        shared = pointers(shared_group_counts(self.a_group, self.b_group, self.groups))
+        groups = pointers(self.a_closes.astype(np.int64))
+        columns = (self.a_of_text, self.b_of_text, groups[self.a_of_text],
+                   links.ptr[self.a_of_text], shared[self.a_of_text])
+        return np.stack([np.diff(column) for column in columns], axis=1)
+
+    def pairs(self, links: Csr) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, ``a * n_b + b``, links) of every id pair that a text holds linked."""
+        text = np.repeat(np.arange(len(self.kept)), np.diff(links.ptr[self.a_of_text]))
+        code = self.a[links.rows] * self.own.n_b + self.b[links.col]
+        every = self.own.n_a * self.own.n_b
+        key = np.sort(text * every + code)
+        heads = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+        times = np.diff(np.append(heads, len(key)))
+        return key[heads] // every, key[heads] % every, times
+
+    def group_texts(self) -> Iterator[str]:
+        """``a1,a2|b1;a3|b2`` per text."""
+        groups = np.arange(self.groups + 1)
+        a_first = np.searchsorted(self.a_group, groups)
+        b_first = np.searchsorted(self.b_group, groups)
+        marks = np.zeros(len(self.a) + len(self.b), dtype=np.int64)
+        marks[np.arange(len(self.a)) + b_first[self.a_group]] = 2 * self.a + self.a_closes
+        marks[np.arange(len(self.b)) + a_first[self.b_group + 1]] = (
+            2 * (self.own.n_a + self.b) + self.b_closes
+        )
+        ends = (self.a_of_text + self.b_of_text).tolist()
+        listed = marks.tolist()
+        for start, stop in zip(ends, ends[1:], strict=False):
+            yield "".join([self.own.marks[i] for i in listed[start:stop]])[:-1]
 
 
 def overlap_links(a_ends: np.ndarray, b_ends: np.ndarray) -> Csr:
@@ -228,99 +251,126 @@ def overlap_links(a_ends: np.ndarray, b_ends: np.ndarray) -> Csr:
     total = int(a_ends[-1]) if len(a_ends) else 0
     ones = np.ones(total, dtype=np.int64)
     a = Csr(np.concatenate(([0], a_ends)), np.arange(total), ones, total)
-    sizes = np.diff(b_ends, prepend=0)
-    of_byte = np.repeat(np.arange(len(b_ends)), sizes)
-    b_transposed = Csr(np.arange(total + 1), of_byte, ones, len(b_ends))
-    return product(a, b_transposed)
+    of_byte = np.repeat(np.arange(len(b_ends)), np.diff(b_ends, prepend=0))
+    return product(a, Csr(np.arange(total + 1), of_byte, ones, len(b_ends)))
 
 
-def group_links(a_groups: np.ndarray, b_groups: np.ndarray) -> Csr:
-    """Tokens of A by tokens of B that are in the same group, each given by its group."""
-    count = int(a_groups[-1]) + 1 if len(a_groups) else 0
-    a = Csr(np.arange(len(a_groups) + 1), a_groups, np.ones(len(a_groups), dtype=np.int64), count)
+def _group_matrices(a_groups: np.ndarray, b_groups: np.ndarray, count: int) -> tuple[Csr, Csr]:
+    ones_a, ones_b = (np.ones(len(groups), dtype=np.int64) for groups in (a_groups, b_groups))
+    a = Csr(np.arange(len(a_groups) + 1), a_groups, ones_a, count)
     sizes = np.bincount(b_groups, minlength=count)
-    ones = np.ones(len(b_groups), dtype=np.int64)
-    b_transposed = Csr(pointers(sizes), np.arange(len(b_groups)), ones, len(b_groups))
-    return product(a, b_transposed)
+    return a, Csr(pointers(sizes), np.arange(len(b_groups)), ones_b, len(b_groups))
+
+
+def group_links(a_groups: np.ndarray, b_groups: np.ndarray, count: int) -> Csr:
+    """Tokens of A by tokens of B that are in the same group, each given by its group."""
+    return product(*_group_matrices(a_groups, b_groups, count))
+
+
+def shared_group_counts(a_groups: np.ndarray, b_groups: np.ndarray, count: int) -> np.ndarray:
+    """Entries per row of ``group_links``, which may be many more than there are tokens."""
+    return product_sizes(*_group_matrices(a_groups, b_groups, count))
 
 
 @lru_cache(maxsize=2)
-def aligner(byte_path: str, piece_path: str, params: AlignParams) -> Aligner:
+def aligner(byte_path: str, piece_path: str) -> Aligner:
     """One aligner per worker process."""
-    return Aligner(byte_path, piece_path, params)
+    return Aligner(byte_path, piece_path)
 
 
 class _Block:
     """Documents on their way into one row."""
 
-    def __init__(self, own: Aligner) -> None:
-        self.own = own
-        self.place: dict[str, int] = {}
-        self.pieces: list[Piece | None] = []
+    def __init__(self, own: Aligner, params: AlignParams) -> None:
+        self.own, self.params = own, params
         self.doc_ids: list[int | None] = []
-        self.digests: list[str] = []
-        self.rows: list[np.ndarray] = []
-        self.times: list[np.ndarray] = []
-        self.chars = 0
-
-    def add(self, doc_ids: list[int | None], texts: list[str | None]) -> None:
-        cut = [split_pieces(text) if text else [] for text in texts]
-        fresh = list({piece for pieces in cut for piece in pieces}.difference(self.place))
-        aligned = self.own.align(fresh)
-        for piece in fresh:
-            self.place[piece] = len(self.pieces)
-            self.pieces.append(aligned[piece])
-        for doc_id, text, pieces in zip(doc_ids, texts, cut, strict=True):
-            self.chars += len(text or "")
-            places = [self.place[piece] for piece in pieces]
-            each = [self.pieces[at] for at in places]
-            digest = ""
-            if None in each:
-                places = []
-            elif each:
-                digest = hashlib.sha256(";".join([p.groups for p in each]).encode()).hexdigest()
-            row, times = np.unique(np.array(places, dtype=np.int64), return_counts=True)
-            self.doc_ids.append(doc_id)
-            self.digests.append(digest)
-            self.rows.append(row)
-            self.times.append(times)
+        self.stats: list[np.ndarray] = []
+        self.digests: list = []
+        self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.waiting: list[tuple[int, str]] = []
+        self.chars = self.waiting_chars = 0
+        self.bad: set[int] = set()
+
+    def add(self, doc_id: int | None, text: str | None) -> None:
+        self.doc_ids.append(doc_id)
+        self.stats.append(np.zeros(len(STATS), dtype=np.int64))
+        self.digests.append(None)
+        for part in stretches(text or "", self.params.stretch_chars):
+            self.waiting.append((len(self.doc_ids) - 1, part))
+            self.chars += len(part)
+            self.waiting_chars += len(part)
+            if self.waiting_chars >= self.params.batch_chars:
+                self._align()
+
+    def full(self) -> bool:
+        return len(self.doc_ids) >= self.params.block_docs or self.chars >= self.params.block_chars
+
+    def _align(self) -> None:
+        if not self.waiting:
+            return
+        docs = np.array([doc for doc, _ in self.waiting], dtype=np.int64)
+        encoded = self.own.encode([text for _, text in self.waiting])
+        self.waiting, self.waiting_chars = [], 0
+        self.bad.update(docs[~encoded.kept].tolist())
+        links = overlap_links(encoded.a_ends, encoded.b_ends)
+        for doc, stats in zip(docs.tolist(), encoded.stats(links), strict=True):
+            self.stats[doc] += stats
+        for doc, text in zip(docs.tolist(), encoded.group_texts(), strict=True):
+            if self.digests[doc] is None:
+                self.digests[doc] = hashlib.sha256(text.encode())
+            else:
+                self.digests[doc].update(b";" + text.encode())
+        text, code, times = encoded.pairs(links)
+        self.found.append((docs[text], code, times))
 
     def row(self) -> dict:
-        docs = from_rows(self.rows, self.times, len(self.pieces))
-        none = Piece((0,) * len(STATS), "", *[np.zeros(0, dtype=np.int32)] * 3)
-        pieces = [piece or none for piece in self.pieces]
-        keys = [(p.a.astype(np.int64) << 32) | p.b for p in pieces]
-        flat = np.concatenate(keys) if keys else np.zeros(0, dtype=np.int64)
-        pairs, place = np.unique(flat, return_inverse=True)
-        ptr = pointers(np.array([len(key) for key in keys], dtype=np.int64))
-        times = [p.times.astype(np.int64) for p in pieces]
-        held = Csr(ptr, place, np.concatenate(times) if times else flat, len(pairs))
-        # The distinct pairs of a document are the entries of its row of the product.
-        holders = np.bincount(product(docs, held).col, minlength=len(pairs))
-        each = np.array([p.stats for p in pieces], dtype=np.int64).reshape(-1, len(STATS))
-        stats = np.zeros((len(self.doc_ids), len(STATS)), dtype=np.int64)
-        np.add.at(stats, docs.rows, each[docs.col] * docs.val[:, None])
-        listed = zip((pairs >> 32).tolist(), (pairs & 0xFFFFFFFF).tolist(), holders.tolist())
+        self._align()
+        none = np.zeros(0, dtype=np.int64)
+        parts = list(zip(*self.found, strict=True)) or [[none]] * 3
+        doc, code, times = (np.concatenate(part) for part in parts)
+        if self.bad:
+            keep = ~np.isin(doc, list(self.bad))
+            doc, code, times = doc[keep], code[keep], times[keep]
+        pairs, place = np.unique(code, return_inverse=True)
+        # Stretches of one text may hold the same pair.
+        every = max(1, len(pairs))
+        key = doc * every + place
+        if len(key) and (key[1:] <= key[:-1]).any():
+            key, again = np.unique(key, return_inverse=True)
+            times = np.bincount(again, weights=times).astype(np.int64)
+            doc, place = key // every, key % every
+        stats = np.stack(self.stats) if self.stats else np.zeros((0, len(STATS)), np.int64)
+        stats[list(self.bad)] = 0
+        digests = [
+            "" if digest is None or at in self.bad else digest.hexdigest()
+            for at, digest in enumerate(self.digests)
+        ]
+        a, b = np.divmod(pairs, self.own.n_b)
+        holders = np.bincount(place, minlength=len(pairs))
+        listed = zip(a.tolist(), b.tolist(), holders.tolist(), strict=True)
         return {
             "doc_ids": self.doc_ids,
             "stats": stats.tobytes(),
-            "digests": self.digests,
-            "doc_ptr": _packed(docs.ptr),
-            "doc_piece": _packed(docs.col),
-            "doc_times": _packed(docs.val),
-            "piece_ptr": _packed(held.ptr),
-            "piece_pair": _packed(held.col),
-            "piece_times": _packed(held.val),
-            "pairs": [{"a": a, "b": b, "docs": n} for a, b, n in listed],
+            "digests": digests,
+            "doc_ptr": _packed(pointers(np.bincount(doc, minlength=len(self.doc_ids)))),
+            "doc_pair": _packed(place),
+            "doc_times": _packed(times),
+            "pairs": [{"a": x, "b": y, "docs": n} for x, y, n in listed],
         }
 
 
+_WIDTHS = {size: np.dtype(f"<u{size}") for size in (1, 2, 4, 8)}
+
+
 def _packed(values: np.ndarray) -> bytes:
-    return values.astype("<u4").tobytes()
+    """The narrowest width that holds all values, then the values."""
+    top = int(values.max()) if len(values) else 0
+    size = next(size for size in _WIDTHS if top < 1 << 8 * size)
+    return bytes([size]) + values.astype(_WIDTHS[size]).tobytes()
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, "<u4").astype(np.int64)
+    return np.frombuffer(data, _WIDTHS[data[0]], offset=1).astype(np.int64)
 
 
 _BLOCK_TYPE = pa.schema(
@@ -328,8 +378,7 @@ _BLOCK_TYPE = pa.schema(
         ("doc_ids", pa.list_(pa.int64())),
         ("stats", pa.binary()),
         ("digests", pa.list_(pa.string())),
-        *[(name, pa.binary()) for name in ("doc_ptr", "doc_piece", "doc_times")],
-        *[(name, pa.binary()) for name in ("piece_ptr", "piece_pair", "piece_times")],
+        *[(name, pa.binary()) for name in ("doc_ptr", "doc_pair", "doc_times")],
         ("pairs", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("docs", pa.int64())]))),
     ]
 )
@@ -338,18 +387,17 @@ _BLOCK_TYPE = pa.schema(
 def encoded_blocks(
     docs: DataFrame, byte_path: str, piece_path: str, params: AlignParams
 ) -> DataFrame:
-    """``BLOCK`` rows: documents over pieces, pieces over id pairs, and documents per pair."""
+    """``BLOCK`` rows: documents over id pairs, and the documents that hold each pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = aligner(byte_path, piece_path, params)
-        block = _Block(own)
+        own = aligner(byte_path, piece_path)
+        block = _Block(own, params)
         for batch in batches:
-            for start in range(0, batch.num_rows, 128):
-                part = batch.slice(start, 128)
-                block.add(part.column(0).to_pylist(), part.column(1).to_pylist())
-                if len(block.doc_ids) >= params.block_docs or block.chars >= params.block_chars:
+            for at in range(batch.num_rows):
+                block.add(batch.column(0)[at].as_py(), batch.column(1)[at].as_py())
+                if block.full():
                     yield pa.RecordBatch.from_pylist([block.row()], schema=_BLOCK_TYPE)
-                    block = _Block(own)
+                    block = _Block(own, params)
         if block.doc_ids:
             yield pa.RecordBatch.from_pylist([block.row()], schema=_BLOCK_TYPE)
 
@@ -394,8 +442,7 @@ def align_documents(
 
 def _document_rows(block: pa.RecordBatch) -> pa.RecordBatch:
     row = {name: block.column(name)[0] for name in block.schema.names}
-    matrices = ("doc_ptr", "doc_piece", "doc_times", "piece_ptr", "piece_pair", "piece_times")
-    packed = {name: _unpacked(row[name].as_py()) for name in matrices}
+    ptr, pair, times = (_unpacked(row[f"doc_{name}"].as_py()) for name in ("ptr", "pair", "times"))
     counts = row["counts"].values
     size = len(counts) if counts is not None else 0
     n, best = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64)
@@ -403,16 +450,12 @@ def _document_rows(block: pa.RecordBatch) -> pa.RecordBatch:
         at = counts.field("at").to_numpy()
         n[at] = counts.field("n").to_numpy()
         best[at] = counts.field("best").to_numpy(zero_copy_only=False)
-    # A piece's sums over its links, then a document's over its pieces.
-    count_piece = _row_sums(packed["piece_ptr"], packed["piece_times"] * n[packed["piece_pair"]])
-    best_piece = _row_sums(packed["piece_ptr"], packed["piece_times"] * best[packed["piece_pair"]])
-    pieces, times = packed["doc_piece"], packed["doc_times"]
     stats = np.frombuffer(row["stats"].as_py(), np.int64).reshape(-1, len(STATS))
     columns = [
         row["doc_ids"].values,
         *[pa.array(stats[:, at]) for at in range(len(STATS))],
-        pa.array(_row_sums(packed["doc_ptr"], times * best_piece[pieces])),
-        pa.array(_row_sums(packed["doc_ptr"], times * count_piece[pieces])),
+        pa.array(_row_sums(ptr, times * best[pair])),
+        pa.array(_row_sums(ptr, times * n[pair])),
         row["digests"].values,
     ]
     return pa.RecordBatch.from_arrays(columns, [part.split()[0] for part in RESULT.split(", ")])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -43,26 +44,34 @@ def transposed(matrix: Csr) -> Csr:
 
 
 def product(left: Csr, right: Csr, step_terms: int = STEP_TERMS) -> Csr:
-    """``left · right`` after Gustavson: a row is the sum of the right rows that it names.
+    """``left · right`` after Gustavson: a row is the sum of the right rows that it names."""
+    parts = list(_steps(left, right, step_terms))
+    if not parts:
+        none = np.zeros(0, dtype=np.int64)
+        return Csr(np.zeros(1, dtype=np.int64), none, none, right.width)
+    sizes, columns, values = (np.concatenate(part) for part in zip(*parts, strict=True))
+    return Csr(pointers(sizes), columns, values, right.width)
+
+
+def product_sizes(left: Csr, right: Csr, step_terms: int = STEP_TERMS) -> np.ndarray:
+    """Entries per row of the product, of which only a step is ever held."""
+    parts = [sizes for sizes, _, _ in _steps(left, right, step_terms)]
+    return np.concatenate(parts or [np.zeros(0, dtype=np.int64)])
 
-    Some rows are made at a time, so that no more than about ``step_terms`` terms (or those of
-    one row) wait for being summed.
-    """
+
+def _steps(
+    left: Csr, right: Csr, step_terms: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The product, some rows at a time, so that about ``step_terms`` terms (or those of one
+    row) wait for being summed."""
     lengths = right.ptr[left.col + 1] - right.ptr[left.col]
     terms = np.concatenate(([0], np.cumsum(lengths)))[left.ptr]
-    count = len(left.ptr) - 1
-    parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    start = 0
+    count, start = len(left.ptr) - 1, 0
     while start < count:
         stop = int(np.searchsorted(terms, terms[start] + step_terms, "right")) - 1
         stop = min(count, max(stop, start + 1))
-        parts.append(_rows_of_product(left, right, lengths, start, stop))
+        yield _rows_of_product(left, right, lengths, start, stop)
         start = stop
-    if not parts:
-        none = np.zeros(0, dtype=np.int64)
-        return Csr(np.zeros(1, dtype=np.int64), none, none, right.width)
-    sizes, columns, values = (np.concatenate(part) for part in zip(*parts, strict=True))
-    return Csr(pointers(sizes), columns, values, right.width)
 
 
 def _rows_of_product(
@@ -76,9 +85,10 @@ def _rows_of_product(
     row = np.repeat(np.arange(stop - start), np.diff(left.ptr[start : stop + 1]))
     key = np.repeat(row, own) * right.width + right.col[take]
     value = np.repeat(left.val[at:end], own) * right.val[take]
-    order = np.argsort(key)
-    key = key[order]
+    if (key[1:] < key[:-1]).any():
+        order = np.argsort(key)
+        key, value = key[order], value[order]
     heads = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
-    summed = np.add.reduceat(value[order], heads) if len(heads) else value[:0]
+    summed = np.add.reduceat(value, heads) if len(heads) else value[:0]
     row, column = np.divmod(key[heads], right.width) if right.width else (key[:0], key[:0])
     return np.bincount(row, minlength=stop - start), column, summed
