@@ -3,10 +3,11 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tests.builders import ZONE_ROWS, feed, rides
 from tripflow.schemas import FEED, RIDES, ddl
-from tripflow.sources import files
+from tripflow.sources import files, footers
 from tripflow.sources.folders import run_folder
 
 
@@ -103,3 +104,65 @@ def test_only_a_local_session_may_lack_the_shared_folder():
     assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         run_folder(Unset("yarn"), "x")
+
+
+DECLARED = {"id": "bigint", "size": "double", "name": "string"}
+SHAPES = [
+    "id bigint, size double, name string",
+    "id int, size double, name string, more array<int>",
+    "id double, size decimal(6, 2), name string, more string",
+    "id string, size int, name int",
+    "id bigint, name string",
+]
+
+
+def test_history_of_differing_types(spark, tmp_path):
+    folder = str(tmp_path / "history")
+    for number, shape in enumerate(SHAPES):
+        row = spark.range(number * 10, number * 10 + 3).selectExpr(
+            "id", "id / 2 as size", "cast(id as string) as name", "null as more"
+        )
+        kinds = [part.split(" ", 1) for part in shape.replace("(6, 2)", "(6;2)").split(", ")]
+        row.select(
+            *[F.col(name).cast(kind.replace(";", ", ")).alias(name) for name, kind in kinds]
+        ).write.mode("append").parquet(folder)
+    odd = spark.createDataFrame([("x", 1.5, "odd"), (None, None, None)], "id string, size double, name string")
+    odd.write.mode("append").parquet(folder)
+    (tmp_path / "history" / "README.md").write_text("not data")
+    found = footers.read_history(spark, folder, DECLARED)
+    assert dict(found.dtypes) == DECLARED
+    want = Counter({(None, 1.5, "odd"): 1, (None, None, None): 1})
+    for number in range(len(SHAPES)):
+        for i in range(number * 10, number * 10 + 3):
+            size = None if number == 4 else float(i // 2) if number == 3 else i / 2
+            want[(i, size, str(i))] += 1
+    assert Counter(map(tuple, found.collect())) == want
+    # Files with equal types for the declared columns are one scan.
+    groups = footers.type_groups(footers.footers(footers.file_names(spark, folder)), DECLARED)
+    assert len(groups) == len(SHAPES) + 1
+
+
+def test_history_stops_at_a_file_it_cannot_read(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "history"))
+    (tmp_path / "history" / "torn.parquet").write_bytes(b"PAR1")
+    with pytest.raises(ValueError, match="torn.parquet"):
+        footers.read_history(spark, str(tmp_path / "history"), {"id": "bigint"})
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(FileNotFoundError):
+        footers.read_history(spark, str(tmp_path / "empty"), {"id": "bigint"})
+
+
+def test_footers_of_a_store_that_arrow_does_not_know(spark, tmp_path, monkeypatch):
+    """Whole files go to the tasks then; only the result is the same."""
+    folder = str(tmp_path / "history")
+    spark.range(3).write.parquet(folder)
+    names = footers.file_names(spark, folder)
+    want = {tuple(row) for row in footers.footers(names).collect()}
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.shop.link./in", f"file://{tmp_path}")
+    far = footers.file_names(spark, "viewfs://shop/in/history")
+    found = footers.footers(far).collect()
+    assert {row.types for row in found} == {types for _, types, _ in want}
+    assert all(row.path.startswith("viewfs:") and row.error is None for row in found)
+    read = footers.read_history(spark, "viewfs://shop/in/history", {"id": "bigint"})
+    assert sorted(row.id for row in read.collect()) == [0, 1, 2]

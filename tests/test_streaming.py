@@ -2,14 +2,15 @@ from collections import Counter
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from tests.builders import feed, zones
 from tripflow.operators import enrich as joins
 from tripflow.operators import metrics
 from tripflow.operators.clean import clean
 from tripflow.operators.enrich import enrich
-from tripflow.schemas import FEED, RIDES, ddl
-from tripflow.sources.files import read_rides, read_rollup, write_feed
+from tripflow.schemas import BATCH_COUNTS, DEAD_LETTERS, FEED, REJECTS, RIDES, ddl
+from tripflow.sources.files import compact_rides, read_rides, read_rollup, write_feed
 from tripflow.streaming import feeds, sinks
 from tripflow.streaming import rides as rides_job
 from tripflow.streaming.rides import ride_stream, start_rides
@@ -123,12 +124,12 @@ def test_empty_batches_write_nothing(spark, place, tmp_path):
     write_feed(feed(spark, {"fare_amount": -1.0}), place("feed"), 10)
     stream = ride_stream(feeds.feed_stream(spark, place("feed"), "parquet"), zones(spark))
     in_batches(stream, place)
-    assert not list((tmp_path).glob("rides/batch_id=*"))
+    assert not list((tmp_path).glob("rides/query_id=*"))
 
 
 def test_crash_between_write_and_commit_leaves_no_duplicates(spark, place, rows, batch_rides):
     write_feed(rows, place("feed"), 10)
-    write = sinks.batch_writer(place("rides"))
+    write = sinks.batch_writer(place("rides"), place("checkpoint"))
     crashed = []
 
     def write_then_crash(batch, batch_id):
@@ -185,8 +186,8 @@ def test_kept_rollup_answers_reports_as_the_rides_do(spark, place, rows, monkeyp
     writer = rides_job.batch_writer
     crashed = []
 
-    def crashing_writer(table):
-        write = writer(table)
+    def crashing_writer(table, checkpoint):
+        write = writer(table, checkpoint)
 
         def write_then_crash(batch, batch_id):
             write(batch, batch_id)
@@ -235,3 +236,147 @@ def test_a_table_of_the_file_sink_is_refused(spark, place, rows):
     sinks.run_available(sinks.append_stream(feed, *names, sinks.AVAILABLE_NOW))
     with pytest.raises(ValueError, match="file sink"):
         start_rides(feed, zones(spark), *names)
+
+
+def start_one(spark, place, checkpoint, **more):
+    feed = feeds.feed_stream(spark, place(f"feed-{checkpoint}"), "parquet")
+    names = place("rides"), place(checkpoint)
+    sinks.run_available(start_rides(feed, zones(spark), *names, sinks.AVAILABLE_NOW, **more))
+
+
+def test_a_new_checkpoint_keeps_earlier_loads(spark, place, rows):
+    for number, checkpoint in enumerate(("a", "b", "c")):
+        write_feed(rows, place(f"feed-{checkpoint}"), 10)
+        start_one(spark, place, checkpoint, rollup=place("sums"))
+        assert read_rides(spark, place("rides")).count() == (number + 1) * KEPT
+        start_one(spark, place, checkpoint, rollup=place("sums"))
+    assert read_rides(spark, place("rides")).count() == 3 * KEPT
+    stored = sinks.read_batches(spark, place("rides"), ddl(RIDES))
+    assert stored.select("query_id").distinct().count() == 3
+    assert [n for *_, n in sinks.arrivals(stored, *sinks.BATCH).collect()] == [KEPT] * 3
+    assert metrics.kpi_summary(read_rollup(spark, place("sums"))).first().total_trips == 3 * KEPT
+
+
+def test_two_queries_at_once_fill_one_table(spark, place, rows):
+    queries = []
+    for checkpoint in ("a", "b"):
+        write_feed(rows, place(f"feed-{checkpoint}"), 10)
+        feed = feeds.feed_stream(spark, place(f"feed-{checkpoint}"), "parquet", files_per_trigger=1)
+        names = place("rides"), place(checkpoint)
+        queries.append(start_rides(feed, zones(spark), *names, sinks.AVAILABLE_NOW))
+    for query in queries:
+        sinks.run_available(query)
+    assert read_rides(spark, place("rides")).count() == 2 * KEPT
+
+
+def test_batches_without_a_query_are_refused_until_compacted(spark, place, rows):
+    old = ride_stream(rows.transform(lambda r: r), zones(spark)).withColumn("batch_id", F.lit(0))
+    old.write.partitionBy("batch_id").parquet(place("old"))
+    write_feed(rows, place("feed-a"), 10)
+    feed = feeds.feed_stream(spark, place("feed-a"), "parquet")
+    with pytest.raises(ValueError, match="compact"):
+        start_rides(feed, zones(spark), place("old"), place("a"))
+    compact_rides(spark, place("old"), place("rides"))
+    start_one(spark, place, "a")
+    assert read_rides(spark, place("rides")).count() == 2 * KEPT
+
+
+def test_rides_and_rejects_are_all_that_arrived(spark, place, rows):
+    write_feed(rows, place("feed"), 10)
+    feed = feeds.feed_stream(spark, place("feed"), "parquet", files_per_trigger=2)
+    query = start_rides(
+        feed, zones(spark), place("rides"), place("checkpoint"), sinks.AVAILABLE_NOW,
+        rejects=place("rejects"), counts=place("counts"),
+    )
+    sinks.run_available(query)
+    rejects = sinks.read_batches(spark, place("rejects"), ddl(REJECTS))
+    reasons = Counter(row.reason for row in rejects.collect())
+    want = {"fare not positive": 3, "time not readable": 1, "missing value": 1}
+    assert reasons == want
+    counts = sinks.read_batches(spark, place("counts"), ddl(BATCH_COUNTS)).collect()
+    assert len(counts) == 3
+    assert all(row.arrived == row.kept + row.rejected for row in counts)
+    assert sum(row.arrived for row in counts) == rows.count()
+    assert sum(row.kept for row in counts) == read_rides(spark, place("rides")).count() == KEPT
+    # One scan for both tables: what the source read is what arrived.
+    assert sum(progress["numInputRows"] for progress in query.recentProgress) == rows.count()
+
+
+def test_counts_alone_and_batches_without_rides(spark, place):
+    bad = feed(spark, {"fare_amount": -1.0}, {"trip_distance": float("nan")})
+    write_feed(bad, place("feed-a"), 10)
+    start_one(spark, place, "a", counts=place("counts"))
+    (row,) = sinks.read_batches(spark, place("counts"), ddl(BATCH_COUNTS)).collect()
+    assert (row.arrived, row.kept, row.rejected) == (2, 0, 2)
+    assert read_rides(spark, place("rides")).count() == 0
+
+
+def test_records_that_do_not_fit_are_rejected_with_their_text(spark, place, tmp_path):
+    good = feed(spark, *[{"fare_amount": float(n + 1)} for n in range(5)])
+    write_feed(good, place("feed"), 100, "csv")
+    texts = ["2020-01-01 10:00:00,2020-01-01 10:20:00,3.0,1,2,15.0,abc,1,Card",
+             "2020-01-01 10:00:00,2020-01-01 10:20:00,3.0,1,2,15.0"]
+    (tmp_path / "feed" / "odd.csv").write_text("\n".join([",".join(FEED), *texts]) + "\n")
+    rows = feeds.feed_stream(spark, place("feed"), "csv", record=True)
+    query = start_rides(
+        rows, zones(spark), place("rides"), place("checkpoint"), sinks.AVAILABLE_NOW,
+        rejects=place("rejects"),
+    )
+    sinks.run_available(query)
+    found = sinks.read_batches(spark, place("rejects"), ddl(REJECTS)).collect()
+    assert sorted(row.record for row in found) == sorted(texts)
+    assert {row.reason for row in found} == {"record not readable"}
+    assert read_rides(spark, place("rides")).count() == 5
+
+
+def test_each_batch_takes_the_zones_of_its_time(spark, place, rows, monkeypatch):
+    measured = []
+    fits = rides_job.zones_fit_broadcast
+    monkeypatch.setattr(rides_job, "zones_fit_broadcast", lambda z: measured.append(1) or fits(z))
+    versions = rides_job.ZoneVersions(spark, place("zones"))
+    with pytest.raises(FileNotFoundError):
+        versions.current()
+    for number, prefix in enumerate(("", "", "New ")):
+        if number != 1:
+            named = zones(spark).withColumn("Zone", F.concat(F.lit(prefix), "Zone"))
+            rides_job.publish_zones(named, place("zones"), number)
+        # The second dimension is above the bound, and joined in another way.
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", 1 if number == 2 else 100_000)
+        write_feed(rows, place("feed"), 100)
+        feed = feeds.feed_stream(spark, place("feed"), "parquet")
+        names = place("rides"), place("checkpoint")
+        sinks.run_available(start_rides(feed, versions, *names, sinks.AVAILABLE_NOW))
+    assert len(measured) == 2
+    found = Counter(row.pickup_zone for row in read_rides(spark, place("rides")).collect())
+    assert found["Alpha"] == 2 * found["New Alpha"] > 0
+    assert sum(found.values()) == 3 * KEPT
+
+
+def test_files_that_do_not_fit_are_set_aside(spark, place, tmp_path, rows):
+    for number in range(3):
+        write_feed(rows, place("feed"), 100)
+    drifted = rows.withColumn("fare_amount", F.col("fare_amount").cast("string"))
+    drifted.write.mode("append").parquet(place("feed"))
+    rows.drop("tip_amount").write.mode("append").parquet(place("feed"))
+    widened = rows.withColumn("passenger_count", F.col("passenger_count").cast("double"))
+    widened.write.mode("append").parquet(place("feed"))
+    (tmp_path / "feed" / "torn.parquet").write_bytes(b"PAR1 torn")
+
+    def run(files_per_trigger=3):
+        query = rides_job.start_checked_rides(
+            spark, place("feed"), zones(spark), place("rides"), place("checkpoint"), place("dead"),
+            sinks.AVAILABLE_NOW, files_per_trigger, rides_job.Beside(rejects=place("rejects")),
+        )
+        sinks.run_available(query)
+
+    run()
+    dead = sinks.read_batches(spark, place("dead"), ddl(DEAD_LETTERS)).collect()
+    reasons = sorted(row.reason.split(":")[0] for row in dead)
+    assert reasons == ["fare_amount is string", "not readable", "tip_amount is not there"]
+    assert any(row.path.endswith("torn.parquet") for row in dead)
+    assert read_rides(spark, place("rides")).count() == 4 * KEPT
+    write_feed(rows, place("feed"), 100)
+    run()
+    assert read_rides(spark, place("rides")).count() == 5 * KEPT
+    rejects = sinks.read_batches(spark, place("rejects"), ddl(REJECTS))
+    assert rejects.count() == 5 * (rows.count() - KEPT)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.functions.trips import duration_minutes, parse_time, pickup_hour
+from tripflow.schemas import RECORD
 
 TIMES = ["pickup_datetime", "dropoff_datetime"]
 CORE = [*TIMES, "fare_amount", "trip_distance"]
@@ -61,24 +62,50 @@ def clean(feed: DataFrame) -> DataFrame:
     return with_pickup_hour(with_duration(parse_times(valid)))
 
 
-def reject_reasons(feed: DataFrame) -> DataFrame:
-    """How many rows ``clean`` drops, by the first rule each one fails."""
-    times = F.struct(
-        F.col(TIMES[0]).isNull().alias("no_pickup"),
-        F.col(TIMES[1]).isNull().alias("no_dropoff"),
-        *[parse_time(F.col(name)).alias(f"_{name}") for name in TIMES],
-    )
-    rows = feed.select("fare_amount", "trip_distance", F.inline(F.array(times)))
+def judged(feed: DataFrame, *more: str) -> DataFrame:
+    """Feed rows with both times parsed beside them and ``reason``: the first rule a row fails.
+
+    ``reason`` is null for the rows that ``clean`` keeps. A row with the text of a record that did
+    not fit its file's types is rejected for that. ``more`` names columns of the feed to
+    keep besides those that the rules read; all of them unless given.
+    """
+    times = F.struct(*[parse_time(F.col(name)).alias(f"_{name}") for name in TIMES])
+    kept = dict.fromkeys([*CORE, *more]) if more else feed.columns
+    rows = feed.select(*kept, F.inline(F.array(times)))
     pickup, dropoff = (F.col(f"_{name}") for name in TIMES)
-    missing = F.col("no_pickup") | F.col("no_dropoff")
+    missing = F.col(TIMES[0]).isNull() | F.col(TIMES[1]).isNull()
     for name in ("fare_amount", "trip_distance"):
         missing = missing | F.col(name).isNull() | F.isnan(name)
+    rules = F
+    if RECORD in kept:
+        rules = F.when(F.col(RECORD).isNotNull(), "record not readable")
     reason = (
-        F.when(missing, "missing value")
+        rules.when(missing, "missing value")
         .when(F.col("fare_amount") <= 0, "fare not positive")
         .when(F.col("trip_distance") <= 0, "distance not positive")
         .when(pickup.isNull() | dropoff.isNull(), "time not readable")
         .when(duration_minutes(pickup, dropoff) <= 0, "duration not positive")
     )
-    rejected = rows.select(reason.alias("reason")).filter("reason is not null")
+    return rows.withColumn("reason", reason)
+
+
+def kept_rides(rows: DataFrame) -> DataFrame:
+    """The rides among ``judged`` rows: what ``clean`` makes of the same feed."""
+    others = {"reason", RECORD, *[f"_{name}" for name in TIMES]}
+    feed = [name for name in rows.columns if name not in others]
+    timed = rows.filter("reason is null").select(
+        *[F.col(f"_{name}").alias(name) if name in TIMES else name for name in feed]
+    )
+    minutes = duration_minutes(F.col(TIMES[0]), F.col(TIMES[1]))
+    return with_pickup_hour(timed.withColumn("ride_duration_minutes", minutes))
+
+
+def rejected_rows(rows: DataFrame) -> DataFrame:
+    """The others among ``judged`` rows, as they came, with their reason."""
+    return rows.filter("reason is not null").drop(*[f"_{name}" for name in TIMES])
+
+
+def reject_reasons(feed: DataFrame) -> DataFrame:
+    """How many rows ``clean`` drops, by the first rule each one fails."""
+    rejected = judged(feed, *CORE).filter("reason is not null")
     return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("trips"))

@@ -127,9 +127,32 @@ TRAINING = """, training as (
   left join zones q on q.LocationID = DOLocationID
   where ride_duration_minutes > 0)"""
 
+JUDGED = """select trip_id, feed.* exclude (trip_id), case
+        when pickup_datetime is null or dropoff_datetime is null or trip_distance is null
+          or fare_amount is null or isnan(fare_amount) then 'missing value'
+        when fare_amount <= 0 then 'fare not positive'
+        when trip_distance <= 0 then 'distance not positive'
+        when t.trip_id is null then 'time not readable'
+        when t.minutes <= 0 then 'duration not positive'
+      end as reason
+      from feed left join
+        (select trip_id, ride_duration_minutes as minutes from timed) t using (trip_id)"""
+
+REPLAYED = f"""select trip_id, {RIDE_COLUMNS} from (
+    select *,
+      (epoch(date_trunc('second', dropoff_datetime))
+        - epoch(date_trunc('second', pickup_datetime))) / 60.0 as ride_duration_minutes,
+      cast(hour(pickup_datetime) as integer) as pickup_hour
+    from (select * replace (
+        cast(pickup_datetime as timestamp) as pickup_datetime,
+        cast(dropoff_datetime as timestamp) as dropoff_datetime) from normalized))
+  where ride_duration_minutes > 0 and fare_amount > 0 and not isnan(fare_amount)
+    and trip_distance > 0"""
+
 _SELECTS = {
     # Sources
     "scan_trips": f"select * exclude (fare_amount), {NAN_FARE} from trips_raw",
+    "scan_mixed_history": f"select * exclude (fare_amount), {NAN_FARE} from trips_raw",
     "scan_zones": "select * from zones",
     "zone_list": "select distinct Zone from zones where Zone is not null order by Zone",
     "feed_files": f"select {FEED_COLUMNS}, {NAN_FARE}, true as within_limit from feed",
@@ -156,16 +179,7 @@ _SELECTS = {
       where ride_duration_minutes > 0""",
     "pickup_hour": "select trip_id, pickup_hour from timed",
     "clean_rides": "select * from named",
-    "reject_reasons": """select reason, count(*) as trips from (
-      select case
-        when pickup_datetime is null or dropoff_datetime is null or trip_distance is null
-          or fare_amount is null or isnan(fare_amount) then 'missing value'
-        when fare_amount <= 0 then 'fare not positive'
-        when trip_distance <= 0 then 'distance not positive'
-        when t.trip_id is null then 'time not readable'
-        when t.ride_duration_minutes <= 0 then 'duration not positive'
-      end as reason
-      from feed left join (select trip_id, ride_duration_minutes from timed) t using (trip_id))
+    "reject_reasons": f"""select reason, count(*) as trips from ({JUDGED})
       where reason is not null group by reason""",
     # Joins
     "join_pickup_zone": "select trip_id, pickup_location_id, pickup_zone from named",
@@ -221,16 +235,33 @@ _SELECTS = {
     "stream_clean_rides": f"select {RIDE_COLUMNS}, pickup_zone, dropoff_zone from named",
     "stream_batch_counts": """select trip_id % 4 as batch_id, count(*) as arrivals
       from trips_raw group by batch_id""",
-    "stream_replay_idempotent": f"""select trip_id, {RIDE_COLUMNS} from (
-    select *,
-      (epoch(date_trunc('second', dropoff_datetime))
-        - epoch(date_trunc('second', pickup_datetime))) / 60.0 as ride_duration_minutes,
-      cast(hour(pickup_datetime) as integer) as pickup_hour
-    from (select * replace (
-        cast(pickup_datetime as timestamp) as pickup_datetime,
-        cast(dropoff_datetime as timestamp) as dropoff_datetime) from normalized))
-  where ride_duration_minutes > 0 and fare_amount > 0 and not isnan(fare_amount)
-    and trip_distance > 0""",
+    "stream_replay_idempotent": REPLAYED,
+    "stream_two_checkpoints": REPLAYED,
+    "stream_csv_rejects": f"""select reason, pickup_datetime_text, trip_distance_text,
+        tip_amount_text, payment_type_text, count(*) as trips
+      from (
+        select case when broken then 'record not readable' else reason end as reason,
+          case when broken then pickup_datetime end as pickup_datetime_text,
+          case when broken and trip_id % 37 = 0 then 'far'
+            when broken then cast(trip_distance as varchar) end as trip_distance_text,
+          case when broken and trip_id % 31 = 0 then 'abc'
+            when broken then 'number' end as tip_amount_text,
+          case when broken then payment_type end as payment_type_text
+        from (select *, trip_id % 31 = 0 or trip_id % 37 = 0 as broken from ({JUDGED})
+          where not isnan(fare_amount)))
+      where reason is not null group by all""",
+    "stream_rejects": f"""select trip_id % 4 as batch_id, reason, count(*) as trips
+      from ({JUDGED}) where reason is not null group by all""",
+    "stream_batch_totals": f"""select trip_id % 4 as batch_id, count(*) as arrived,
+      count(*) filter (reason is null) as kept, count(reason) as rejected
+      from ({JUDGED}) group by all""",
+    "stream_zone_versions": """select trip_id % 4 as batch_id,
+      case when trip_id % 4 < 2 then '' else 'New ' end || pickup_zone as pickup_zone,
+      count(*) as trips from named group by all""",
+    "stream_checked_files": """select 'ride' as kind, pickup_zone as name, count(*) as trips
+      from named where trip_id % 4 < 2 group by all
+      union all select 'set aside', 'fare_amount is string', null
+      union all select 'set aside', 'tip_amount is not there', null""",
     # Sampling and the fare model
     "training_sample": f"""select trip_id, fare_amount from rides
       where {POSITION} < 5000.0::double / (select count(*) from rides)""",

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,11 +16,27 @@ from tripflow.operators import clean as cleaning
 from tripflow.operators import display, enrich, metrics, normalize, sampling
 from tripflow.operators import requests as fare_requests
 from tripflow.plans import events, fares
-from tripflow.schemas import FEED, LABEL, PREDICTION, REQUESTS, RIDES, TRIP, ddl
-from tripflow.sources import files
+from tripflow.schemas import (
+    BATCH_COUNTS,
+    DEAD_LETTERS,
+    FEED,
+    LABEL,
+    PREDICTION,
+    REJECTS,
+    REQUESTS,
+    RIDES,
+    TRIP,
+    ddl,
+)
+from tripflow.sources import files, footers
 from tripflow.sources.folders import run_folder
 from tripflow.streaming import feeds, sinks
-from tripflow.streaming.rides import start_rides
+from tripflow.streaming.rides import (
+    ZoneVersions,
+    publish_zones,
+    start_checked_rides,
+    start_rides,
+)
 
 KEY = events.KEY
 REQUEST_KEY = ("request_id",)
@@ -55,6 +72,24 @@ def scan_zones(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_zones(spark, path)
 
 
+#: The types that some files of a mixed history have in place of the declared ones.
+OTHER_TYPES = (
+    {"passenger_count": "double", "payment_type": "int", "PULocationID": "int"},
+    {"passenger_count": "string", "trip_distance": "decimal(10, 1)", "payment_type": "double"},
+)
+
+
+def scan_mixed_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Months whose files have different types for a column, read as one table."""
+    path = run_folder(spark, "history")
+    trips = events.trips(spark, folder)
+    for number, types in enumerate(({}, *OTHER_TYPES)):
+        month = trips.filter(F.pmod("trip_id", F.lit(3)) == number)
+        casts = {name: F.col(name).cast(kind) for name, kind in types.items()}
+        month.withColumns(casts).write.mode("append").parquet(path)
+    return _show_nan(footers.read_history(spark, path, TRIP))
+
+
 def zone_list(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.zone_list(events.zones(spark, folder))
 
@@ -316,24 +351,206 @@ def stream_batch_counts(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.arrivals(sinks.read_batches(spark, table, ddl(TRIP)))
 
 
+def _stored_rides(spark: SparkSession, table: str) -> DataFrame:
+    stored = {name: kind for name, kind in RIDES.items() if not name.endswith("_zone")}
+    return sinks.read_batches(spark, table, f"trip_id bigint, {ddl(stored)}").drop(*sinks.BATCH)
+
+
+def _rides_of_trips(trips: DataFrame) -> DataFrame:
+    return cleaning.clean(normalize.normalize_feed(trips, key=KEY))
+
+
+class _LostCommit(Exception):
+    """Stands for a driver that is lost after a write and before the commit."""
+
+
 def stream_replay_idempotent(spark: SparkSession, folder: str) -> DataFrame:
-    """Every micro-batch is delivered twice under its id, as after a lost commit."""
+    """The query is lost after each micro-batch's write, before its commit, and started again."""
+    table, checkpoint = run_folder(spark, "batches"), run_folder(spark, "checkpoint")
+    lost: set[int] = set()
+    store = sinks.batch_writer(table, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store(batch, batch_id)
+        if batch_id not in lost:
+            lost.add(batch_id)
+            raise _LostCommit
+
+    path = run_folder(spark, "trips")
+    trips = events.trips(spark, folder)
+    for number in range(DELIVERIES):
+        part = trips.filter(F.pmod("trip_id", F.lit(DELIVERIES)) == number)
+        files.write_feed(part, path, FEED_ROWS_PER_FILE)
+        rows = _rides_of_trips(feeds.feed_stream(spark, path, "parquet", schema=ddl(TRIP)))
+        for attempt in range(2):
+            query = sinks.append_batches(rows, table, checkpoint, sinks.AVAILABLE_NOW, write)
+            try:
+                sinks.run_available(query)
+            except StreamingQueryException:
+                if attempt:
+                    raise
+    return _stored_rides(spark, table)
+
+
+def stream_two_checkpoints(spark: SparkSession, folder: str) -> DataFrame:
+    """Two feeds, each with a checkpoint of its own, into one table: both loads stay."""
     table = run_folder(spark, "batches")
-    write = sinks.batch_writer(table)
+    trips = events.trips(spark, folder)
+    for number in range(2):
+        path = run_folder(spark, "trips")
+        part = trips.filter(F.pmod("trip_id", F.lit(2)) == number)
+        files.write_feed(part, path, FEED_ROWS_PER_FILE)
+        rows = _rides_of_trips(feeds.feed_stream(spark, path, "parquet", schema=ddl(TRIP)))
+        checkpoint = run_folder(spark, "checkpoint")
+        sinks.run_available(
+            sinks.append_batches(rows, table, checkpoint, sinks.AVAILABLE_NOW)
+        )
+    return _stored_rides(spark, table)
+
+
+def _record_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """Feed rows as text, some with words where numbers belong."""
+    feed = events.feed(spark, folder).filter("not isnan(fare_amount)")
+    texts = feed.select("trip_id", *[F.col(name).cast("string").alias(name) for name in FEED])
+    return texts.withColumns(
+        {
+            "tip_amount": F.expr("if(trip_id % 31 = 0, 'abc', tip_amount)"),
+            "trip_distance": F.expr("if(trip_id % 37 = 0, 'far', trip_distance)"),
+        }
+    ).drop("trip_id")
+
+
+def stream_csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Records that do not fit their types, by the fields of their text, and all other rejects."""
+    path, table = run_folder(spark, "feed"), run_folder(spark, "rides")
+    files.write_feed(_record_feed(spark, folder), path, FEED_ROWS_PER_FILE, "csv")
+    rejects = run_folder(spark, "rejects")
+    query = start_rides(
+        feeds.feed_stream(spark, path, "csv", record=True),
+        events.zones(spark, folder),
+        table,
+        run_folder(spark, "checkpoint"),
+        sinks.AVAILABLE_NOW,
+        rejects=rejects,
+    )
+    sinks.run_available(query)
+    fields = F.split("record", ",", -1)
+    place = {name: at for at, name in enumerate(FEED)}
+    own = ("pickup_datetime", "trip_distance", "tip_amount", "payment_type")
+    texts = {name: F.get(fields, F.lit(place[name])) for name in own}
+    # Engines write doubles in different ways.
+    readable = F.expr("try_cast(split(record, ',', -1)[6] as double) is not null")
+    texts["tip_amount"] = F.when(readable, "number").otherwise(texts["tip_amount"])
+    shown = [text.alias(f"{name}_text") for name, text in texts.items()]
+    rows = sinks.read_batches(spark, rejects, ddl(REJECTS))
+    # Of rows whose record is fine, the text is null and so are its fields.
+    return rows.select("reason", *shown).groupBy("reason", *[f"{n}_text" for n in own]).agg(
+        F.count(F.lit(1)).alias("trips")
+    )
+
+
+def _deliver_feed(spark: SparkSession, folder: str, start: Callable, before: Callable) -> None:
+    """Feed rows in ``DELIVERIES`` parts, each one micro-batch of a query that ``start`` makes."""
+    path = run_folder(spark, "feed")
+    feed = events.feed(spark, folder)
+    for number in range(DELIVERIES):
+        before(number)
+        part = feed.filter(F.pmod("trip_id", F.lit(DELIVERIES)) == number)
+        files.write_feed(part.select(*FEED), path, FEED_ROWS_PER_FILE)
+        sinks.run_available(start(feeds.feed_stream(spark, path, "parquet")))
+
+
+def _rides_beside(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """The feed in parts; names of the tables of rejects and of counts."""
+    names = [run_folder(spark, name) for name in ("rides", "checkpoint", "rejects", "counts")]
+    table, checkpoint, rejects, counts = names
+    zones = events.zones(spark, folder)
+    beside = {"rejects": rejects, "counts": counts}
+    _deliver_feed(
+        spark,
+        folder,
+        lambda feed: start_rides(
+            feed, zones, table, checkpoint, sinks.AVAILABLE_NOW, **beside
+        ),
+        lambda number: None,
+    )
+    return rejects, counts
+
+
+def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """What each micro-batch rejected, by the first rule a row fails."""
+    rejects, _ = _rides_beside(spark, folder)
+    rows = sinks.read_batches(spark, rejects, ddl(REJECTS))
+    return rows.groupBy("batch_id", "reason").agg(F.count(F.lit(1)).alias("trips"))
+
+
+def stream_batch_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that arrived, were kept and were rejected per micro-batch, as observed on the way."""
+    _, counts = _rides_beside(spark, folder)
+    return sinks.read_batches(spark, counts, ddl(BATCH_COUNTS)).drop("query_id")
 
-    def write_twice(batch: DataFrame, batch_id: int) -> None:
-        write(batch, batch_id)
-        write(batch, batch_id)
 
-    _deliver(
+def stream_zone_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Rides per batch and pickup zone; half-way, every zone gets another name."""
+    versions = run_folder(spark, "zones")
+    table, checkpoint = run_folder(spark, "rides"), run_folder(spark, "checkpoint")
+    zones = events.zones(spark, folder)
+    renamed = zones.withColumn("Zone", F.concat(F.lit("New "), "Zone"))
+    dimension = ZoneVersions(spark, versions)
+
+    def publish(number: int) -> None:
+        if number in (0, DELIVERIES // 2):
+            publish_zones(renamed if number else zones, versions, number)
+
+    _deliver_feed(
         spark,
         folder,
+        lambda feed: start_rides(feed, dimension, table, checkpoint, sinks.AVAILABLE_NOW),
+        publish,
+    )
+    rides = sinks.read_batches(spark, table, ddl(RIDES))
+    return rides.groupBy("batch_id", "pickup_zone").agg(F.count(F.lit(1)).alias("trips"))
+
+
+def stream_checked_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Rides from files of which some do not fit, and why those were set aside.
+
+    A quarter of the trips come with another type that fits, a quarter with one that does not,
+    and a quarter without a column.
+    """
+    path, table = run_folder(spark, "feed"), run_folder(spark, "rides")
+    feed = events.feed(spark, folder).withColumn("part", F.pmod("trip_id", F.lit(4)))
+    shapes = (
+        lambda rows: rows,
+        lambda rows: rows.withColumn("passenger_count", F.col("passenger_count").cast("double")),
+        lambda rows: rows.withColumn("fare_amount", F.col("fare_amount").cast("string")),
+        lambda rows: rows.drop("tip_amount"),
+    )
+    for number, shape in enumerate(shapes):
+        rows = feed.filter(F.col("part") == number).select(*FEED)
+        shape(rows).write.mode("append").parquet(path)
+    dead = run_folder(spark, "dead-letters")
+    query = start_checked_rides(
+        spark,
+        path,
+        events.zones(spark, folder),
         table,
-        lambda trips: cleaning.clean(normalize.normalize_feed(trips, key=KEY)),
-        write_twice,
+        run_folder(spark, "checkpoint"),
+        dead,
+        sinks.AVAILABLE_NOW,
+    )
+    sinks.run_available(query)
+    letters = sinks.read_batches(spark, dead, ddl(DEAD_LETTERS))
+    rides = files.read_rides(spark, table).groupBy("pickup_zone").agg(F.count("*").alias("trips"))
+    return (
+        rides.select(F.lit("ride").alias("kind"), F.col("pickup_zone").alias("name"), "trips")
+        .unionByName(
+            letters.select("reason")
+            .distinct()
+            .select(F.lit("set aside").alias("kind"), F.col("reason").alias("name"))
+            .withColumn("trips", F.lit(None).cast("long"))
+        )
     )
-    stored = {name: kind for name, kind in RIDES.items() if not name.endswith("_zone")}
-    return sinks.read_batches(spark, table, f"trip_id bigint, {ddl(stored)}").drop("batch_id")
 
 
 # --- Sampling and the fare model -------------------------------------------------------------

@@ -57,6 +57,13 @@ PAYMENT_LABELS = {
     6: "Voided",
 }
 
+#: Column types of feed files, as Arrow names them, that can stand for a declared type.
+FEED_FILE_TYPES = {
+    "string": {"string", "large_string", "timestamp[us]", "timestamp[ms]", "timestamp[ns]"},
+    "double": {"double", "float", "int64", "int32"},
+    "bigint": {"int64", "int32", "int16", "double"},
+}
+
 UNKNOWN = "Unknown"
 DEFAULT_TIP = 0.0
 DEFAULT_PASSENGERS = 1
@@ -108,6 +115,15 @@ RIDES = {
 
 MEASURES = ["fare_amount", "ride_duration_minutes", "trip_distance", "tip_amount"]
 
+#: The text of a CSV record that does not fit the feed's types.
+RECORD = "record"
+
+REJECTS = {**FEED, RECORD: "string", "reason": "string"}
+
+BATCH_COUNTS = {"arrived": "bigint", "kept": "bigint", "rejected": "bigint"}
+
+DEAD_LETTERS = {"path": "string", "reason": "string"}
+
 ROLLUP = {
     "pickup_zone": "string",
     "pickup_hour": "int",

@@ -83,14 +83,20 @@ def add_total(rollup: DataFrame, path: str) -> None:
     total.write.mode("append").parquet(path)
 
 
+#: The query of batches that were written before a table named the queries.
+EARLIER = "earlier"
+
+
 def compact_rides(spark: SparkSession, source: str, target: str) -> None:
     """Rewrites a table of many small files into a new folder of well-sized ones.
 
     The rebalance hint lets adaptive execution size the output files, splitting large
     partitions as well as joining small ones. A table of micro-batches keeps its partitions, so
-    that the stream can go on with the new folder.
+    that the stream can go on with the new folder; batches without a query get one.
     """
     rides = spark.read.schema(ddl(RIDES)).parquet(source)
-    by = ["batch_id"] if "batch_id" in rides.columns else []
+    if "batch_id" in rides.columns and "query_id" not in rides.columns:
+        rides = rides.withColumn("query_id", F.lit(EARLIER))
+    by = [name for name in ("query_id", "batch_id") if name in rides.columns]
     writer = rides.hint("rebalance", *by).write.mode("errorifexists")
     (writer.partitionBy(*by) if by else writer).parquet(target)

@@ -16,7 +16,8 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/runs"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None) or "spark-warehouse"
+        root = f"{warehouse.rstrip('/')}/runs"
     return f"{root.rstrip('/')}/tripflow/{purpose}-{uuid4().hex}"
 
 
@@ -38,3 +39,11 @@ def has_sink_log(spark: SparkSession, path: str) -> bool:
     gateway = spark.sparkContext._jvm
     log = gateway.org.apache.hadoop.fs.Path(path, "_spark_metadata")
     return log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log)
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that match a pattern."""
+    gateway = spark.sparkContext._jvm
+    wanted = gateway.org.apache.hadoop.fs.Path(pattern)
+    system = wanted.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [str(status.getPath().toString()) for status in system.globStatus(wanted) or []]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.schemas import FEED, ddl
+from tripflow.schemas import FEED, RECORD, ddl
 from tripflow.sources.folders import ensure_folder
 
 GLOBS = {"csv": "*.csv", "parquet": "*.parquet"}
@@ -18,6 +18,7 @@ def feed_stream(
     files_per_trigger: int | None = None,
     bytes_per_trigger: int | None = None,
     schema: str | None = None,
+    record: bool = False,
 ) -> DataFrame:
     """Stream of a folder's files of one format; ``path`` may have wildcards.
 
@@ -26,10 +27,16 @@ def feed_stream(
     trigger shows every arrival; for volume, leave it unset or limit bytes instead.
 
     A CSV file whose header does not match the schema stops the stream: reading it by position
-    would silently mix up columns.
+    would silently mix up columns. With ``record``, the rows have that column as well: the text of
+    a CSV record that does not fit the types, and null for all others. Without it such a record
+    has nulls for what does not fit.
     """
+    shape = schema or ddl(FEED)
+    if record:
+        # A Parquet file has no such column, and reads as null.
+        shape += f", {RECORD} string"
     reader = (
-        spark.readStream.schema(schema or ddl(FEED))
+        spark.readStream.schema(shape)
         .format(fmt)
         .option("pathGlobFilter", GLOBS[fmt])
     )
@@ -39,11 +46,24 @@ def feed_stream(
         reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
+        if record:
+            reader = reader.option("columnNameOfCorruptRecord", RECORD)
     return reader.load(ensure_folder(spark, path))
 
 
 def all_feeds(spark: SparkSession, path: str, **limits) -> DataFrame:
     """CSV and Parquet files of one folder as one stream, with one checkpoint and one sink."""
-    return feed_stream(spark, path, "csv", **limits).unionByName(
-        feed_stream(spark, path, "parquet", **limits)
-    )
+    csv, parquet = (feed_stream(spark, path, fmt, **limits) for fmt in GLOBS)
+    return csv.unionByName(parquet)
+
+
+def file_stream(
+    spark: SparkSession, path: str, fmt: str, *, files_per_trigger: int | None = None
+) -> DataFrame:
+    """Stream of the ``path`` of a folder's files of one format; their contents are not read."""
+    shape = "path string, modificationTime timestamp, length long, content binary"
+    reader = spark.readStream.format("binaryFile").schema(shape)
+    reader = reader.option("pathGlobFilter", GLOBS[fmt])
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.load(ensure_folder(spark, path)).select("path")
