@@ -38,7 +38,9 @@ ID = np.dtype("<u4")
 _NATIVE = sys.byteorder == "little" and array("I").itemsize == 4
 LONG_CHARS = 32_768
 LEAF = 1_024
-REMEMBERED = 700_000
+#: About how many bytes of runs a worker remembers, and what each costs besides its text and ids.
+REMEMBERED = 100_000_000
+RUN_BYTES = 200
 #: Lower-case letters that merges, normalisation and the word pattern treat one by one.
 _PLAIN = re.compile("[a-zß-öø-ÿ]+")
 _MARKS = ".,;:!?*$%&#"
@@ -92,22 +94,25 @@ class Codec:
         self.leaf = leaf
         self.remembered = remembered
         self.memory: dict[str, bytes] = {}
+        self.held = 0
 
     # --- encoding ---
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
-        runs = text.split(" ")
+        runs = text.replace("\n", " ").split(" ")
         memory = self.memory
         try:
             return b"".join([memory[run] for run in runs])
         except KeyError:
-            self._learn([run for run in dict.fromkeys(runs) if run not in memory])
-        if len(self.memory) > self.remembered:
-            found = b"".join([memory[run] for run in runs])
-            self.memory = {}
-            return found
-        return b"".join([memory[run] for run in runs])
+            fresh = [run for run in dict.fromkeys(runs) if run not in memory]
+            self._learn(fresh)
+        found = b"".join([memory[run] for run in runs])
+        # Texts take up to four bytes a character.
+        self.held += sum([RUN_BYTES + 4 * len(run) + len(memory[run]) for run in fresh])
+        if self.held > self.remembered:
+            self.memory, self.held = {}, 0
+        return found
 
     def _learn(self, runs: list[str]) -> None:
         """Encodes runs that are not known; plain words without their end marks, by the merges."""

@@ -12,7 +12,8 @@ are all of the same size, little-endian, in slot order. A reader resumes at any
 dividing; a writer resumes by making those shards whose rows are not all there.
 
 Defined results: null and empty texts have no sequence. Repeated rows have sequences of their
-own. An empty table gives no rows. Extra columns play no part.
+own. An empty table gives no rows. A very long text is encoded whole in one task and has as many
+sequences as it needs. Extra columns play no part.
 """
 
 from __future__ import annotations
@@ -27,9 +28,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm.bpe import ID, codec
-from tripflow.llm.common import id_or_none, map_batches, saved, texts_of, with_null_ids
+from tripflow.llm.common import id_or_none, saved, texts_of, with_null_ids
 from tripflow.sources.folders import run_folder
 
+BATCH_DOCS = 500
 RECORD = "slot long, shard long, doc_id long, number int, n_tokens int, ids binary"
 
 
@@ -107,8 +109,14 @@ def sequences(docs: DataFrame, path: str | None, params: OrderParams) -> DataFra
                 rows.append((doc_id, number, len(part) // width, part))
         return pd.DataFrame(rows, columns=["doc_id", "number", "n_tokens", "ids"])
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            # A few documents at a time: what waits for Spark stays small.
+            for start in range(0, len(batch), BATCH_DOCS):
+                yield cut(batch.iloc[start : start + BATCH_DOCS])
+
     ids = docs.select(id_or_none(), "text")
-    return map_batches(ids, cut, "doc_id long, number int, n_tokens int, ids binary")
+    return ids.mapInPandas(run, "doc_id long, number int, n_tokens int, ids binary")
 
 
 def _id_type(path: str | None) -> np.dtype:
@@ -144,7 +152,7 @@ def materialise(
 
     Ids are those of the vocabulary file at ``path``, or bytes without one.
 
-    Into an existing ``folder`` only missing or incomplete shards are written.
+    Into an existing ``folder`` only missing or incomplete shards are written, each of them whole.
     """
     params = params or OrderParams()
     spark = docs.sparkSession
@@ -172,10 +180,13 @@ def materialise(
     filled = F.rpad("ids", F.lit(params.length * kind.itemsize), stop)
     # Equal strides, so dealing by shard is already even; one range of slots is one shard.
     dealt = placed.repartitionById(shards, F.col("shard").cast("int"))
+    # The shards that are written are written whole, over what an earlier run left of them.
     (
         dealt.sortWithinPartitions("shard", "slot")
         .withColumn("ids", filled)
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("parquet.enable.dictionary", "false")
         .option("compression", "zstd")
         .partitionBy("shard")
         .parquet(target)
@@ -201,7 +212,7 @@ def missing_shards(
         F.col("id").alias("shard"),
         F.least(F.lit(params.stride), F.lit(total) - F.col("id") * params.stride).alias("all"),
     )
-    return wanted.join(have, "shard", "left").filter("rows is null or rows < all").select("shard")
+    return wanted.join(have, "shard", "left").filter("rows is null or rows <> all").select("shard")
 
 
 def read_slots(spark: SparkSession, folder: str, first: int = 0, params: OrderParams | None = None):
