@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +51,36 @@ def map_batches(
     return rows.mapInPandas(run, schema)
 
 
+def keep_rows(
+    rows: DataFrame,
+    work: Callable[[list[str]], tuple[list[bool], list[str] | None]],
+    lengths: str | None = None,
+) -> DataFrame:
+    """The rows whose text ``work`` keeps, in all their columns, with the texts it gives back.
+
+    Rows stay Arrow batches, in which every column keeps its type: numbers beside nulls do not
+    turn into floats. ``lengths`` names a column that follows the text, if it is there.
+    """
+    names = rows.columns
+    at = names.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            given = [text or "" for text in batch.column(at).to_pylist()]
+            kept, texts = work(given)
+            columns = [column.filter(pa.array(kept, pa.bool_())) for column in batch.columns]
+            if texts is not None:
+                own = [text for text, keep in zip(texts, kept, strict=True) if keep]
+                columns[at] = pa.array(own, columns[at].type)
+                if lengths in names:
+                    place = names.index(lengths)
+                    sizes = [len(text) for text in own]
+                    columns[place] = pa.array(sizes, pa.int64()).cast(columns[place].type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def with_field(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType(
         [*schema.fields, *(T.StructField(name, kind) for name, kind in fields)]
@@ -69,6 +100,20 @@ def with_null_ids(rows: DataFrame, name: str = "doc_id") -> DataFrame:
     return rows.withColumn(name, F.nullif(F.col(name), F.lit(NO_ID)))
 
 
+def row_identity(rows: DataFrame, names: list[str]) -> Column:
+    """A hash of some columns of a row; nulls count, in the column where they are.
+
+    Maps cannot be hashed and go by their JSON text, entries in the order they are stored in.
+    """
+    kinds = {field.name: field.dataType for field in rows.schema.fields}
+    columns = []
+    for name in names:
+        column = F.col(f"`{name}`")
+        own = F.to_json(F.struct(column)) if "map<" in kinds[name].simpleString() else column
+        columns += [own, column.isNull()]
+    return F.xxhash64(*columns)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -36,7 +36,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import LOWER_BYTES, id_or_none, saved, texts_of, with_null_ids
+from tripflow.llm.common import (
+    LOWER_BYTES,
+    id_or_none,
+    row_identity,
+    saved,
+    texts_of,
+    with_null_ids,
+)
 
 _REMEMBERED = 500_000
 _MIX = np.array(
@@ -123,19 +130,14 @@ def _node_of(shingles: np.ndarray) -> int:
     return int.from_bytes(digest, "little", signed=True)
 
 
-def row_identity(names: list[str]) -> Column:
-    """A hash of a row's columns; nulls count, in the column where they are."""
-    columns = [F.col(f"`{name}`") for name in names]
-    return F.xxhash64(*columns, *[column.isNull() for column in columns])
-
-
 def sketches(
     docs: DataFrame, params: NearParams, names: tuple[str, ...] = ("doc_id", "text")
 ) -> DataFrame:
-    """``doc_id, row, n_shingles, node, signature, bands`` per document.
+    """``doc_id, row, n_shingles, node, signature, marks, bands`` per document.
 
-    ``row`` is the identity of the columns ``names``. ``node`` names the set of shingles, ``signature`` has one byte per minimum, ``bands`` a hash
-    per band. Empty sets have none of the three.
+    ``row`` is the identity of the columns ``names``. ``node`` names the set of shingles,
+    ``signature`` has one byte per minimum, ``bands`` a hash per band and ``marks`` its lower 32
+    bits. Empty sets have none of the four.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -148,7 +150,7 @@ def sketches(
                 for text in texts_of(part["text"]):
                     own = shingler.of(text)
                     if not len(own):
-                        out.append((0, None, None, None))
+                        out.append((0, None, None, None, None))
                         continue
                     least = minima(own, factors, summands)
                     rows = least.reshape(params.bands, params.rows).tobytes()
@@ -157,9 +159,10 @@ def sketches(
                         xxhash.xxh3_64_intdigest(rows[at : at + size], seed=at) - (1 << 63)
                         for at in range(0, len(rows), size)
                     ]
+                    marks = (np.array(own_bands, dtype=np.int64) & 0xFFFFFFFF).astype("<u4")
                     out.append((len(own), _node_of(own), (least & 255).astype(np.uint8).tobytes(),
-                                own_bands))
-                counts, nodes, signs, bands = zip(*out, strict=True)
+                                marks.tobytes(), own_bands))
+                counts, nodes, signs, marks, bands = zip(*out, strict=True)
                 yield pd.DataFrame(
                     {
                         "doc_id": part["doc_id"].array,
@@ -167,13 +170,14 @@ def sketches(
                         "n_shingles": counts,
                         "node": pd.array(nodes, dtype="Int64"),
                         "signature": signs,
+                        "marks": marks,
                         "bands": bands,
                     }
                 )
 
     schema = "doc_id long, row long, n_shingles long, node long, signature binary"
-    schema += ", bands array<long>"
-    rows = docs.select(id_or_none(), row_identity(list(names)).alias("row"), "text")
+    schema += ", marks binary, bands array<long>"
+    rows = docs.select(id_or_none(), row_identity(docs, list(names)).alias("row"), "text")
     return with_null_ids(rows.mapInPandas(run, schema))
 
 
@@ -255,7 +259,7 @@ def _block_pairs(large: DataFrame, params: NearParams) -> DataFrame:
         left.withColumn("side", F.lit(1))
         .unionByName(right.withColumn("side", F.lit(2)))
         .withColumn("bucket", F.xxhash64("bucket", "left", "right"))
-        .select("bucket", "path", "side", "node", "group", "signature")
+        .select("bucket", "path", "side", "node", "group", "signature", "marks")
     )
 
 
@@ -272,6 +276,10 @@ def _signs(rows: pd.DataFrame, params: NearParams) -> np.ndarray:
     return np.frombuffer(b"".join(rows["signature"]), np.uint8).reshape(-1, width)
 
 
+def _marks(rows: pd.DataFrame, params: NearParams) -> np.ndarray:
+    return np.frombuffer(b"".join(rows["marks"]), "<u4").reshape(-1, params.bands)
+
+
 def _least_equal(params: NearParams) -> int:
     return int(np.ceil(params.least_equal * params.bands * params.rows))
 
@@ -308,16 +316,21 @@ def _forest(params: NearParams):
 
 
 def _open_pairs(
-    groups: np.ndarray, signs: np.ndarray, sides: np.ndarray, path: list[int], params: NearParams
+    groups: np.ndarray,
+    signs: np.ndarray,
+    marks: np.ndarray,
+    sides: np.ndarray,
+    path: list[int],
+    params: NearParams,
 ) -> Iterator[tuple[int, np.ndarray]]:
     """(member, later members) of one bucket: other component, alike enough, not met before.
 
-    In a pair of blocks, members of side 1 come first and meet those of side 2 only.
+    A pair met before if it shares an earlier band, by ``marks``: the buckets are those of whole
+    bands, and a few bytes of the minima would take a pair for met that never was. In a pair of blocks, members of side 1 come first and meet those of side 2 only.
     """
     if (groups == groups[0]).all():
         return
     least = _least_equal(params)
-    by_band = signs.reshape(len(signs), params.bands, params.rows)
     inside = np.zeros(params.bands, dtype=bool)
     inside[path] = True
     before = ~inside
@@ -329,7 +342,7 @@ def _open_pairs(
         if len(later):
             later = later[(signs[later] == signs[at]).sum(axis=1) >= least]
         if len(later) and before.any():
-            shared = (by_band[later][:, before] == by_band[at][before]).all(axis=2)
+            shared = marks[later][:, before] == marks[at][before]
             later = later[~shared.any(axis=1)]
         if len(later):
             yield at, later
@@ -340,17 +353,18 @@ def _members(params: NearParams):
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["bucket", "side", "node"], kind="stable").reset_index(drop=True)
-        signs, groups = _signs(rows, params), rows["group"].to_numpy(np.int64)
+        signs, marks = _signs(rows, params), _marks(rows, params)
+        groups = rows["group"].to_numpy(np.int64)
         sides = rows["side"].to_numpy(np.int64)
         needed = np.zeros(len(rows), dtype=bool)
         for take in _spans(rows):
             path = list(rows["path"].iloc[take[0]])
             for at, later in _open_pairs(
-                groups[take], signs[take], sides[take], path, params
+                groups[take], signs[take], marks[take], sides[take], path, params
             ):
                 needed[take[at]] = True
                 needed[take[later]] = True
-        return rows.loc[needed, ["bucket", "path", "side", "node", "group", "signature"]]
+        return rows.loc[needed, ["bucket", "path", "side", "node", "group", "signature", "marks"]]
 
     return work
 
@@ -360,7 +374,8 @@ def _late_links(params: NearParams):
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["bucket", "side", "node"], kind="stable").reset_index(drop=True)
-        signs, groups = _signs(rows, params), rows["group"].to_numpy(np.int64)
+        signs, marks = _signs(rows, params), _marks(rows, params)
+        groups = rows["group"].to_numpy(np.int64)
         sides = rows["side"].to_numpy(np.int64)
         nodes = rows["node"].to_numpy(np.int64)
         shingler = Shingles(params.width)
@@ -371,7 +386,7 @@ def _late_links(params: NearParams):
             sets.clear()
             path = list(rows["path"].iloc[take[0]])
             for at, later in _open_pairs(
-                groups[take], signs[take], sides[take], path, params
+                groups[take], signs[take], marks[take], sides[take], path, params
             ):
                 for other in later:
                     if own[other] == own[at]:
@@ -424,7 +439,7 @@ def _texts(
 ) -> DataFrame:
     """``node, text`` of some classes, each from one row, whatever rows share its id."""
     wanted = classes.select("node", F.col("best.row").alias("row")).join(nodes, "node", "left_semi")
-    own = docs.select(row_identity(list(names)).alias("row"), "text")
+    own = docs.select(row_identity(docs, list(names)).alias("row"), "text")
     met = own.join(wanted, "row").select("node", "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -492,6 +507,7 @@ def _connected(
             F.min("doc_id").alias("least"),
             F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "row")).alias("best"),
             F.min("signature").alias("signature"),
+            F.min("marks").alias("marks"),
             F.min("bands").alias("bands"),
         ),
         "near-classes",
@@ -512,9 +528,11 @@ def _connected(
     texts = saved(_texts(docs, classes, named, params, names), "near-texts")
     links = saved(confirmed(first, texts, params), "near-links")
     groups = saved(connect(links), "near-groups")
-    grouped = signed.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
+    marked = classes.select("node", "signature", "marks")
+    grouped = marked.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
     likely = grouped.join(named, "node", "left_semi")
     shape = "bucket long, path array<int>, side int, node long, group long, signature binary"
+    shape += ", marks binary"
     needed = (
         _chunked(buckets, params)
         .join(likely, "node")
@@ -588,7 +606,7 @@ def drop_near_copies(docs: DataFrame, params: NearParams | None = None) -> DataF
     wordless = found.filter("node is null").select("row")
     counts = found.groupBy("row").agg(F.count(F.lit(1)).alias("_rows"))
     kept = best.unionByName(wordless).distinct().join(counts, "row")
-    rows = docs.select(F.struct("*").alias("_row"), row_identity(docs.columns).alias("row"))
+    rows = docs.select(F.struct("*").alias("_row"), row_identity(docs, docs.columns).alias("row"))
     met = rows.join(kept, "row")
     several = met.filter("_rows > 1").groupBy("row").agg(F.first("_row").alias("_row"))
     return met.filter("_rows = 1").select("_row.*").unionByName(several.select("_row.*"))
