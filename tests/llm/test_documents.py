@@ -378,3 +378,65 @@ def test_near_copies_are_dropped_by_row(spark):
     assert len(one) == 1 and one[0][0] is None
     want = [(3, first, "a"), (7, second, "b"), (7, "", "b"), (None, None, "x"), (None, "", "x")]
     assert Counter(kept) == Counter([*want, *one])
+
+
+def test_a_resumed_order_replaces_incomplete_shards(spark, docs, tmp_path):
+    params = training_order.OrderParams(length=64, stride=16)
+    folder = str(tmp_path / "o")
+    whole = training_order.materialise(docs, folder=folder, params=params).collect()
+    shard = training_order.read_slots(spark, folder).filter("shard = 0").limit(10).collect()
+    cut = spark.createDataFrame(shard, training_order.RECORD).drop("shard")
+    cut.write.mode("overwrite").parquet(f"{folder}/shard=0")
+    double = training_order.read_slots(spark, folder).filter("shard = 1").collect()
+    again = spark.createDataFrame(double, training_order.RECORD).drop("shard")
+    again.write.mode("append").parquet(f"{folder}/shard=1")
+    assert training_order.read_slots(spark, folder).count() == len(whole) + 10
+    found = training_order.materialise(docs, folder=folder, params=params).collect()
+    assert Counter(map(tuple, found)) == Counter(map(tuple, whole))
+
+
+def test_remembered_runs_are_bounded_in_bytes():
+    own = bpe.Codec(tokenizer_path(), remembered=20_000)
+    reference = Tokenizer.from_file(tokenizer_path())
+    for seed in range(20):
+        text = cases.prose(seed, 60) + "\n" + "x" * 900
+        ids = np.frombuffer(own.encode(text), "<u4").tolist()
+        assert ids == reference.encode(text, add_special_tokens=False).ids
+        assert own.held <= 20_000
+
+
+def test_pairs_that_share_one_whole_band_late_stay_open():
+    """A band with three equal minima and one equal byte is no bucket in which a pair met."""
+    params = near_dedup.NearParams()
+    signs = np.zeros((2, params.bands * params.rows), dtype=np.uint8)
+    marks = np.arange(2 * params.bands, dtype="<u4").reshape(2, -1)
+    marks[1, 7] = marks[0, 7]
+    groups, sides = np.array([1, 2]), np.zeros(2, dtype=np.int64)
+    found = list(near_dedup._open_pairs(groups, signs, marks, sides, [7], params))
+    assert [(at, later.tolist()) for at, later in found] == [(0, [1])]
+    marks[1, 3] = marks[0, 3]
+    assert not list(near_dedup._open_pairs(groups, signs, marks, sides, [7], params))
+    assert list(near_dedup._open_pairs(groups, signs, marks, sides, [3], params))
+
+
+def test_hardly_any_linked_pair_is_open_in_no_bucket():
+    params = near_dedup.NearParams()
+    draw = np.random.default_rng(3)
+    pairs = 20_000
+    minima = draw.integers(0, 1 << 32, (2, pairs, params.bands * params.rows), dtype=np.uint64)
+    same = draw.random(minima.shape[1:]) < 0.8
+    minima[1][same] = minima[0][same]
+    by_band = minima.reshape(2, pairs, params.bands, params.rows)
+    met = (by_band[0] == by_band[1]).all(axis=2)
+    signs = (minima & 255).astype(np.uint8)
+    groups, sides = np.array([1, 2]), np.zeros(2, dtype=np.int64)
+    lost = 0
+    for at in range(pairs):
+        marks = np.arange(2 * params.bands).reshape(2, -1)
+        marks[1][met[at]] = marks[0][met[at]]
+        shared = np.flatnonzero(met[at])
+        lost += not any(
+            list(near_dedup._open_pairs(groups, signs[:, at], marks, sides, [band], params))
+            for band in shared[:1]
+        )
+    assert lost <= pairs * 4e-4

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from tripflow.llm.common import (
     ASCII_SPACE,
     id_or_none,
+    keep_rows,
     map_batches,
     texts_of,
     with_null_ids,
@@ -111,21 +112,28 @@ def repeated_words(tokens: list[bytes], width: int = 5) -> int:
     return covered
 
 
-def judge(text: str | None, rules: LineRules) -> tuple:
-    """The values of ``COLUMNS`` for one text."""
+def judge(text: str | None, rules: LineRules, passed: list[str] | None = None) -> tuple:
+    """The values of ``COLUMNS`` for one text.
+
+    ``passed`` gets the lines that pass, those without a word included.
+    """
     text = text or ""
     tokens = words(text)
     seen: set[str] = set()
     duplicates = lost = 0
+    passed = [] if passed is None else passed
     for line in text.split("\n"):
         own = len(words(line))
         if not own:
+            passed.append(line)
             continue
         again = line in seen
         seen.add(line)
         duplicates += again
         if line_failure(line, rules, again):
             lost += own
+        else:
+            passed.append(line)
     repeats = repeated_words(tokens)
     failed = len(tokens) < rules.min_words or 100 * repeats > rules.max_repeat_percent * len(tokens)
     return (
@@ -155,13 +163,8 @@ def verdicts(docs: DataFrame, rules: LineRules | None = None) -> DataFrame:
 
 def clean_text(text: str | None, rules: LineRules | None = None) -> str:
     """The lines that pass, with lines that have no word as they are."""
-    rules = rules or LineRules()
-    seen: set[str] = set()
-    passed = []
-    for line in (text or "").split("\n"):
-        if not words(line) or not line_failure(line, rules, line in seen):
-            passed.append(line)
-        seen.add(line)
+    passed: list[str] = []
+    judge(text, rules or LineRules(), passed)
     return "\n".join(passed)
 
 
@@ -173,13 +176,12 @@ def clean(docs: DataFrame, rules: LineRules | None = None, strip_lines: bool = T
     """
     rules = rules or LineRules()
 
-    def work(batch: pd.DataFrame) -> pd.DataFrame:
-        kept = [judge(text, rules)[-1] for text in texts_of(batch["text"])]
-        batch = batch[kept]
-        if strip_lines:
-            batch = batch.assign(text=[clean_text(text, rules) for text in batch["text"]])
-            if "n_chars" in batch:
-                batch = batch.assign(n_chars=batch["text"].str.len())
-        return batch
-
-    return map_batches(docs, work, docs.schema)
+    def work(texts: list[str]) -> tuple[list[bool], list[str] | None]:
+        kept, cleaned = [], []
+        for text in texts:
+            passed: list[str] = []
+            kept.append(judge(text, rules, passed)[-1])
+            cleaned.append("\n".join(passed))
+        return kept, cleaned if strip_lines else None
+
+    return keep_rows(docs, work, "n_chars")

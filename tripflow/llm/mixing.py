@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import id_or_none, saved, with_null_ids
+from tripflow.llm.common import id_or_none, row_identity, saved, with_null_ids
 
 #: Rows of one source that meet in one leaf, and open documents that meet in one node.
 LEAF_ROWS = 4_096
@@ -79,6 +79,19 @@ def _ranked(sources: DataFrame) -> DataFrame:
     )
 
 
+def _above(cap: Column, weights: tuple[int, ...], level: Fraction) -> Column:
+    """Whether a source's cap is below its weight's share, in whole numbers at every size.
+
+    ``cap < weight * level`` holds for whole caps up to ``ceil(weight * level) - 1``, which is
+    worked out here for each of the few weights.
+    """
+    found = F.lit(False)
+    for weight in sorted(set(weights)):
+        bound = min(-(-weight * level.numerator // level.denominator), (1 << 63) - 1)
+        found = F.when(F.col("weight") == weight, cap < F.lit(bound).cast("long")).otherwise(found)
+    return found
+
+
 def source_targets(units: DataFrame, mix: Mix) -> DataFrame:
     """``source, source_rows, source_size, target`` per source; only sums reach the driver.
 
@@ -99,9 +112,7 @@ def source_targets(units: DataFrame, mix: Mix) -> DataFrame:
     level = Fraction(wanted, whole.w) if whole.w else Fraction(0)
     free = None
     while whole.w:
-        above = cap * level.denominator < F.col("weight") * level.numerator
-        if max(level.numerator, level.denominator) >= 1 << 40:
-            above = cap.cast("double") < F.col("weight") * float(level)
+        above = _above(cap, mix.weights, level)
         sums = weighed.agg(
             F.sum(F.when(above, cap)).alias("capped"),
             F.sum(F.when(~above, F.col("weight"))).alias("w"),
@@ -327,7 +338,7 @@ def taken_words(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
 
 def mix_documents(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
     """The mixed documents, a row per copy, in all their columns."""
-    identity = F.xxhash64(*[F.col(f"`{name}`") for name in docs.columns])
+    identity = row_identity(docs, docs.columns)
     decided = decide(_units(docs, identity), mix or Mix())
     copies = decided.filter("copies > 0").select(
         F.col("doc_id").alias("_doc_id"),
@@ -342,7 +353,12 @@ def mix_documents(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
     met = rows.join(copies, same)
     once = met.filter("_times = 1")
     # Equal rows share their copies: one of them stands for all.
-    shared = met.filter("_times > 1").dropDuplicates(["_row"])
+    shared = (
+        met.filter("_times > 1")
+        .groupBy("_own", "_doc_id")
+        .agg(*[F.first(name).alias(name) for name in ("_row", "_copies")])
+    )
+    once, shared = (part.select("_row", "_copies") for part in (once, shared))
     return (
         once.unionByName(shared)
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))

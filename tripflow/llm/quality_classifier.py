@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tripflow.llm.common import (
     ASCII_SPACE,
     id_or_none,
+    keep_rows,
     map_batches,
     texts_of,
     with_null_ids,
@@ -48,6 +49,8 @@ FEATURES = (
 SYMBOLS = "#*$%&|<>"
 DIGITS = "0123456789"
 MARKS = ".,;:?"
+#: From this score on a document counts as good.
+THRESHOLD = 0.7
 _CAPITALS = bytes(range(65, 91))
 
 
@@ -182,7 +185,11 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _measure(batch: pd.DataFrame) -> np.ndarray:
-    found = [statistics(text) for text in texts_of(batch["text"])]
+    return _measure_texts(texts_of(batch["text"]))
+
+
+def _measure_texts(texts: list[str]) -> np.ndarray:
+    found = [statistics(text) for text in texts]
     return np.array(found, dtype=float).reshape(len(found), len(FEATURES))
 
 
@@ -222,7 +229,7 @@ def train(docs: DataFrame, labels: DataFrame, params: BoostParams | None = None)
     )
 
 
-def score_documents(docs: DataFrame, forest: Forest, threshold: float = 0.7) -> DataFrame:
+def score_documents(docs: DataFrame, forest: Forest, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every document."""
 
     def work(batch: pd.DataFrame) -> pd.DataFrame:
@@ -243,10 +250,15 @@ def score_documents(docs: DataFrame, forest: Forest, threshold: float = 0.7) ->
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
-def keep_good(docs: DataFrame, forest: Forest, least: float = 0.5) -> DataFrame:
-    """The documents that score ``least`` or more, in all their columns."""
+def keep_good(docs: DataFrame, forest: Forest, least: float = THRESHOLD) -> DataFrame:
+    """The documents that score ``least`` or more, in all their columns.
 
-    def work(batch: pd.DataFrame) -> pd.DataFrame:
-        return batch[forest.score(_measure(batch)) >= least]
+    Trees that had no label to learn from say nothing, and all documents stay.
+    """
+    if not forest.base and not forest.leaf.any():
+        return docs
+
+    def work(texts: list[str]) -> tuple[list[bool], list[str] | None]:
+        return (forest.score(_measure_texts(texts)) >= least).tolist(), None
 
-    return map_batches(docs, work, docs.schema)
+    return keep_rows(docs, work)
