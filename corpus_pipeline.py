@@ -19,11 +19,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that boosted trees, fitted on the corpus's labels, think likelier bad go."""
+    """Documents that boosted trees do not predict to be good go.
+
+    The trees are fitted on the labels of the documents as they are here, failing lines removed.
+    """
     importable(spark)
-    corpus = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality_classifier.keep_good(docs, quality_classifier.train(corpus, labels))
+    return quality_classifier.keep_good(docs, quality_classifier.train(docs, labels))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
