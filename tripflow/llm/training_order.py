@@ -95,15 +95,22 @@ def numbers_of(places: np.ndarray, total: int, params: OrderParams) -> np.ndarra
 
 
 def sequences(docs: DataFrame, path: str | None, params: OrderParams) -> DataFrame:
-    """``doc_id, number, n_tokens, ids`` per sequence; ids without the filling."""
-    width = _id_type(path).itemsize
+    """``doc_id, number, n_tokens, ids`` per sequence; ids without the filling.
+
+    Ids have the narrowest type that holds the vocabulary's.
+    """
+    kind = _stored_type(path)
+    width = kind.itemsize
 
     def cut(batch: pd.DataFrame) -> pd.DataFrame:
         encode = codec(path).encode if path else str.encode
+        narrow = path and kind != ID
         rows = []
         size = params.length * width
         for doc_id, text in zip(batch["doc_id"], texts_of(batch["text"]), strict=True):
             ids = encode(text)
+            if narrow:
+                ids = np.frombuffer(ids, ID).astype(kind).tobytes()
             for number, at in enumerate(range(0, len(ids), size)):
                 part = ids[at : at + size]
                 rows.append((doc_id, number, len(part) // width, part))
@@ -123,6 +130,26 @@ def _id_type(path: str | None) -> np.dtype:
     return ID if path else np.dtype("<u1")
 
 
+def _stored_type(path: str | None) -> np.dtype:
+    """The type of ids until they are written."""
+    if path and len(codec(path).tokens) <= 1 << 16:
+        return np.dtype("<u2")
+    return _id_type(path)
+
+
+def _widened(column: pa.Array, kind: np.dtype) -> pa.Array:
+    """A batch's narrow ids as ``kind``, all at once."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)
+    offsets = offsets[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    ids = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.zeros(0, np.uint8)
+    wide = ids.view("<u2").astype(kind)
+    starts = (offsets - offsets[0]) * (kind.itemsize // 2)
+    buffers = [None, pa.py_buffer(starts.tobytes()), pa.py_buffer(wide.tobytes())]
+    return pa.Array.from_buffers(pa.large_binary(), len(column), buffers).cast(pa.binary())
+
+
 def numbered(rows: DataFrame) -> tuple[DataFrame, int]:
     """Written rows with ``sequence``, gapless from 0: one count per part reaches the driver."""
     parts = rows.withColumns(
@@ -180,6 +207,14 @@ def materialise(
     filled = F.rpad("ids", F.lit(params.length * kind.itemsize), stop)
     # Equal strides, so dealing by shard is already even; one range of slots is one shard.
     dealt = placed.repartitionById(shards, F.col("shard").cast("int"))
+    if _stored_type(path) != kind:
+        # Narrow ids cross the shuffle, and get their width where they are written.
+        def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                own = [*batch.columns[:-1], _widened(batch.columns[-1], kind)]
+                yield pa.RecordBatch.from_arrays(own, _names())
+
+        dealt = dealt.mapInArrow(widen, RECORD)
     # The shards that are written are written whole, over what an earlier run left of them.
     (
         dealt.sortWithinPartitions("shard", "slot")
