@@ -7,39 +7,64 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tripflow.operators.display import fare_card
 from tripflow.operators.metrics import average_fare_by_hour
 from tripflow.operators.normalize import normalize_feed
 from tripflow.operators.requests import rejected_requests, valid_requests
 from tripflow.plans import fares, reports
-from tripflow.schemas import FOREST_DEPTH, FOREST_TREES, TRAINING_SAMPLE_ROWS
+from tripflow.schemas import FOREST_DEPTH, FOREST_TREES, TRAINING_SAMPLE_ROWS, TRIP
 from tripflow.sources import files
-from tripflow.sources.folders import run_folder
+from tripflow.sources.folders import matching, run_folder
+from tripflow.sources.footers import read_history
 from tripflow.streaming import feeds, sinks
-from tripflow.streaming.rides import start_rides
+from tripflow.streaming.rides import Beside, ZoneVersions, start_checked_rides, start_rides
+
+
+def _history(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    """Historical trips; file by file where their types differ."""
+    if args.mixed_types:
+        return read_history(spark, args.trips, TRIP)
+    return files.read_trips(spark, args.trips)
+
+
+def _zones(spark: SparkSession, path: str | None) -> DataFrame | None:
+    """The zone dimension, if there is one."""
+    if not path or not matching(spark, path):
+        return None
+    return files.read_zones(spark, path)
 
 
 def feed(spark: SparkSession, args: argparse.Namespace) -> None:
     """Normalise historical trips into feed files."""
-    rows = normalize_feed(files.read_trips(spark, args.trips))
+    rows = normalize_feed(_history(spark, args))
     files.write_feed(rows, args.feed, args.rows_per_file, args.format)
 
 
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     """Clean the CSV and Parquet files of a feed folder into the ride table, as they come."""
-    rows = feeds.all_feeds(
-        spark,
-        args.feed,
-        files_per_trigger=args.files_per_trigger,
-        bytes_per_trigger=args.bytes_per_trigger,
-    )
     trigger = sinks.AVAILABLE_NOW if args.available_now else None
-    zones = files.read_zones(spark, args.zones)
-    query = start_rides(
-        rows, zones, args.rides, args.checkpoint, trigger, args.rollup
-    )
+    if args.zone_versions:
+        zones = ZoneVersions(spark, args.zones)
+    else:
+        zones = files.read_zones(spark, args.zones)
+    place = (zones, args.rides, args.checkpoint)
+    beside = Beside(args.rollup, args.rejects, args.counts)
+    if args.dead_letters:
+        limit = {"files_per_trigger": args.files_per_trigger} if args.files_per_trigger else {}
+        query = start_checked_rides(
+            spark, args.feed, *place, args.dead_letters, trigger, beside=beside, **limit
+        )
+    else:
+        rows = feeds.all_feeds(
+            spark,
+            args.feed,
+            files_per_trigger=args.files_per_trigger,
+            bytes_per_trigger=args.bytes_per_trigger,
+            record=beside.judges,
+        )
+        query = start_rides(rows, *place, trigger, **vars(beside))
     query.awaitTermination()
 
 
@@ -53,7 +78,7 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
     previous = files.read_totals(spark, args.totals) if args.totals else None
     pages = {
         **reports.overview(rollup, previous),
-        **reports.analytics(rollup, files.read_zones(spark, args.zones)),
+        **reports.analytics(rollup, _zones(spark, args.zones)),
         **reports.latest(rides),
     }
     for name, page in pages.items():
@@ -65,7 +90,7 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
     """Train the fare model on historical trips, print its error and save it."""
-    trips = files.read_trips(spark, args.trips)
+    trips = _history(spark, args)
     training = fares.train_fare_model(
         trips,
         files.read_zones(spark, args.zones),
@@ -105,7 +130,9 @@ def parser() -> argparse.ArgumentParser:
         sub.set_defaults(job=job)
         return sub
 
+    mixed = {"action": "store_true", "help": "files differ in the types of their columns"}
     sub = command(feed, "trips", "feed")
+    sub.add_argument("--mixed-types", **mixed)
     sub.add_argument("--rows-per-file", type=int, default=1_000_000)
     sub.add_argument("--format", choices=("parquet", "csv"), default="parquet")
 
@@ -114,13 +141,21 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--bytes-per-trigger", type=int)
     sub.add_argument("--available-now", action="store_true", help="stop when the folder is done")
     sub.add_argument("--rollup", help="keep a table of sums for reports, by batch")
+    sub.add_argument("--rejects", help="keep the rows that are no rides, with the reason")
+    sub.add_argument("--counts", help="keep how many rows arrived, stayed and were rejected")
+    sub.add_argument("--dead-letters", help="take Parquet files only, and list those that misfit")
+    sub.add_argument(
+        "--zone-versions", action="store_true", help="zones is a folder of version=N folders"
+    )
 
-    sub = command(report, "rides", "zones")
+    sub = command(report, "rides")
+    sub.add_argument("--zones", help="without zones, boroughs are left out")
     sub.add_argument("--rows", type=int, default=0)
     sub.add_argument("--totals", help="keep ride totals, to show what came in since last time")
     sub.add_argument("--rollup", help="read the sums that the stream keeps")
 
     sub = command(train, "trips", "zones", "model")
+    sub.add_argument("--mixed-types", **mixed)
     sub.add_argument("--key", nargs="+", help="columns that identify a trip")
     sub.add_argument("--sample-rows", type=int, default=TRAINING_SAMPLE_ROWS)
     sub.add_argument("--trees", type=int, default=FOREST_TREES)

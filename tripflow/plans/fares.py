@@ -7,10 +7,10 @@ of requests.
 
 from __future__ import annotations
 
-from functools import reduce
+from dataclasses import dataclass
+from functools import cached_property, reduce
 from math import ceil
 from operator import and_
-from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -45,11 +45,16 @@ FEATURES = [*NUMERIC_FEATURES, *INDEXES]
 ROWS_PER_PART = 10_000
 
 
-class FareTraining(NamedTuple):
+@dataclass
+class FareTraining:
     model: PipelineModel
     train: DataFrame
     test: DataFrame
-    rmse: float
+
+    @cached_property
+    def rmse(self) -> float:
+        """The error over the whole test part (runs a job, once, when it is asked for)."""
+        return fare_rmse(self.model.transform(self.test))
 
 
 def zone_indexer() -> StringIndexer:
@@ -118,26 +123,32 @@ def train_fare_model(
     sample_rows: int = TRAINING_SAMPLE_ROWS,
     **forest,
 ) -> FareTraining:
-    """Samples, splits, fits and evaluates (runs jobs).
+    """Samples, splits and fits (runs jobs); the error is worked out when it is asked for.
 
     All rides are split; ``sample_rows`` bounds the training rides that the fit sees, and the
     whole test part is evaluated. The sample is joined to the zones, spread over parts of about
     ``ROWS_PER_PART`` rows, written to ``work_folder`` and read back: the fit goes over it many
     times, and a lost executor then costs a re-read of a small file instead of another scan of
     the trips. ``key`` names the columns that identify a trip; with one, the same trips make the
-    same sample and split everywhere.
+    same sample, split and forest every time.
     """
     rides = training_rides(trips)
     needed = [LABEL, *NUMERIC_FEATURES, "pickup_location_id", "dropoff_location_id"]
     columns = dict.fromkeys([*(key or []), *needed])
     training, tested = split_parts(with_split(rides.select(*columns), key))
     chosen = enrich(training_sample(training, key, sample_rows), zones)
-    chosen.repartition(ceil(sample_rows / ROWS_PER_PART)).write.parquet(work_folder)
+    parts = ceil(sample_rows / ROWS_PER_PART)
+    if key:
+        # The forest draws rows by their place, so places must not depend on the shuffle.
+        dealt = chosen.repartition(parts, *key).sortWithinPartitions(*key)
+    else:
+        dealt = chosen.repartition(parts)
+    dealt.write.parquet(work_folder)
 
     train = trips.sparkSession.read.parquet(work_folder)
     test = enrich(tested, zones)
     model = fare_pipeline(zones.count(), **forest).fit(train)
-    return FareTraining(model, train, test, fare_rmse(model.transform(test)))
+    return FareTraining(model, train, test)
 
 
 def fare_rmse(scored: DataFrame) -> float:

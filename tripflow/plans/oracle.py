@@ -235,6 +235,8 @@ _SELECTS = {
     "stream_clean_rides": f"select {RIDE_COLUMNS}, pickup_zone, dropoff_zone from named",
     "stream_batch_counts": """select trip_id % 4 as batch_id, count(*) as arrivals
       from trips_raw group by batch_id""",
+    "stream_one_file_per_batch": """select 1 as files, count(*) as rows, true as within_limit
+      from trips_raw""",
     "stream_replay_idempotent": REPLAYED,
     "stream_two_checkpoints": REPLAYED,
     "stream_csv_rejects": f"""select reason, pickup_datetime_text, trip_distance_text,

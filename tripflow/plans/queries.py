@@ -364,6 +364,24 @@ class _LostCommit(Exception):
     """Stands for a driver that is lost after a write and before the commit."""
 
 
+def stream_one_file_per_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Under a limit of one file per trigger, the rows of each batch by the file they came in."""
+    path, table = run_folder(spark, "trips"), run_folder(spark, "batches")
+    trips = events.trips(spark, folder)
+    files.write_feed(trips.repartition(DELIVERIES, "trip_id"), path, FEED_ROWS_PER_FILE)
+    feed = feeds.feed_stream(spark, path, "parquet", files_per_trigger=1, schema=ddl(TRIP))
+    named = feed.withColumn("file", F.col("_metadata.file_name"))
+    checkpoint = run_folder(spark, "checkpoint")
+    sinks.run_available(sinks.append_batches(named, table, checkpoint, sinks.AVAILABLE_NOW))
+    rows = sinks.read_batches(spark, table, f"{ddl(TRIP)}, file string")
+    per_batch = rows.groupBy("batch_id").agg(
+        F.count_distinct("file").alias("files"), F.count(F.lit(1)).alias("rows")
+    )
+    return per_batch.groupBy("files").agg(
+        F.sum("rows").alias("rows"), (F.max("rows") <= FEED_ROWS_PER_FILE).alias("within_limit")
+    )
+
+
 def stream_replay_idempotent(spark: SparkSession, folder: str) -> DataFrame:
     """The query is lost after each micro-batch's write, before its commit, and started again."""
     table, checkpoint = run_folder(spark, "batches"), run_folder(spark, "checkpoint")
@@ -651,3 +669,30 @@ def score_requests(spark: SparkSession, folder: str) -> DataFrame:
         F.col("fare_text").startswith("$").alias("has_fare_text"),
         "hour_text",
     )
+
+
+# --- The model's own numbers, which SQL cannot state -------------------------------------------
+
+
+def fare_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """Errors of the forest and of the mean over the whole test part."""
+    training = _trained(spark, folder)
+    scored = training.model.transform(training.test)
+    parts = training.train.select(LABEL, F.lit("train").alias("split")).unionByName(
+        scored.select(LABEL, F.lit("test").alias("split"))
+    )
+    mean = metrics.mean_predictor_rmse(parts).withColumnRenamed("rmse", "mean_rmse")
+    forest = metrics.root_mean_squared_error(scored, LABEL, PREDICTION).scalar()
+    return mean.withColumn("forest_rmse", forest)
+
+
+def fare_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """The fare and its prediction for every complete ride of the test part."""
+    training = _trained(spark, folder)
+    return training.model.transform(training.test).select(*KEY, LABEL, PREDICTION)
+
+
+def scored_fares(spark: SparkSession, folder: str) -> DataFrame:
+    """Every request with its predicted fare, as a card."""
+    scored = fares.score_fares(events.requests(spark, folder), _trained(spark, folder).model)
+    return display.fare_card(scored)

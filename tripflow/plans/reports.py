@@ -26,19 +26,29 @@ def overview(rides: DataFrame, previous: DataFrame | None = None) -> dict[str, D
     }
 
 
-def latest(rides: DataFrame, zones: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The latest rides themselves."""
-    return {"recent": display.recent_rides_display(metrics.recent_rides(rides, zones))}
+def latest(
+    rides: DataFrame, zones: DataFrame | None = None, key: tuple[str, ...] | None = None
+) -> dict[str, DataFrame]:
+    """The latest rides themselves; equal times by ``key``, or by all columns without one."""
+    ties = key or tuple(name for name in rides.columns if name != "pickup_datetime")
+    recent = metrics.recent_rides(rides, zones, tie_break=ties)
+    return {"recent": display.recent_rides_display(recent)}
 
 
-def analytics(rides: DataFrame, zones: DataFrame) -> dict[str, DataFrame]:
-    """Peak hour, busiest zone, tips, hours, payment mix, top zones and boroughs."""
-    return {
+def analytics(rides: DataFrame, zones: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Peak hour, busiest zone, tips, hours, payment mix, top zones and boroughs.
+
+    Without a zone dimension, boroughs are left out; zones are too if the rides have no names.
+    """
+    pages = {
         "peak_hour": display.peak_hour_display(metrics.peak_hour(rides)),
-        "busiest_zone": metrics.busiest_zone(rides, zones),
         "average_tip": display.tip_display(metrics.average_tip(rides)),
         "hours": metrics.trips_per_hour(rides),
         "payments": display.payment_display(metrics.payment_mix(rides)),
-        "top_zones": display.smallest_first(metrics.top_pickup_zones(rides, zones)),
-        "boroughs": metrics.trips_by_borough(rides, zones),
     }
+    if zones is not None or "pickup_zone" in rides.columns:
+        pages["busiest_zone"] = metrics.busiest_zone(rides, zones)
+        pages["top_zones"] = display.smallest_first(metrics.top_pickup_zones(rides, zones))
+    if zones is not None:
+        pages["boroughs"] = metrics.trips_by_borough(rides, zones)
+    return pages

@@ -107,7 +107,7 @@ def type_groups(found: DataFrame, declared: dict[str, str]) -> list[tuple[str, l
     entries = F.array_sort(F.map_entries(named))
     groups = (
         found.filter("types is not null")
-        .groupBy(F.to_json(entries).alias("types"))
+        .groupBy(F.to_json(F.map_from_entries(entries)).alias("types"))
         .agg(F.array_sort(F.collect_list("path")).alias("paths"))
         .orderBy("types")
     )
@@ -132,8 +132,8 @@ def read_history(
 ) -> DataFrame:
     """All rows of a folder's Parquet files, whatever types each file has for the columns.
 
-    Values that do not fit the declared type are null. A file that cannot be read is an error;
-    an empty folder as well.
+    Values that do not fit the declared type are null, and so is a column in files without it;
+    one that no file has is left out. A file that cannot be read is an error, and an empty folder.
     """
     found = footers(file_names(spark, path, glob))
     bad = found.filter("types is null").limit(1).collect()
@@ -142,7 +142,9 @@ def read_history(
     groups = type_groups(found, declared)
     if not groups:
         raise FileNotFoundError(f"no {glob} files in {path}")
-    return reduce(DataFrame.unionByName, [read_group(spark, p, declared) for _, p in groups])
+    there = {name for types, _ in groups for name in json.loads(types)}
+    shape = {name: kind for name, kind in declared.items() if name in there}
+    return reduce(DataFrame.unionByName, [read_group(spark, p, shape) for _, p in groups])
 
 
 def misfits(found: DataFrame, declared: dict[str, str], fits: dict[str, set[str]]) -> DataFrame:
