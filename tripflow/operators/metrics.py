@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.functions.trips import fare_per_mile
-from tripflow.operators.rollup import average, is_rollup, total, trip_count
+from tripflow.operators.rollup import average, total, trip_count
 from tripflow.schemas import UNKNOWN
 
 
@@ -63,19 +63,16 @@ def peak_hour(rides: DataFrame) -> DataFrame:
 
 def average_fare_by_hour(rides: DataFrame, top: int = 5) -> DataFrame:
     """The hours with the highest average fare, in SQL; equals by hour."""
-    average_fare = "avg(fare_amount)"
-    if is_rollup(rides):
-        average_fare = "try_divide(sum(fare_amount_sum), sum(fare_amount_count))"
+    hours = rides.groupBy("pickup_hour").agg(average(rides, "fare_amount").alias("average_fare"))
     return rides.sparkSession.sql(
-        f"""
-        select pickup_hour, round({average_fare}, 2) as avg_fare
-        from {{rides}}
-        group by all
+        """
+        select pickup_hour, round(average_fare, 2) as avg_fare
+        from {hours}
         order by avg_fare desc, pickup_hour
         limit :top
         """,
         args={"top": top},
-        rides=rides,
+        hours=hours,
     )
 
 

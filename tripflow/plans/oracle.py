@@ -149,6 +149,11 @@ REPLAYED = f"""select trip_id, {RIDE_COLUMNS} from (
   where ride_duration_minutes > 0 and fare_amount > 0 and not isnan(fare_amount)
     and trip_distance > 0"""
 
+def _exact(name: str) -> str:
+    """Sum of a double column in whole numbers of 2^-60, which the order of rows cannot change."""
+    return f"cast(sum(cast({name} * power(2, 60) as hugeint)) as double) / power(2, 60)"
+
+
 _SELECTS = {
     # Sources
     "scan_trips": f"select * exclude (fare_amount), {NAN_FARE} from trips_raw",
@@ -186,11 +191,11 @@ _SELECTS = {
     "join_dropoff_zone": "select trip_id, dropoff_location_id, dropoff_zone from named",
     "join_large_dimension": "select trip_id, pickup_location_id, pickup_zone from named",
     # Reports
-    "kpi_summary": """select count(*) as total_trips,
-      round(coalesce(sum(fare_amount), 0), 2) as total_revenue,
-      round(avg(fare_amount), 6) as average_fare,
-      round(avg(ride_duration_minutes), 6) as average_duration,
-      round(avg(trip_distance), 6) as average_distance from rides""",
+    "kpi_summary": f"""select count(*) as total_trips,
+      coalesce({_exact('fare_amount')}, 0) as total_revenue,
+      {_exact('fare_amount')} / count(fare_amount) as average_fare,
+      {_exact('ride_duration_minutes')} / count(ride_duration_minutes) as average_duration,
+      {_exact('trip_distance')} / count(trip_distance) as average_distance from rides""",
     "kpi_display": """select format('{:,}', count(*)) as total_trips,
       format('${:,.0f}', sum(fare_amount)) as total_revenue,
       format('${:,.2f}', avg(fare_amount)) as average_fare,
@@ -200,14 +205,14 @@ _SELECTS = {
     "live_incoming": """select count(*) as live_incoming from rides
       where cast(pickup_datetime as date) >=
         (select max(cast(pickup_datetime as date)) from rides)""",
-    "avg_tip": "select round(avg(tip_amount), 6) as average_tip from rides",
+    "avg_tip": f"select {_exact('tip_amount')} / count(tip_amount) as average_tip from rides",
     "trips_per_hour": """select pickup_hour, count(*) as trips from rides
       group by pickup_hour order by pickup_hour""",
     "peak_hour": """select pickup_hour, count(*) as trips,
       lpad(cast(pickup_hour as varchar), 2, '0') || ':00' as hour_label from rides
       group by pickup_hour order by trips desc, pickup_hour limit 1""",
     "payment_mix": """select payment_type, count(*) as trips,
-      round(count(*) / cast(sum(count(*)) over () as double), 9) as share from rides
+      count(*) / cast(sum(count(*)) over () as double) as share from rides
       where payment_type is not null group by payment_type
       order by trips desc, payment_type""",
     "trips_per_zone": PER_ZONE,

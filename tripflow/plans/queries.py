@@ -1,7 +1,7 @@
 """The registered queries: one per operator, each over whole tables of a folder.
 
-Averages and sums are rounded, since the order in which doubles are added up is not fixed. NaN
-fares are shown as a flag beside a null, since NaN does not compare equal to itself.
+NaN fares are shown as a flag beside a null, since NaN does not compare equal to itself. Only the
+mean predictor's error is rounded: it comes from a variance, whose order of adding is not fixed.
 """
 
 from __future__ import annotations
@@ -55,10 +55,6 @@ def _show_nan(rows: DataFrame) -> DataFrame:
     )
 
 
-def _rounded(rows: DataFrame, digits: int, *names: str) -> DataFrame:
-    return rows.withColumns({name: F.round(name, digits) for name in names})
-
-
 # --- Sources ---------------------------------------------------------------------------------
 
 
@@ -185,9 +181,7 @@ def join_large_dimension(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def kpi_summary(spark: SparkSession, folder: str) -> DataFrame:
-    summary = metrics.kpi_summary(events.rides(spark, folder))
-    averages = ("average_fare", "average_duration", "average_distance")
-    return _rounded(_rounded(summary, 2, "total_revenue"), 6, *averages)
+    return metrics.kpi_summary(events.rides(spark, folder))
 
 
 def kpi_display(spark: SparkSession, folder: str) -> DataFrame:
@@ -208,8 +202,7 @@ def live_incoming(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def avg_tip(spark: SparkSession, folder: str) -> DataFrame:
-    tip = metrics.average_tip(events.rides(spark, folder))
-    return _rounded(tip, 6, "average_tip")
+    return metrics.average_tip(events.rides(spark, folder))
 
 
 def trips_per_hour(spark: SparkSession, folder: str) -> DataFrame:
@@ -221,7 +214,7 @@ def peak_hour(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def payment_mix(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(metrics.payment_mix(events.rides(spark, folder)), 9, "share")
+    return metrics.payment_mix(events.rides(spark, folder))
 
 
 def trips_per_zone(spark: SparkSession, folder: str) -> DataFrame:
@@ -585,7 +578,7 @@ def train_test_split(spark: SparkSession, folder: str) -> DataFrame:
 
 def rmse_baseline(spark: SparkSession, folder: str) -> DataFrame:
     marked = sampling.with_split(events.rides(spark, folder), list(KEY))
-    return _rounded(metrics.mean_predictor_rmse(marked), 6, "rmse")
+    return metrics.mean_predictor_rmse(marked).withColumn("rmse", F.round("rmse", 6))
 
 
 def _training_rides(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,6 +7,8 @@ Spark reader accepts.
 
 from __future__ import annotations
 
+from tripflow.functions.exact import SUM_TYPE
+
 # --- Fixed values: names, types, codes and constants that files and results depend on ---------
 
 TRIP_RENAMES = {
@@ -129,7 +131,7 @@ ROLLUP = {
     "pickup_hour": "int",
     "payment_type": "string",
     "trips": "bigint",
-    **{f"{name}_sum": "double" for name in MEASURES},
+    **{f"{name}_sum": SUM_TYPE for name in MEASURES},
     **{f"{name}_count": "bigint" for name in MEASURES},
 }
 
