@@ -16,7 +16,8 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def table(spark, values):
-    return spark.createDataFrame([(i % 7, value) for i, value in enumerate(values)], "g int, x double")
+    rows = [(place % 7, value) for place, value in enumerate(values)]
+    return spark.createDataFrame(rows, "g int, x double")
 
 
 def summed(frame):
@@ -40,7 +41,8 @@ def test_parts_hold_the_sum_exactly(spark, amounts):
 def test_the_total_is_the_exact_sum_rounded(spark, amounts):
     positive = [abs(x) for x in amounts]
     assert summed(table(spark, positive)) == math.fsum(positive)
-    assert summed(table(spark, [-x for x in positive])) == pytest.approx(-math.fsum(positive), rel=1e-15)
+    negative = summed(table(spark, [-x for x in positive]))
+    assert negative == pytest.approx(-math.fsum(positive), rel=1e-15)
     assert summed(table(spark, [0.1] * 10)) == math.fsum([0.1] * 10)
     assert summed(table(spark, [1e15, 0.1, -1e15])) == 0.1
 

@@ -2,6 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from tests.builders import zones
@@ -97,14 +98,84 @@ def test_sample_is_about_the_size_asked_for(spark, trips, tmp_path):
     assert 0.15 * everything < training.test.count() < 0.25 * everything
 
 
-def test_bins_cover_all_zones():
-    stages = fares.fare_pipeline(25).getStages()
-    assert stages[-1].getMaxBins() == 300
-    assert fares.fare_pipeline(400).getStages()[-1].getMaxBins() == 401
-    forest = stages[-1]
+def test_forest_settings(spark):
+    *_, forest = fares.fare_pipeline([["a"], ["b"]]).getStages()
+    assert forest.getMaxBins() == 300
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getSeed()) == (50, 8, 42)
 
 
+def zone_rides(spark, names):
+    return spark.createDataFrame(
+        [(n, name, name) for n, name in enumerate(names)],
+        "n int, pickup_zone string, dropoff_zone string",
+    )
+
+
+def test_few_zones_are_indexed_as_spark_does(spark):
+    names = [f"zone '{n % 299}" for n in range(1_000)] + [None]
+    rides = zone_rides(spark, names)
+    indexer = StringIndexer(
+        inputCols=["pickup_zone", "dropoff_zone"], outputCols=fares.INDEXES, handleInvalid="keep"
+    )
+    expected = indexer.fit(rides).transform(rides)
+    assert sorted(fares.index_zones(rides).collect()) == sorted(expected.collect())
+
+
+def test_of_many_zones_the_frequent_ones_keep_an_index(spark):
+    odd = ["it's", "back\\slash", "zone 1", "shared 3", "", "Zürich", "sé\n\"x"]
+    names = [name for name in odd for _ in range(5)] + [f"z{n}" for n in range(4_000)] + [None]
+    rows = fares.index_zones(zone_rides(spark, names)).collect()
+    index = {row.pickup_zone: row.pickup_zone_idx for row in rows}
+    assert all(row.pickup_zone_idx == row.dropoff_zone_idx for row in rows)
+    assert len(rows) == len(names) and set(rows[0].asDict()) == {
+        "n", "pickup_zone", "dropoff_zone", *fares.INDEXES
+    }
+    own = 300 - 1 - 32
+    assert [index[name] for name in sorted(odd)] == list(range(len(odd)))
+    assert index[None] == 299
+    ranked = sorted(f"z{n}" for n in range(4_000))[: own - len(odd)]
+    assert [index[name] for name in ranked] == list(range(len(odd), own))
+    shared = [index[name] for name in set(names) - set(odd) - set(ranked) - {None}]
+    assert set(shared) == set(range(own, 299))
+    assert max(shared.count(bin) for bin in set(shared)) < 2 * len(shared) / 32
+
+
+def test_a_hundred_thousand_zones_train_within_the_same_bins(spark, tmp_path):
+    """One zone is dear; the others are met too seldom to have a bin."""
+    dimension = spark.range(1, 100_001).selectExpr(
+        "cast(id as int) LocationID", "'B' Borough", "concat('Zone ', id) Zone", "'x' service_zone"
+    )
+    trips = spark.range(20_000).selectExpr(
+        "id trip_id",
+        "timestamp_ntz '2024-01-01 10:00:00' tpep_pickup_datetime",
+        "timestamp_ntz '2024-01-01 10:30:00' tpep_dropoff_datetime",
+        "1.0d + id % 7 trip_distance",
+        "if(id % 3 = 0, 5, 1 + pmod(xxhash64(id), 100000)) PULocationID",
+        "1 + pmod(xxhash64(id, 1), 100000) DOLocationID",
+        "if(id % 3 = 0, 60.0d, 10.0d) fare_amount",
+        "0.0d tip_amount",
+        "1L passenger_count",
+        "1L payment_type",
+    )
+    training = fares.train_fare_model(
+        trips, dimension, str(tmp_path / "s"), key=["trip_id"], trees=8, depth=4
+    )
+    assert training.model.stages[-1].getMaxBins() == 300
+    rides = with_split(fares.training_rides(trips), ["trip_id"])
+    assert training.rmse < 0.3 * mean_predictor_rmse(rides).first().rmse
+    path = str(tmp_path / "model")
+    fares.save_model(training.model, path)
+    pairs = [(zone, other) for zone in ("Zone 5", "Unheard of") for other in ("Zone 9", None)]
+    asked = [(1.0, 1, 10, *pair) for pair in pairs]
+    requests = spark.createDataFrame(asked, ddl(REQUESTS))
+    scored = fares.score_fares(requests, fares.load_model(path))
+    added = ["ride_duration_minutes", "predicted_fare", "fare_per_mile"]
+    assert scored.columns == [*requests.columns, *added]
+    assert {row.pickup_zone: row.predicted_fare > 35 for row in scored.collect()} == {
+        "Zone 5": True, "Unheard of": False
+    }
+
+
 def test_every_request_is_answered(spark, training):
     rows = [
         (1, 3.0, 1, 12, "Alpha", "Beta"),

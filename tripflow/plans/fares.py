@@ -1,8 +1,8 @@
 """The fare model: features, training, evaluation and scoring.
 
-Zone names are indexed on the driver, which is bounded by the zone dimension; the forest trains
-on a sample whose size is set, whatever the trips' volume. Scoring is one pass over any number
-of requests.
+The most frequent zones have an index of their own and the rest share a fixed number, so the
+forest's bins and the driver's lists do not grow with the zones. The forest trains on a sample
+whose size is set, whatever the trips' volume. Scoring is one pass over any number of requests.
 """
 
 from __future__ import annotations
@@ -12,12 +12,12 @@ from functools import cached_property, reduce
 from math import ceil
 from operator import and_
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripflow.functions.trips import fare_per_mile
@@ -35,12 +35,15 @@ from tripflow.schemas import (
     PREDICTION,
     REQUESTS,
     SEED,
+    SHARED_ZONE_BINS,
     TRAINING_SAMPLE_ROWS,
     ZONE_FEATURES,
     ddl,
 )
 
 INDEXES = [f"{name}_idx" for name in ZONE_FEATURES]
+BINNED = [f"{name}_bin" for name in ZONE_FEATURES]
+OWN, SHARED = "zone ", "shared "
 FEATURES = [*NUMERIC_FEATURES, *INDEXES]
 ROWS_PER_PART = 10_000
 
@@ -57,50 +60,86 @@ class FareTraining:
         return fare_rmse(self.model.transform(self.test))
 
 
-def zone_indexer() -> StringIndexer:
-    """Indexes both zone columns in one pass, by frequency; unseen and null zones share a bucket."""
-    return StringIndexer(inputCols=ZONE_FEATURES, outputCols=INDEXES, handleInvalid="keep")
-
-
 def feature_assembler() -> VectorAssembler:
     """Puts the six features into a vector; rows lacking one are dropped."""
     return VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="skip")
 
 
+def own_zones(rides: DataFrame) -> list[list[str]]:
+    """Per zone column, the zones to tell apart: most rides first, equals by name (runs a job).
+
+    Both columns are counted in one aggregation with partial counts. Each column's first zones
+    are picked in the tasks before and after the shuffle, so the driver and every task get at
+    most ``FOREST_BINS`` of them, however many zones there are.
+    """
+    side = F.posexplode(F.array(*ZONE_FEATURES)).alias("side", "zone")
+    counts = rides.select(side).filter("zone is not null").groupBy("side", "zone").count()
+    by_rides = Window.partitionBy("side").orderBy(F.desc("count"), "zone")
+    first = counts.withColumn("rank", F.row_number().over(by_rides))
+    ranked = sorted(first.filter(F.col("rank") <= FOREST_BINS).collect(), key=lambda r: r["rank"])
+    return [[row.zone for row in ranked if row.side == side] for side in range(len(ZONE_FEATURES))]
+
+
+def _shared_zones(name: str, zones: list[str]) -> SQLTransformer:
+    """Replaces zones other than those given by one of ``SHARED_ZONE_BINS`` names.
+
+    Names are compared as hex digits, so that any name can stand in the statement.
+    """
+    known = ", ".join(f"'{zone.encode().hex().upper()}'" for zone in zones)
+    return SQLTransformer(
+        statement=f"""
+        select *, case
+          when hex({name}) in ({known}) then concat('{OWN}', {name})
+          when {name} is not null
+            then concat('{SHARED}', cast(pmod(xxhash64({name}), {SHARED_ZONE_BINS}) as string))
+        end as {name}_bin from __THIS__"""
+    )
+
+
+def zone_stages(zones: list[list[str]]) -> list[Transformer]:
+    """Indexes both zone columns, given their ``own_zones``, within ``FOREST_BINS`` bins.
+
+    Up to ``FOREST_BINS - 1`` zones all have their own index, by rank, and unseen and null zones
+    share the next one. Of more, the first ones do; all others, unseen ones too, are dealt by
+    their hash to ``SHARED_ZONE_BINS`` further indexes, and null has the one after these.
+    """
+    stages = []
+    for name, index, ranked in zip(ZONE_FEATURES, INDEXES, zones, strict=True):
+        labels = ranked
+        if len(ranked) >= FOREST_BINS:
+            ranked = ranked[: FOREST_BINS - 1 - SHARED_ZONE_BINS]
+            stages.append(_shared_zones(name, ranked))
+            labels = [f"{OWN}{zone}" for zone in ranked]
+            labels += [f"{SHARED}{number}" for number in range(SHARED_ZONE_BINS)]
+            name = f"{name}_bin"
+        # One model a column: a model of several pads the shorter list of labels.
+        stages.append(StringIndexerModel.from_labels(labels, name, index, handleInvalid="keep"))
+    return stages
+
+
 def fare_pipeline(
-    zone_count: int,
+    zones: list[list[str]],
     trees: int = FOREST_TREES,
     depth: int = FOREST_DEPTH,
     seed: int = SEED,
 ) -> Pipeline:
-    """Indexer, assembler and forest. Bins grow with the zones, which are categories."""
+    """Indexers for the ``own_zones``, assembler and forest."""
     forest = RandomForestRegressor(
         featuresCol="features",
         labelCol=LABEL,
         predictionCol=PREDICTION,
         numTrees=trees,
         maxDepth=depth,
-        maxBins=max(FOREST_BINS, zone_count + 1),
+        maxBins=FOREST_BINS,
         seed=seed,
     )
-    return Pipeline(stages=[zone_indexer(), feature_assembler(), forest])
+    return Pipeline(stages=[*zone_stages(zones), feature_assembler(), forest])
 
 
 def index_zones(rides: DataFrame) -> DataFrame:
-    """Adds the zone indexes, ranked by the rides' own counts (runs a job).
-
-    Both columns are counted in one aggregation with partial counts; the driver gets one row per
-    zone and column, in the order that ``zone_indexer`` would find: most rides first, then name.
-    """
-    side = F.posexplode(F.array(*ZONE_FEATURES)).alias("side", "zone")
-    counts = rides.select(side).filter("zone is not null").groupBy("side", "zone").count()
-    ranked = counts.orderBy("side", F.desc("count"), "zone").collect()
-    for side, (name, index) in enumerate(zip(ZONE_FEATURES, INDEXES, strict=True)):
-        # One model a column: a model of several pads the shorter list of labels.
-        labels = [row.zone for row in ranked if row.side == side]
-        model = StringIndexerModel.from_labels(labels, name, index, handleInvalid="keep")
-        rides = model.transform(rides)
-    return rides
+    """Adds the zone indexes, ranked by the rides' own counts (runs a job)."""
+    indexed = PipelineModel(zone_stages(own_zones(rides))).transform(rides)
+    return indexed.drop(*BINNED)
 
 
 def training_features(rides: DataFrame, key: list[str]) -> DataFrame:
@@ -147,7 +186,7 @@ def train_fare_model(
 
     train = trips.sparkSession.read.parquet(work_folder)
     test = enrich(tested, zones)
-    model = fare_pipeline(zones.count(), **forest).fit(train)
+    model = fare_pipeline(own_zones(train), **forest).fit(train)
     return FareTraining(model, train, test)
 
 
@@ -189,7 +228,7 @@ def score_fares(requests: DataFrame, model: PipelineModel) -> DataFrame:
     return (
         scored.withColumn(PREDICTION, fare)
         .withColumn("fare_per_mile", fare_per_mile(F.col(PREDICTION), F.col("trip_distance")))
-        .drop("features", "rawPrediction", *INDEXES)
+        .drop("features", "rawPrediction", *INDEXES, *BINNED)
     )
 
 

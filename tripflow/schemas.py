@@ -103,6 +103,9 @@ SEED = 42
 TRAIN_PERCENT = 80
 TRAINING_SAMPLE_ROWS = 200_000
 
+#: Bins of a forest that zones without a bin of their own share, where there are too many zones.
+SHARED_ZONE_BINS = 32
+
 # --- Derived shapes ---------------------------------------------------------------------------
 
 RIDES = {
