@@ -211,6 +211,20 @@ def test_shards_are_even_and_cut_hot_groups(spark):
     assert len(sizes) == 24 and sizes.max() - sizes.min() < 0.05 * sizes.mean() + 300
 
 
+def test_groups_stay_whole_however_many_ranges_a_shard_has(spark):
+    """A group is far larger than a range's tolerance and less than a shard's."""
+    rows = spark.range(12_000).selectExpr("id doc_id", "concat('text ', id div 16) text")
+    params = sharding.ShardParams(shards=3, tolerance=0.005, range_rows=200)
+    found = sharding.assign_shards(rows, params).toPandas()
+    assert (found.groupby("text_crc32")["shard"].nunique() == 1).all()
+    sizes = found.groupby("shard")["size"].sum()
+    assert abs(sizes - sizes.mean()).max() <= 2 * 0.005 * sizes.mean()
+    for _, shard in found.groupby("shard"):
+        assert sorted(shard["slot"]) == list(range(len(shard)))
+    ordered = found.sort_values(["shard", "slot"])["text_crc32"].to_numpy()
+    assert (ordered[1:] != ordered[:-1]).sum() == 12_000 // 16 - 1
+
+
 def test_licenses(docs, empty):
     found = licenses.scan_licenses(docs).collect()
     assert ids(found) == ALL_IDS

@@ -17,6 +17,7 @@ apart. An empty table gives no rows. Extra columns play no part.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,12 +102,15 @@ def _probes(stretch: Stretch, count: int) -> list[int]:
     return sorted({(low + 1 + (high - low - 1) * i // count) * step for i in range(count + 1)})
 
 
-def splitters(keys: DataFrame, count: int, params: ShardParams) -> list[str]:
-    """``count - 1`` ascending boundaries; a row at or above its boundary lies behind it.
+def splitters(keys: DataFrame, parts: int, params: ShardParams) -> list[str]:
+    """Ascending boundaries of all shards' ``parts`` ranges; a row at its boundary lies behind it.
 
     A candidate between two texts is taken if it is within tolerance, so groups of equal texts
-    stay whole unless one is larger than that.
+    stay whole unless one is larger than that. Between shards the tolerance is of a shard's
+    bytes, however many ranges a shard has; between ranges of one shard it is of a range's. A
+    range that a neighbouring shard's boundary has passed is empty.
     """
+    count = params.shards * parts
     # The first candidates part the text hashes evenly.
     first = 16 * count
     stretches = _histogram(
@@ -115,20 +119,24 @@ def splitters(keys: DataFrame, count: int, params: ShardParams) -> list[str]:
     if not stretches:
         return []
     total = stretches[-1].through
-    slack = params.tolerance * total / count
-    goals = [total * number // count for number in range(1, count)]
+    numbers = range(1, count)
+    goals = {number: total * number // count for number in numbers}
+    slack = {
+        number: params.tolerance * total / (params.shards if number % parts == 0 else count)
+        for number in numbers
+    }
     found: dict[int, int] = {}
     while True:
         probes: set[int] = set()
-        for goal in goals:
-            if goal in found:
+        for number, goal in goals.items():
+            if number in found:
                 continue
             own = next(s for s in stretches if s.below <= goal < s.through)
-            if own.rows == 1 or own.first == own.last or goal - own.below <= slack:
+            if own.rows == 1 or own.first == own.last or goal - own.below <= slack[number]:
                 low = goal - own.below <= own.through - goal
-                found[goal] = own.first if low else own.last + 1
-            elif own.through - goal <= slack:
-                found[goal] = own.last + 1
+                found[number] = own.first if low else own.last + 1
+            elif own.through - goal <= slack[number]:
+                found[number] = own.last + 1
             else:
                 # With its own ends among the bounds a stretch can only shrink.
                 probes.update([own.first, *_probes(own, params.probes), own.last + 1])
@@ -137,7 +145,13 @@ def splitters(keys: DataFrame, count: int, params: ShardParams) -> list[str]:
         stretches = _histogram(keys, sorted(probes))
     # A bound behind the very last key has no digits of its own.
     top = 16 ** sum(KEY_DIGITS) - 1
-    return [_digits(min(found[goal], top)) for goal in goals]
+    between = {0: 0, **{n: min(at, top) for n, at in found.items() if n % parts == 0}, count: top}
+    bounds = []
+    for number in numbers:
+        shard = number - number % parts
+        inside = between[shard], between[min(shard + parts, count)]
+        bounds.append(_digits(between.get(number, min(max(found[number], inside[0]), inside[1]))))
+    return bounds
 
 
 def assign_shards(docs: DataFrame, params: ShardParams | None = None) -> DataFrame:
@@ -147,7 +161,7 @@ def assign_shards(docs: DataFrame, params: ShardParams | None = None) -> DataFra
     rows = keys.count()
     # Every shard is the same number of ranges, and shards are cut first and exactly.
     parts = max(1, -(-rows // (params.shards * params.range_rows)))
-    bounds = splitters(keys, params.shards * parts, params)
+    bounds = splitters(keys, parts, params)
     place = bucket_of(F.col("key"), F.lit(bounds), len(bounds)) if bounds else F.lit(0)
     placed = saved(
         keys.withColumn("place", place.cast("int")).repartitionById(
@@ -157,10 +171,10 @@ def assign_shards(docs: DataFrame, params: ShardParams | None = None) -> DataFra
     )
     # One count per range.
     counts = {row["place"]: row["count"] for row in placed.groupBy("place").count().collect()}
-    offsets = []
-    for number in range(params.shards * parts):
-        first = number - number % parts
-        offsets.append(sum(counts.get(other, 0) for other in range(first, number)))
+    offsets: list[int] = []
+    for first in range(0, params.shards * parts, parts):
+        inside = (counts.get(place, 0) for place in range(first, first + parts - 1))
+        offsets.extend(accumulate(inside, initial=0))
     return placed.selectExpr(
         "*", "row_number() over (partition by place order by key) as number"
     ).select(
