@@ -249,6 +249,41 @@ def test_licenses(docs, empty):
     assert licenses.scan_licenses(empty).count() == 0
 
 
+def test_license_notices_and_scores(spark):
+    notices = {t.label: t for t in licenses.STATEMENTS}
+    mit, apache = notices["mit-text"].text, notices["apache-2.0-notice"].text
+    texts = {
+        "whole": f"x. {mit.replace('software', 'Software,')}! y",
+        "all of it": apache.upper(),
+        "most": " ".join(apache.replace("writing", "print").split()[:-2]),
+        "no key phrase": apache.replace("compliance", "line").replace("apache", "a"),
+        "mention": "we like the MIT License and others",
+        "statement": "Released under the MIT license.",
+        "nearly": "is under the MIT license",
+        "gpl": f"{notices['gpl-2.0-notice'].text} {notices['bsd-text'].text}",
+        "none": "licensed software without a key",
+    }
+    rows = list(enumerate(texts.values()))
+    found = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"))
+    seen = dict(zip(texts, sorted(found.collect()), strict=True))
+    labels = {name: set(filter(None, row.labels.split(","))) for name, row in seen.items()}
+    score = {name: row.score for name, row in seen.items()}
+    assert labels["whole"] == {"mit-text"} and seen["whole"].n_base == 0
+    assert labels["all of it"] == {"apache", "apache-2.0", "apache-2.0-notice"}
+    assert labels["most"] == labels["all of it"]
+    assert labels["no key phrase"] == labels["none"] == set()
+    assert labels["mention"] == {"mit"}
+    assert labels["statement"] == labels["nearly"] == {"mit", "mit-notice"}
+    assert labels["gpl"] == {"gpl", "gpl-2.0-notice", "bsd-text"}
+    assert score["whole"] == score["all of it"] == score["statement"] == score["gpl"] == 1
+    assert 0 == score["none"] == score["no key phrase"]
+    assert 0.3 < score["mention"] < score["nearly"] < 1
+
+    mentions = found.selectExpr("doc_id", "'mit license' text")
+    phrases_only = licenses.scan_licenses(mentions, ())
+    assert {row.score for row in phrases_only.collect()} == {1.0}
+
+
 def test_classifier(spark, docs, empty):
     labels = spark.createDataFrame([(14, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     forest = quality_classifier.train(docs, labels)

@@ -1,11 +1,15 @@
 """License scans through a positional index of rare words.
 
-Templates are short licence statements with the phrases that must stand in them. Every template
+Templates are licence statements and notices with the phrases that must stand in them. Every one
 is posted under its rarest words, by inverse document frequency over the whole corpus; a file's
 words are looked up there, each hit votes for the place where its template would begin, and a
-place counts once its votes suffice and every mandatory phrase stands at its relative position.
+place counts with half of all votes, if every mandatory phrase stands at its relative position.
 A template that is one phrase needs only its rarest word looked up, so none of its places is lost.
 
+The score is the best place's share of its statement's words, weighed by frequency. A base phrase
+is part of longer statements: it scores as the share of the one that fits best around it, so a bare
+mention scores low and a whole notice 1. Without a statement that holds it, it is whole by itself.
+
 Defined results: null and empty texts have no words, no places, empty labels and score 0.
 Repeated rows give repeated results; other columns play no part.
 """
@@ -70,6 +74,57 @@ STATEMENTS = (
         ("general public license", "2"),
     ),
     Template("reserved", "all rights reserved", ("all rights reserved",)),
+    Template(
+        "mit-text",
+        "permission is hereby granted free of charge to any person obtaining a copy of this "
+        "software and associated documentation files the software to deal in the software "
+        "without restriction including without limitation the rights to use copy modify merge "
+        "publish distribute sublicense and or sell copies of the software and to permit persons "
+        "to whom the software is furnished to do so subject to the following conditions the "
+        "above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the software",
+        (
+            "permission is hereby granted free of charge",
+            "to deal in the software without restriction",
+            "this permission notice shall be included",
+        ),
+    ),
+    Template(
+        "apache-2.0-notice",
+        "licensed under the apache license version 2 0 the license you may not use this file "
+        "except in compliance with the license you may obtain a copy of the license at http www "
+        "apache org licenses license 2 0 unless required by applicable law or agreed to in "
+        "writing software distributed under the license is distributed on an as is basis without "
+        "warranties or conditions of any kind either express or implied",
+        (
+            "apache license version 2 0",
+            "you may not use this file except in compliance with the license",
+            "without warranties or conditions of any kind",
+        ),
+    ),
+    *(
+        Template(
+            f"gpl-{version}.0-notice",
+            "this program is free software you can redistribute it and or modify it under the "
+            "terms of the gnu general public license as published by the free software foundation "
+            f"either version {version} of the license or at your option any later version",
+            (
+                "gnu general public license",
+                "free software foundation",
+                f"either version {version} of the license",
+            ),
+        )
+        for version in (2, 3)
+    ),
+    Template(
+        "bsd-text",
+        "redistribution and use in source and binary forms with or without modification are "
+        "permitted provided that the following conditions are met",
+        (
+            "redistribution and use in source and binary forms",
+            "permitted provided that the following conditions are met",
+        ),
+    ),
 )
 
 
@@ -103,8 +158,13 @@ class Index:
     """Postings (template, position) of each template's rarest words."""
 
     def __init__(
-        self, templates: tuple[Template, ...], frequencies: dict[bytes, int], rare_words: int = 3
+        self,
+        templates: tuple[Template, ...],
+        frequencies: dict[bytes, int],
+        rare_words: int = 3,
+        rare_share: float = 1 / 8,
     ) -> None:
+        """Posts each template's ``rare_words``, or ``rare_share`` of its words if that is more."""
         self.templates = templates
         self.words = [license_words(template.text) for template in templates]
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
@@ -117,17 +177,29 @@ class Index:
         for number, (template, tokens) in enumerate(zip(templates, self.words, strict=True)):
             whole = template.mandatory == (template.text,)
             order = sorted(set(tokens), key=lambda word: (frequencies.get(word, 0), word))
-            chosen = set(order[: 1 if whole else rare_words])
+            chosen = set(order[: 1 if whole else max(rare_words, int(rare_share * len(tokens)))])
             posted = [at for at, word in enumerate(tokens) if word in chosen]
             if whole:
                 posted = posted[:1]
             for at in posted:
                 self.postings[tokens[at]].append((number, at))
-            self.votes_needed.append(1 if whole else max(1, len(posted) - 1))
+            self.votes_needed.append((len(posted) + 1) // 2)
             self.phrases.append(
                 [(_place(tokens, license_words(p)), license_words(p)) for p in template.mandatory]
             )
         self.keys = frozenset(self.postings)
+        # Where each base phrase stands in the other statements.
+        self.around = {
+            number: [
+                (other, at)
+                for other, tokens in enumerate(self.words)
+                if not templates[other].base
+                for at in range(len(tokens))
+                if tokens[at : at + len(phrase)] == phrase
+            ]
+            for number, phrase in enumerate(self.words)
+            if templates[number].base
+        }
 
     def places(self, tokens: list[bytes]) -> Iterator[tuple[int, int, float]]:
         """(template, first word, share of its IDF weight found there), each place once."""
@@ -167,10 +239,14 @@ class Index:
         for number, start, share in self.places(tokens):
             template = self.templates[number]
             labels.add(template.label)
-            score = max(score, share)
             if template.base:
                 base.append(start)
                 base_labels.add(template.label)
+                around = self.around[number]
+                share = max(
+                    (self._share(other, start - at, tokens) for other, at in around), default=share
+                )
+            score = max(score, share)
         return (
             len(tokens),
             len(base),
