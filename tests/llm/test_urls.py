@@ -51,3 +51,27 @@ def test_cascade_is_exact(spark, listed):
     cascade = u.build_cascade(every, on)
     found = {r.key for r in every.filter(cascade.lists(F.col("key"))).collect()}
     assert found == {f"k{i}" for i in range(listed)}
+
+
+def test_cascade_of_a_long_list_is_exact(spark):
+    every = spark.range(500_000).select(F.col("id"), F.concat(F.lit("k"), "id").alias("key"))
+    on = every.filter(F.pmod(F.xxhash64("id"), F.lit(5)) < 2).select("key")
+    cascade = u.build_cascade(every.select("key"), on)
+    assert 2 < len(cascade.levels) < 20
+    marked = every.select(
+        cascade.lists(F.col("key")).alias("found"),
+        (F.pmod(F.xxhash64("id"), F.lit(5)) < 2).alias("listed"),
+    )
+    counts = {(r.found, r.listed): r["count"] for r in marked.groupBy("found", "listed").count().collect()}
+    assert set(counts) == {(True, True), (False, False)}
+    assert counts[True, True] > 190_000
+
+
+def test_a_level_has_its_keys_and_few_others(spark):
+    keys = spark.range(20_000).select(F.col("id").cast("string").alias("key"))
+    level = u.bloom_level(keys.filter("key < '5'"), 12_000, 2.0**-8, 3)
+    assert max(level.data) < 128
+    passed = keys.filter(level.has(F.col("key"))).groupBy((F.col("key") < "5").alias("own")).count()
+    counts = {r.own: r["count"] for r in passed.collect()}
+    assert counts[True] == keys.filter("key < '5'").count()
+    assert counts.get(False, 0) < 20_000 * 2.0**-6

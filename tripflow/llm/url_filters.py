@@ -11,10 +11,10 @@ passes all of an odd number.
 The listed keys are the rules, plus names of query parameters that mark a url as a tracked
 variant of another. A url that no rule fits is blocked if it carries such a parameter.
 
-All of it is column expressions. A level's bits are one array of 64-bit words, made by one
-aggregation and read back as a constant. They are bounded by the list, not by the corpus: the
-first level gets ``log2(universe / list)`` bits a key, later ones encode about as many keys as
-the list has, and ``max_listed`` bounds the list.
+All of it is column expressions. A level's bits are one binary constant, made by one aggregation
+and in the plan once. They are bounded by the list, not by the corpus: the first level gets
+``log2(universe / list)`` bits a key, later ones encode about as many keys as the list has, and
+``max_listed`` bounds the list. Levels of few keys take more bits a key, so that few levels follow.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, and no rule.
 Repeated urls are judged alike. Other columns play no part.
@@ -111,42 +111,56 @@ def candidate_keys(host: Column, path: Column, url: Column, rules: Rules) -> Col
     return F.concat(own, parameter_names(url)) if rules.tracking else own
 
 
+#: Seven bits a byte: each byte is a character that ``ascii`` reads. Nine bytes are a long's bits.
+BYTE_BITS = 7
+WORD_BITS = 63
+#: Later levels let through half of the wrong keys, those of few keys hardly any.
+FEW_KEYS = 10_000
+WRONG_OF_MANY, WRONG_OF_FEW = 0.5, 2.0**-8
+
+
 @dataclass(frozen=True)
 class Level:
-    """A Bloom filter: ``hashes`` bits per key in an array of 64-bit words."""
+    """A Bloom filter: ``hashes`` bits per key in one string of bytes."""
 
-    words: list[int]
+    data: bytes
     hashes: int
     salt: int
 
     def has(self, key: Column) -> Column:
-        words = F.array(*[F.lit(word).cast("long") for word in self.words])
-        passed = [
-            F.getbit(F.get(words, F.floor(at / 64).cast("int")), (at % 64).cast("int")) == 1
-            for at in bit_positions(key, len(self.words) * 64, self.hashes, self.salt)
-        ]
-        return reduce(Column.__and__, passed)
+        data = F.lit(bytearray(self.data))
+
+        def is_set(at: Column) -> Column:
+            byte = F.substring(data, F.floor(at / BYTE_BITS).cast("int") + 1, F.lit(1))
+            return F.getbit(F.ascii(byte.cast("string")), (at % BYTE_BITS).cast("int")) == 1
+
+        bits = len(self.data) * BYTE_BITS
+        return F.forall(bit_positions(key, bits, self.hashes, self.salt), is_set)
 
 
-def bit_positions(key: Column, bits: int, hashes: int, salt: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(key, F.lit(salt), F.lit(i)), F.lit(bits)) for i in range(hashes)]
+def bit_positions(key: Column, bits: int, hashes: int, salt: int) -> Column:
+    """``hashes`` positions below ``bits``: multiples of one hash, from another one on."""
+    first, step = (F.pmod(F.xxhash64(key, F.lit(salt), F.lit(i)), F.lit(bits)) for i in (0, 1))
+    return F.array(*[F.pmod(first + step * i, F.lit(bits)) for i in range(hashes)])
 
 
 def bloom_level(keys: DataFrame, count: int, wrong: float, salt: int) -> Level:
     """A level over ``count`` keys that lets through about ``wrong`` of all others."""
     hashes = max(1, round(-math.log2(wrong)))
-    size = max(1, math.ceil(count * hashes / math.log(2) / 64))
-    positions = F.array(*bit_positions(F.col("key"), size * 64, hashes, salt))
+    size = max(1, math.ceil(count * hashes / math.log(2) / WORD_BITS))
+    positions = bit_positions(F.col("key"), size * WORD_BITS, hashes, salt)
     rows = (
         keys.select(F.explode(positions).alias("at"))
-        .groupBy(F.floor(F.col("at") / 64).cast("int").alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits"))
+        .groupBy(F.floor(F.col("at") / WORD_BITS).cast("int").alias("word"))
+        .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(at % {WORD_BITS} as int))")).alias("bits"))
         .collect()
     )
-    words = [0] * size
-    for row in rows:
-        words[row.word] = row.bits
-    return Level(words, hashes, salt)
+    per_word = WORD_BITS // BYTE_BITS
+    data = bytearray(size * per_word)
+    for word, bits in rows:
+        for number in range(per_word):
+            data[word * per_word + number] = bits >> (BYTE_BITS * number) & 127
+    return Level(bytes(data), hashes, salt)
 
 
 @dataclass(frozen=True)
@@ -188,13 +202,14 @@ def build_cascade(universe: DataFrame, listed: DataFrame) -> Cascade:
     count = sizes.listed
     if not count:
         return Cascade(())
-    wrong = min(0.5, math.sqrt(0.5) * count / max(1, sizes["all"] - count))
+    wrong = min(WRONG_OF_MANY, math.sqrt(0.5) * count / max(1, sizes["all"] - count))
     while count:
         level = bloom_level(inside, count, wrong, len(levels))
         levels.append(level)
         # What this level lets through wrongly is what the next one encodes.
         passed = saved(outside.filter(level.has(F.col("key"))), "url-passed")
-        count, wrong = passed.count(), 0.5
+        count = passed.count()
+        wrong = WRONG_OF_MANY if count > FEW_KEYS else WRONG_OF_FEW
         inside, outside = passed, inside
     return Cascade(tuple(levels))
 
