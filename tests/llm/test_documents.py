@@ -489,3 +489,65 @@ def test_hardly_any_linked_pair_is_open_in_no_bucket():
             for band in shared[:1]
         )
     assert lost <= pairs * 4e-4
+
+
+def counted(found: list[bytes]) -> set:
+    """The n-th copy of a piece is a piece of its own."""
+    seen = Counter()
+    out = set()
+    for piece in found:
+        out.add((piece, seen[piece]))
+        seen[piece] += 1
+    return out
+
+
+def test_pieces_are_the_text_cut():
+    texts = [r[1] or "" for r in ROWS] + ["\n", " \n ", "a\n" + "b " * 40, " " * 100]
+    for text in texts:
+        found = fingerprints.pieces(text, 6)
+        joined = b" ".join(found)
+        # Cuts stand at spaces and line ends only.
+        assert joined.replace(b"\n", b" ") == text.encode().replace(b"\n", b" ")
+        assert all(piece.count(b" ") < 24 and b"\n" not in piece for piece in found)
+        assert len(found) >= len(text.split("\n")) if text else not found
+
+
+def test_an_added_word_changes_the_pieces_around_it_only():
+    words = cases.prose(11, 3000).split(" ")
+    whole = counted(fingerprints.pieces(" ".join(words), 6))
+    assert 300 < len(whole) < 1000
+    for at in (0, 7, 1500, 2990):
+        longer = [*words[:at], "added", *words[at:]]
+        assert len(whole ^ counted(fingerprints.pieces(" ".join(longer), 6))) <= 6
+
+
+def test_likeness_of_texts_is_that_of_their_pieces(spark):
+    texts = [cases.prose(20, 400)]
+    for seed in range(1, 8):
+        words = texts[-1].split(" ")
+        words[10 * seed : 30 * seed] = cases.prose(seed, 5 * seed).split(" ")
+        texts.append(" ".join(words))
+    texts += ["", "menu " * 300, "menu " * 301]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in fingerprints.fingerprint_documents(docs).collect()}
+
+    def likeness(one, other):
+        a, b = (counted(fingerprints.pieces(text, 6)) for text in (one, other))
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    for at, text in enumerate(texts):
+        following = texts[at - 1]
+        assert found[at].near_next == likeness(text, following)
+        changed = fingerprints.edited(text, following)
+        assert found[at].near_edited == likeness(text, changed)
+    assert 0.5 < found[2].near_next < 1
+
+
+def test_stored_counts_hold_texts_of_many_pieces():
+    import base64
+
+    keys = np.random.default_rng(5).integers(0, 2**63, 400_000, dtype=np.uint64)
+    (stored,) = fingerprints.prints([keys], 4)
+    count, _, data = stored.partition(":")
+    cells = np.frombuffer(base64.b64decode(data), "<i4,<u8,<u2")
+    assert int(count) == 400_000 and cells["f0"].tolist() == [400_000] * 4

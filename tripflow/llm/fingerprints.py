@@ -1,6 +1,8 @@
 """Document fingerprints: invertible Bloom lookup sketches over paragraph digests.
 
-A text's paragraphs are its lines, long ones in pieces of a few words. Every piece is a 64-bit
+A text's paragraphs are its lines, long ones in pieces of a few words. Where a long line is cut
+depends on the characters before the cut, so a word more or less changes the pieces around it and
+no others. Every piece is a 64-bit
 digest of its text and of how often it stood before, and each digest is added to one cell in each
 of four parts of a table: its count, the xor of the digests and the xor of their checks. Two
 tables subtract cell by cell; what both have cancels, and the rest is peeled: a cell with one
@@ -44,7 +46,10 @@ _MIX = [np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)]
 
 @dataclass(frozen=True)
 class SketchParams:
-    """``cells`` of the stored table; comparisons start at the size their difference may need."""
+    """``cells`` of the stored table; comparisons start at the size their difference may need.
+
+    Lines of over ``piece_words`` words are cut, on average after as many.
+    """
 
     piece_words: int = 6
     cells: int = 24
@@ -60,20 +65,41 @@ def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def pieces(text: str, piece_words: int) -> list[bytes]:
+    """The lines of a text, those of over ``piece_words`` words cut where their content says so.
+
+    A cut follows a word if a hash of the four bytes up to it says so, once in ``piece_words``
+    words. Where no word says so for long, a cut is made every ``4 * piece_words`` words, counted
+    from the cut before.
+    """
+    raw = text.encode()
+    data = np.frombuffer(raw, dtype=np.uint8)
+    marks = np.flatnonzero((data == 32) | (data == 10))
+    if not len(marks):
+        return [raw] if raw else []
+    ends_line = data[marks] == 10
+    line = np.cumsum(ends_line) - ends_line
+    long = np.bincount(line[~ends_line], minlength=line[-1] + 1)[line] >= piece_words
+    padded = np.concatenate([np.zeros(4, dtype=np.uint8), data])
+    tail = np.zeros(len(marks), dtype=np.uint64)
+    for offset in range(4):
+        tail = tail << np.uint64(8) | padded[marks + offset]
+    cut = ends_line | (long & (_mixed(tail, 4) % np.uint64(piece_words) == 0))
+    at = np.arange(len(marks))
+    last = np.maximum.accumulate(np.where(cut, at, -1))
+    since = at - np.append(-1, last[:-1])
+    cut |= long & (since % (4 * piece_words) == 0)
+    ends = marks[cut].tolist()
+    return [
+        raw[start:end]
+        for start, end in zip([0, *(end + 1 for end in ends)], [*ends, len(raw)], strict=True)
+    ]
+
+
 def digests(text: str, piece_words: int) -> np.ndarray:
     """A 64-bit digest per piece; the n-th copy of a piece has a digest of its own."""
-    found: list[int] = []
-    hashed = xxhash.xxh3_64_intdigest
-    for line in text.encode().split(b"\n"):
-        tokens = line.split(b" ")
-        if len(tokens) <= piece_words:
-            found.append(hashed(line))
-        else:
-            found += [
-                hashed(b" ".join(tokens[at : at + piece_words]))
-                for at in range(0, len(tokens), piece_words)
-            ]
-    if not text:
+    found = [xxhash.xxh3_64_intdigest(piece) for piece in pieces(text, piece_words)]
+    if not found:
         return np.zeros(0, dtype=np.uint64)
     each = np.sort(np.array(found, dtype=np.uint64))
     starts = np.flatnonzero(np.append(True, each[1:] != each[:-1]))
@@ -180,11 +206,11 @@ def _difference(pairs: list[tuple[np.ndarray, np.ndarray]], cells: int):
 
 
 def prints(all_keys: list[np.ndarray], cells: int) -> list[str]:
-    """The stored form: count, then per cell count, digest xor and check xor, hexadecimal."""
+    """The stored form: count, then per cell count, digest xor and check xor, in base 64."""
     keys = np.concatenate(all_keys) if all_keys else np.zeros(0, dtype=np.uint64)
     owner = np.repeat(np.arange(len(all_keys)), [len(each) for each in all_keys])
     counts, sums, checks = table(keys, cells, owner, len(all_keys))
-    cell = np.dtype([("count", "<i2"), ("sum", "<u8"), ("check", "<u2")])
+    cell = np.dtype([("count", "<i4"), ("sum", "<u8"), ("check", "<u2")])
     rows = np.empty(len(counts), dtype=cell)
     rows["count"], rows["sum"], rows["check"] = counts, sums, checks
     size = cells * cell.itemsize
