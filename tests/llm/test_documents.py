@@ -551,3 +551,78 @@ def test_stored_counts_hold_texts_of_many_pieces():
     count, _, data = stored.partition(":")
     cells = np.frombuffer(base64.b64decode(data), "<i4,<u8,<u2")
     assert int(count) == 400_000 and cells["f0"].tolist() == [400_000] * 4
+
+
+def test_shard_boundaries_by_summing_all_rows(spark):
+    """Each boundary stands between two texts within tolerance of its goal, or next to it."""
+    sizes = np.random.default_rng(4).integers(1, 60, 2000)
+    rows = [(i, "hot " * 30 if i % 3 == 0 else f"{i} " * int(n)) for i, n in enumerate(sizes)]
+    params = sharding.ShardParams(shards=7, tolerance=0.01)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = sharding.assign_shards(docs, params).collect()
+    texts = dict(rows)
+    order = sorted(found, key=lambda row: (row.shard, row.slot))
+    digests = [hashlib.md5(texts[row.doc_id].encode()).hexdigest()[:16] for row in order]
+    assert digests == sorted(digests)
+    assert all(row["size"] == len(texts[row.doc_id].encode()) + 8 for row in order)
+    total = sum(row["size"] for row in order)
+    slack = params.tolerance * total / params.shards
+    below = 0
+    for at, (row, after) in enumerate(zip(order, order[1:], strict=False)):
+        below += row["size"]
+        if row.shard == after.shard:
+            continue
+        assert after.shard == row.shard + 1
+        off = abs(below - total * after.shard // params.shards)
+        if digests[at] == digests[at + 1]:
+            # A group is cut only if neither of its ends is near the goal, and then as near as can be.
+            assert off <= row["size"]
+        else:
+            assert off <= max(slack, row["size"], after["size"])
+    assert {row.shard for row in order} == set(range(7))
+
+
+def naive_tree(values, gradient, weight, edges, depth, params):
+    """The best split over all features and edges by summing rows, then the same on both sides."""
+    if depth == 0:
+        return params.rate * sum(gradient) / (sum(weight) + params.leaf_weight)
+
+    def worth(rows):
+        return sum(gradient[rows]) ** 2 / (sum(weight[rows]) + params.leaf_weight)
+
+    best, cut = 1e-9, None
+    everything = np.ones(len(values), dtype=bool)
+    for feature, own in enumerate(edges):
+        for edge in own:
+            right = values[:, feature] > edge
+            gain = worth(right) + worth(~right) - worth(everything)
+            if gain > best + 1e-9:
+                best, cut = gain, (feature, edge)
+    right = values[:, cut[0]] > cut[1] if cut else ~everything
+    sides = [
+        naive_tree(values[side], gradient[side], weight[side], edges, depth - 1, params)
+        for side in (~right, right)
+    ]
+    return (cut, *sides)
+
+
+def test_forest_by_naive_split_search_and_walk():
+    draw = np.random.default_rng(9)
+    values = np.round(draw.random((150, 4)), 2)
+    labels = ((values[:, 1] > 0.4) & (values[:, 3] < 0.7) | (draw.random(150) < 0.1)).astype(int)
+    params = quality_classifier.BoostParams(trees=4, depth=2, bins=8)
+    forest = quality_classifier.fit_forest(values, labels, params)
+    edges = [np.unique(np.quantile(values[:, f], np.linspace(0, 1, 9)[1:-1])) for f in range(4)]
+
+    def walk(tree, row):
+        while isinstance(tree, tuple):
+            cut, left, right = tree
+            tree = right if cut and row[cut[0]] > cut[1] else left
+        return tree
+
+    margin = np.full(150, np.log(labels.mean() / (1 - labels.mean())))
+    for _ in range(params.trees):
+        chance = 1 / (1 + np.exp(-margin))
+        tree = naive_tree(values, labels - chance, chance * (1 - chance), edges, 2, params)
+        margin += [walk(tree, row) for row in values]
+    assert np.abs(forest.score(values) - 1 / (1 + np.exp(-margin))).max() < 1e-6
