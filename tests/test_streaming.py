@@ -9,6 +9,7 @@ from tripflow.operators import enrich as joins
 from tripflow.operators import metrics
 from tripflow.operators.clean import clean
 from tripflow.operators.enrich import enrich
+from tripflow.plans import queries
 from tripflow.schemas import BATCH_COUNTS, DEAD_LETTERS, FEED, REJECTS, RIDES, ddl
 from tripflow.sources.files import compact_rides, read_rides, read_rollup, write_feed
 from tripflow.streaming import feeds, sinks
@@ -380,3 +381,55 @@ def test_files_that_do_not_fit_are_set_aside(spark, place, tmp_path, rows):
     assert read_rides(spark, place("rides")).count() == 5 * KEPT
     rejects = sinks.read_batches(spark, place("rejects"), ddl(REJECTS))
     assert rejects.count() == 5 * (rows.count() - KEPT)
+
+
+def test_files_that_are_a_batch_each_are_streamed_side_by_side(spark, monkeypatch):
+    monkeypatch.setattr(queries, "FEED_ROWS_PER_FILE", 50)
+    start, started = sinks.append_batches, []
+
+    def start_and_note(*args):
+        started.append(start(*args))
+        return started[-1]
+
+    monkeypatch.setattr(sinks, "append_batches", start_and_note)
+    result = queries.stream_one_file_per_batch(spark, "/root/testdata/sf0.001").collect()
+    assert [tuple(row) for row in result] == [(1, 1000, True)]
+    batches = [[p for p in q.recentProgress if p["numInputRows"]] for q in started]
+    assert sum(p["numInputRows"] for own in batches for p in own) == 1000
+    # 20 files at least, which one after another would be as many batches in a row.
+    assert sum(map(len, batches)) >= 20
+    assert max(map(len, batches)) <= 8
+
+
+def test_streams_that_run_together_stop_when_one_fails(spark, place, rows):
+    write_feed(rows, place("feed"), 10)
+
+    def fail(batch, batch_id):
+        raise RuntimeError("this one fails")
+
+    feed = feeds.feed_stream(spark, place("feed"), "parquet", files_per_trigger=1)
+    fails = sinks.append_batches(
+        feed, place("rides"), place("failing"), sinks.AVAILABLE_NOW, fail
+    )
+    # Without a trigger, this one would wait for files.
+    waits = sinks.append_batches(feed, place("rides"), place("waiting"))
+    with pytest.raises(StreamingQueryException, match="this one fails"):
+        sinks.run_together([fails, waits])
+    assert not fails.isActive
+    assert not waits.isActive
+
+
+def test_batches_share_their_compiled_code(spark, place, tmp_path):
+    (tmp_path / "checkpoint").mkdir()
+    (tmp_path / "checkpoint" / "metadata").write_text('{"id": "one"}')
+    write = sinks.batch_writer(place("table"), place("checkpoint"))
+    compiled = spark._jvm.org.apache.spark.metrics.source.CodegenMetrics
+    counts = []
+    for batch_id in range(4):
+        write(spark.range(10), batch_id)
+        counts.append(compiled.METRIC_COMPILATION_TIME().getCount())
+    assert len(set(counts[1:])) == 1
+    stored = sinks.read_batches(spark, place("table"), "id bigint")
+    assert sorted(tuple(row) for row in sinks.arrivals(stored).collect()) == [
+        (batch_id, 10) for batch_id in range(4)
+    ]

@@ -39,9 +39,16 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def write_feed(feed: DataFrame, path: str, rows_per_file: int, fmt: str = "parquet") -> None:
-    """Feed files of at most ``rows_per_file`` rows, published when the whole write commits."""
+def write_feed(
+    feed: DataFrame, path: str, rows_per_file: int, fmt: str = "parquet", by: tuple[str, ...] = ()
+) -> None:
+    """Feed files of at most ``rows_per_file`` rows, published when the whole write commits.
+
+    With ``by``, each value of those columns has a folder of its own and they leave the files.
+    """
     writer = feed.write.option("maxRecordsPerFile", rows_per_file).mode("append")
+    if by:
+        writer = writer.partitionBy(*by)
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)

@@ -55,7 +55,8 @@ def batch_writer(table: str, checkpoint: str) -> Callable[[DataFrame, int], None
     """Writes a micro-batch over its own partition of the table, in one job.
 
     An empty batch has no rows for any partition and so writes no file; asking ``isEmpty`` first
-    would read the batch's files a second time.
+    would read the batch's files a second time. The id is a text here, since a number would be
+    part of the generated code, which then is compiled anew for every batch.
     """
     known: list[str] = []
 
@@ -63,9 +64,7 @@ def batch_writer(table: str, checkpoint: str) -> Callable[[DataFrame, int], None
         if not known:
             known.append(query_id(batch.sparkSession, checkpoint))
         (
-            batch.withColumns(
-                {"query_id": F.lit(known[0]), "batch_id": F.lit(batch_id).cast("bigint")}
-            )
+            batch.withColumns({"query_id": F.lit(known[0]), "batch_id": F.lit(str(batch_id))})
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*BATCH)
@@ -110,6 +109,16 @@ def run_available(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
+def run_together(queries: list[StreamingQuery]) -> None:
+    """Waits for ``availableNow`` queries that run side by side; if one fails, stops the others."""
+    try:
+        for query in queries:
+            run_available(query)
+    finally:
+        for query in queries:
+            query.stop()
+
+
 def read_batches(spark: SparkSession, table: str, schema: str) -> DataFrame:
     """A table of ``append_batches``, with ``query_id`` and ``batch_id`` from its folder names."""
     return spark.read.schema(f"{schema}, query_id string, batch_id bigint").parquet(table)
